@@ -131,3 +131,231 @@ QUERIES: dict[str, QueryFn] = {
     "cash_strength": q_cash_strength,
     "health_score": q_health_score,
 }
+
+
+# ---------------------------------------------------------------------------
+# Sources, reshaping, managed layer and checks. Round trips write to a fresh
+# directory under the shared checkpoint root, then read back with our readers.
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from quarterdeck.operators import quality as Q  # noqa: E402
+from quarterdeck.operators import reshape as RS  # noqa: E402
+from quarterdeck.plans import managed as MG  # noqa: E402
+from quarterdeck.plans.storage import staging_path  # noqa: E402
+from quarterdeck.plans.tables import write_partitioned  # noqa: E402
+from quarterdeck.sources import delimited as DL  # noqa: E402
+from quarterdeck.sources import documents as DOC  # noqa: E402
+from quarterdeck.sources import files as FL  # noqa: E402
+from quarterdeck.sources.testdata import TABLES, read_table  # noqa: E402
+
+PROFILE_DOC_ATTRIBUTES = {
+    "displayName": "company",
+    "country": "country",
+    "sector": "sector",
+    "industry": "industry",
+    "fullTimeEmployees": "fullTimeEmployees",
+    "companyOfficers": "companyOfficers",
+}
+PROFILE_FIXTURE_ATTRIBUTES = [
+    ("displayName", "string", "company"),
+    ("country", "string", "country"),
+    ("sector", "string", "sector"),
+    ("industry", "string", "industry"),
+    ("fullTimeEmployees", "bigint", "fullTimeEmployees"),
+]
+EVEN = ("0", "2", "4", "6", "8")
+FILTER_YEARS = (1996, 1998, 2000)
+FILTER_RECORD_YEARS = (1995, 1999, 2001)
+
+
+def _items(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in ("ticker", "report_date")]
+
+
+def _sections(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"income_statement": t["income"], "balance_sheet": t["balance"], "cash_flow_statement": t["cash_flow"]}
+
+
+def _map_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    t = _st(spark, sf_dir)
+    profile = t["company_info"].withColumn("companyOfficers", F.lit('[{"name": "officer"}]'))
+    docs = DOC.map_documents(_sections(t), profile, PROFILE_DOC_ATTRIBUTES)
+    path = staging_path(spark, "map-docs")
+    DOC.write_documents(docs, path)
+    return DOC.read_documents(spark, path, "map"), t
+
+
+def _record_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    t = _st(spark, sf_dir)
+    path = staging_path(spark, "record-docs")
+    DOC.write_documents(DOC.record_documents(_sections(t)), path)
+    return DOC.read_documents(spark, path, "records"), t
+
+
+def q_scan_nested_json(spark, sf_dir):
+    docs, t = _map_docs(spark, sf_dir)
+    long = RS.statement_long(docs, "income_statement")
+    return RS.statement_wide(long, _items(t["income"]), "income_statement")
+
+
+def q_scan_record_json(spark, sf_dir):
+    docs, t = _record_docs(spark, sf_dir)
+    long = RS.records_long(docs, "balance_sheet")
+    return RS.statement_wide(long, _items(t["balance"]), "balance_sheet")
+
+
+def q_filter_years(spark, sf_dir):
+    docs, t = _map_docs(spark, sf_dir)
+    kept = RS.filter_years(docs, FILTER_YEARS, ["income_statement", "balance_sheet", "cash_flow_statement"])
+    return RS.statement_wide(RS.statement_long(kept, "cash_flow_statement"), _items(t["cash_flow"]), "cash_flow_statement")
+
+
+def q_filter_years_records(spark, sf_dir):
+    docs, t = _record_docs(spark, sf_dir)
+    kept = RS.filter_years_records(docs, FILTER_RECORD_YEARS, ["income_statement", "balance_sheet", "cash_flow_statement"])
+    return RS.statement_wide(RS.records_long(kept, "income_statement"), _items(t["income"]), "income_statement")
+
+
+def q_company_profile(spark, sf_dir):
+    docs, _ = _map_docs(spark, sf_dir)
+    return RS.company_profile(docs.where(F.col("company_info").isNotNull()), PROFILE_FIXTURE_ATTRIBUTES)
+
+
+def q_statement_long(spark, sf_dir):
+    return RS.wide_to_long(_st(spark, sf_dir)["income"])
+
+
+def q_statement_wide(spark, sf_dir):
+    inc = _st(spark, sf_dir)["income"]
+    return RS.statement_wide(RS.wide_to_long(inc), _items(inc), "income_statement")
+
+
+def q_union_by_name(spark, sf_dir):
+    bal = _st(spark, sf_dir)["balance"]
+    even = F.substring("ticker", -1, 1).isin(*EVEN)
+    return RS.union_by_name(bal.where(even).drop("Net_PPE"), bal.where(~even).drop("Inventory"))
+
+
+def _spaced(df: DataFrame) -> DataFrame:
+    # Files carry item names in words; the reader cleans them back.
+    return df.toDF(*[c.replace("_", " ") if c not in ("ticker", "report_date") else c for c in df.columns])
+
+
+def q_scan_delimited(spark, sf_dir):
+    path = staging_path(spark, "balance-tsv")
+    DL.write_delimited(_spaced(_st(spark, sf_dir)["balance"]), path)
+    return DL.read_statement(spark, path, section="balance_sheet")
+
+
+def q_infer_schema(spark, sf_dir):
+    path = staging_path(spark, "cash-flow-tsv")
+    DL.write_delimited(_st(spark, sf_dir)["cash_flow"], path)
+    return DL.infer_delimited(spark, path)
+
+
+def q_coerce_types(spark, sf_dir):
+    inc = _st(spark, sf_dir)["income"]
+    dirty = inc.select(
+        "ticker", "report_date", *[F.coalesce(F.col(c).cast("string"), F.lit("n/a")).alias(c) for c in _items(inc)]
+    )
+    path = staging_path(spark, "income-text")
+    DL.write_delimited(dirty, path)
+    return DL.read_statement(spark, path, section="income_statement")
+
+
+def q_managed_income(spark, sf_dir):
+    return MG.managed_income(_st(spark, sf_dir)["income"], stamp=False)
+
+
+def q_managed_balance(spark, sf_dir):
+    return MG.managed_balance(_st(spark, sf_dir)["balance"], stamp=False)
+
+
+def q_managed_cash_flow(spark, sf_dir):
+    return MG.managed_cash_flow(_st(spark, sf_dir)["cash_flow"], stamp=False)
+
+
+def q_managed_profile(spark, sf_dir):
+    return MG.managed_profile(_st(spark, sf_dir)["company_info"], stamp=False)
+
+
+def q_data_quality_checks(spark, sf_dir):
+    return Q.data_quality_checks(_st(spark, sf_dir), stamp=False)
+
+
+def q_duplicate_keys(spark, sf_dir):
+    inc = _st(spark, sf_dir)["income"]
+    doubled = inc.unionByName(inc.where(F.substring("ticker", -2, 2) == "07"))
+    return Q.duplicate_keys(doubled)
+
+
+def _given(spark, sf_dir) -> dict[str, DataFrame]:
+    return {t: read_table(spark, sf_dir, t) for t in TABLES}
+
+
+def q_table_counts(spark, sf_dir):
+    return Q.table_counts(_given(spark, sf_dir))
+
+
+def q_table_summary(spark, sf_dir):
+    return Q.table_summary(_given(spark, sf_dir))
+
+
+def q_ratios_last_year(spark, sf_dir):
+    return R.ratios_last_year(q_financial_ratios(spark, sf_dir), as_of=AS_OF)
+
+
+def q_partitioned_lookup(spark, sf_dir):
+    path = staging_path(spark, "ratios-by-year")
+    write_partitioned(q_financial_ratios(spark, sf_dir), path)
+    stored = spark.read.parquet(path)
+    # The year predicate prunes directories; the date predicate is the exact filter.
+    since = (F.col("report_year") >= 2000) & (F.col("report_date") >= F.lit("2000-01-01").cast("date"))
+    return stored.where(since).withColumn(
+        "report_year", F.col("report_year").cast("bigint")
+    )
+
+
+def q_file_manifest(spark, sf_dir):
+    return FL.file_manifest(spark, sf_dir, "*.parquet").select("name", "size_bytes")
+
+
+def q_file_stats(spark, sf_dir):
+    return FL.file_stats(FL.file_manifest(spark, sf_dir, "*.parquet"))
+
+
+def q_required_inputs(spark, sf_dir):
+    expected = [f"{t}.parquet" for t in TABLES] + ["statements.parquet"]
+    return FL.required_inputs(FL.file_manifest(spark, sf_dir, "*.parquet"), expected)
+
+
+QUERIES.update(
+    {
+        "scan_nested_json": q_scan_nested_json,
+        "scan_record_json": q_scan_record_json,
+        "filter_years": q_filter_years,
+        "filter_years_records": q_filter_years_records,
+        "company_profile": q_company_profile,
+        "statement_long": q_statement_long,
+        "statement_wide": q_statement_wide,
+        "union_by_name": q_union_by_name,
+        "scan_delimited": q_scan_delimited,
+        "infer_schema": q_infer_schema,
+        "coerce_types": q_coerce_types,
+        "managed_income": q_managed_income,
+        "managed_balance": q_managed_balance,
+        "managed_cash_flow": q_managed_cash_flow,
+        "managed_profile": q_managed_profile,
+        "data_quality_checks": q_data_quality_checks,
+        "duplicate_keys": q_duplicate_keys,
+        "table_counts": q_table_counts,
+        "table_summary": q_table_summary,
+        "ratios_last_year": q_ratios_last_year,
+        "partitioned_lookup": q_partitioned_lookup,
+        "file_manifest": q_file_manifest,
+        "file_stats": q_file_stats,
+        "required_inputs": q_required_inputs,
+    }
+)

@@ -1,8 +1,9 @@
 """Statement tables derived from the TPC-H-style test tables (see FIXTURES.md, group B).
 
 Grain: one row per supplier (``ticker = s_name``) and calendar quarter of ``l_shipdate``
-(``report_date`` = last day of the quarter). Money is summed as DECIMAL and cast to
-DOUBLE only at the end, so results are exact and engine independent.
+(``report_date`` = last day of the quarter). Money is summed exactly (as scaled integers, equal to
+the fixture's DECIMAL sums) and turned into DOUBLE only at the end, so results are
+exact and engine independent.
 
 Plan shape (one job per consumer, whatever number of statements it reads):
 
@@ -45,12 +46,42 @@ def _sum_if(cond: Column, value: Column) -> Column:
     return F.sum(F.when(cond, value))
 
 
+def _scaled(col: str, precision: int, scale: int = 2) -> Column:
+    """``CAST(col AS DECIMAL(p, s))`` as an exact BIGINT count of ``10**-s`` units.
+
+    Fast path: when ``col * 10**s`` is within 1e-6 of an integer the value already
+    has at most ``s`` decimals and that integer is the cast's result. Otherwise
+    the DECIMAL cast decides the rounding (half up on the shortest decimal form
+    of the double). Sums of these BIGINTs run in the code-generated hash
+    aggregate with 8-byte buffers, where DECIMAL(22,2) sums fall back to a
+    sort-based aggregate.
+    """
+    x = F.col(col) * float(10**scale)
+    r = F.rint(x)
+    dec = F.col(col).cast(f"decimal({precision},{scale})")
+    slow = F.rint(dec.cast("double") * float(10**scale))
+    return F.when(F.abs(x - r) < 1e-6, r).otherwise(slow).cast("bigint")
+
+
+def _money(total: Column, scale: int) -> Column:
+    """Exact fixed-point sum back to DOUBLE, correctly rounded.
+
+    Below 2**53 both operands of the division are exact doubles and IEEE division
+    rounds correctly; beyond that the value goes through DECIMAL.
+    """
+    via_decimal = (total.cast("decimal(38,0)") / F.lit(10**scale)).cast("double")
+    return F.when(F.abs(total) < F.lit(2**53), total.cast("double") / float(10**scale)).otherwise(via_decimal)
+
+
 def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``."""
+    """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``.
+
+    Money is kept as exact integers: cents for prices, 1/10,000 for price x rate.
+    """
     li = read_table(spark, sf_dir, "lineitem")
-    px = F.col("l_extendedprice").cast("decimal(12,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    px = _scaled("l_extendedprice", 12)  # cents
+    disc = _scaled("l_discount", 4)  # hundredths
+    tax = _scaled("l_tax", 4)  # hundredths
     qty = F.col("l_quantity").cast("bigint")
     rf = F.col("l_returnflag")
     fin = F.col("l_linestatus") == "F"
@@ -61,22 +92,22 @@ def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sum_if(rf == "N", px).alias("i_cor"),
         _sum_if(rf == "A", px).alias("i_opex"),
         F.sum(px * disc).alias("i_rd"),
-        _sum_if((rf == "R") & (tax >= 0.07), px * tax).alias("i_int"),
+        _sum_if((rf == "R") & (tax >= 7), px * tax).alias("i_int"),
         F.sum(px * tax).alias("i_tax"),
         F.sum(qty).alias("i_qty"),
         # balance sheet: only finished lines count
         F.count_if(fin).alias("b_n"),
         _sum_if(fin, px).alias("b_ta"),
         _sum_if(fin & (rf != "N"), px).alias("b_ca"),
-        _sum_if(fin & (rf == "A") & (disc >= 0.05), px).alias("b_inv"),
+        _sum_if(fin & (rf == "A") & (disc >= 5), px).alias("b_inv"),
         _sum_if(fin & (rf == "R"), px).alias("b_cash"),
-        _sum_if(fin & (rf == "R") & (tax <= 0.04), px).alias("b_cl"),
-        _sum_if(fin & (rf == "N") & (tax <= 0.03), px).alias("b_debt"),
-        _sum_if(fin & (rf == "N") & (disc <= 0.05), px).alias("b_ppe"),
-        _sum_if(fin & (rf == "N") & (disc > 0.05), px).alias("b_gw"),
+        _sum_if(fin & (rf == "R") & (tax <= 4), px).alias("b_cl"),
+        _sum_if(fin & (rf == "N") & (tax <= 3), px).alias("b_debt"),
+        _sum_if(fin & (rf == "N") & (disc <= 5), px).alias("b_ppe"),
+        _sum_if(fin & (rf == "N") & (disc > 5), px).alias("b_gw"),
         # cash-flow statement
         _sum_if(rf != "A", px).alias("c_ocf"),
-        _sum_if((rf == "A") & (disc < 0.03), -px).alias("c_capex"),
+        _sum_if((rf == "A") & (disc < 3), -px).alias("c_capex"),
         _sum_if(rf == "N", -px * tax).alias("c_div"),
     )
 
@@ -86,31 +117,34 @@ def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     inc, bal, cfl = (k % 10 != 1), (k % 10 != 0), (k % 10 != 3)
 
-    def d(cond: Column, name: str) -> Column:
-        return F.sum(F.when(cond, F.col(name))).cast("double")
+    def cents(cond: Column, name: str) -> Column:
+        return _money(F.sum(F.when(cond, F.col(name))), 2)
+
+    def units4(cond: Column, name: str) -> Column:
+        return _money(F.sum(F.when(cond, F.col(name))), 4)
 
     return keyed.groupBy("ticker", "report_date").agg(
         F.count_if(inc).alias("_inc_n"),
-        d(inc, "i_rev").alias("Total_Revenue"),
-        d(inc, "i_cor").alias("Cost_Of_Revenue"),
-        d(inc, "i_opex").alias("Operating_Expense"),
-        d(inc, "i_rd").alias("Research_And_Development"),
-        d(inc, "i_int").alias("Interest_Expense"),
-        d(inc, "i_tax").alias("Tax_Provision"),
-        F.sum(F.when(inc, F.col("i_qty"))).cast("bigint").alias("Diluted_Average_Shares"),
+        cents(inc, "i_rev").alias("Total_Revenue"),
+        cents(inc, "i_cor").alias("Cost_Of_Revenue"),
+        cents(inc, "i_opex").alias("Operating_Expense"),
+        units4(inc, "i_rd").alias("Research_And_Development"),
+        units4(inc, "i_int").alias("Interest_Expense"),
+        units4(inc, "i_tax").alias("Tax_Provision"),
+        F.sum(F.when(inc, F.col("i_qty"))).alias("Diluted_Average_Shares"),
         F.sum(F.when(bal, F.col("b_n"))).alias("_bal_n"),
-        d(bal, "b_ta").alias("Total_Assets"),
-        d(bal, "b_ca").alias("Current_Assets"),
-        d(bal, "b_inv").alias("Inventory"),
-        d(bal, "b_cash").alias("Cash_And_Cash_Equivalents"),
-        d(bal, "b_cl").alias("Current_Liabilities"),
-        F.coalesce(F.sum(F.when(bal, F.col("b_debt"))), F.lit(0)).cast("double").alias("Total_Debt"),
-        d(bal, "b_ppe").alias("Net_PPE"),
-        d(bal, "b_gw").alias("Goodwill_And_Other_Intangible_Assets"),
+        cents(bal, "b_ta").alias("Total_Assets"),
+        cents(bal, "b_ca").alias("Current_Assets"),
+        cents(bal, "b_inv").alias("Inventory"),
+        cents(bal, "b_cash").alias("Cash_And_Cash_Equivalents"),
+        cents(bal, "b_cl").alias("Current_Liabilities"),
+        _money(F.coalesce(F.sum(F.when(bal, F.col("b_debt"))), F.lit(0).cast("bigint")), 2).alias("Total_Debt"),
+        cents(bal, "b_ppe").alias("Net_PPE"),
+        cents(bal, "b_gw").alias("Goodwill_And_Other_Intangible_Assets"),
         F.count_if(cfl).alias("_cf_n"),
-        d(cfl, "c_ocf").alias("Operating_Cash_Flow"),
-        d(cfl, "c_capex").alias("Capital_Expenditure"),
-        d(cfl, "c_div").alias("Cash_Dividends_Paid"),
+        cents(cfl, "c_ocf").alias("Operating_Cash_Flow"),
+        cents(cfl, "c_capex").alias("Capital_Expenditure"),
+        units4(cfl, "c_div").alias("Cash_Dividends_Paid"),
     )
 
 
