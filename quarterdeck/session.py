@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarterdeck") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarterdeck", extra: dict | None = None
+) -> SparkSession:
     """A local session with AQE on, the UI off and UTC as session time zone."""
+    b = SparkSession.builder
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
