@@ -19,12 +19,12 @@ from quarterdeck.sources.testdata import statement_tables
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _st(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return statement_tables(spark, sf_dir)
+def _st(spark: SparkSession, sf_dir: str, shared: bool = False) -> dict[str, DataFrame]:
+    return statement_tables(spark, sf_dir, shared)
 
 
 def q_financial_ratios(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return M.financial_ratios(t["income"], t["balance"], stamp=False)
 
 
@@ -37,7 +37,7 @@ def q_income_statement_trends(spark, sf_dir):
 
 
 def q_company_snapshot_latest(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return M.company_snapshot_latest(t["income"], t["balance"], t["company_info"], stamp=False)
 
 
@@ -58,12 +58,12 @@ def q_liquidity(spark, sf_dir):
 
 
 def q_leverage(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return R.leverage(t["income"], t["balance"], as_of=AS_OF)
 
 
 def q_efficiency(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return R.efficiency(t["income"], t["balance"], as_of=AS_OF)
 
 
@@ -92,7 +92,7 @@ def q_last_8_reports(spark, sf_dir):
 
 
 def q_peer_comparison(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return R.peer_comparison(t["income"], t["balance"])
 
 
@@ -101,7 +101,7 @@ def q_yoy_growth(spark, sf_dir):
 
 
 def q_cash_strength(spark, sf_dir):
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     return R.cash_strength(t["income"], t["balance"])
 
 
@@ -179,7 +179,7 @@ def _sections(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _map_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     profile = t["company_info"].withColumn("companyOfficers", F.lit('[{"name": "officer"}]'))
     docs = DOC.map_documents(_sections(t), profile, PROFILE_DOC_ATTRIBUTES)
     path = staging_path(spark, "map-docs")
@@ -188,7 +188,7 @@ def _map_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Da
 
 
 def _record_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    t = _st(spark, sf_dir)
+    t = _st(spark, sf_dir, shared=True)
     path = staging_path(spark, "record-docs")
     DOC.write_documents(DOC.record_documents(_sections(t)), path)
     return DOC.read_documents(spark, path, "records"), t
@@ -282,7 +282,7 @@ def q_managed_profile(spark, sf_dir):
 
 
 def q_data_quality_checks(spark, sf_dir):
-    return Q.data_quality_checks(_st(spark, sf_dir), stamp=False)
+    return Q.data_quality_checks(_st(spark, sf_dir, shared=True), stamp=False)
 
 
 def q_duplicate_keys(spark, sf_dir):

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.dates import quarter_end
+from quarterdeck.plans.storage import checkpointed
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -38,16 +39,23 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_SCHEMAS: dict[str, object] = {}
 
 
-def _sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value))
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table; the footer schema is read once per path and then passed explicitly,
+    which spares Spark a schema-inference job on every later read."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
-def _scaled(col: str, precision: int, scale: int = 2) -> Column:
-    """``CAST(col AS DECIMAL(p, s))`` as an exact BIGINT count of ``10**-s`` units.
+def _scaled(col: str, precision: int, scale: int = 2) -> str:
+    """SQL for ``CAST(col AS DECIMAL(p, s))`` as an exact BIGINT count of ``10**-s`` units.
 
     Fast path: when ``col * 10**s`` is within 1e-6 of an integer the value already
     has at most ``s`` decimals and that integer is the cast's result. Otherwise
@@ -56,96 +64,105 @@ def _scaled(col: str, precision: int, scale: int = 2) -> Column:
     aggregate with 8-byte buffers, where DECIMAL(22,2) sums fall back to a
     sort-based aggregate.
     """
-    x = F.col(col) * float(10**scale)
-    r = F.rint(x)
-    dec = F.col(col).cast(f"decimal({precision},{scale})")
-    slow = F.rint(dec.cast("double") * float(10**scale))
-    return F.when(F.abs(x - r) < 1e-6, r).otherwise(slow).cast("bigint")
+    f = float(10**scale)
+    x = f"({col} * {f})"
+    slow = f"rint(CAST(CAST({col} AS DECIMAL({precision},{scale})) AS DOUBLE) * {f})"
+    return f"CAST(CASE WHEN abs({x} - rint({x})) < 1e-6 THEN rint({x}) ELSE {slow} END AS BIGINT)"
 
 
-def _money(total: Column, scale: int) -> Column:
-    """Exact fixed-point sum back to DOUBLE, correctly rounded.
+def _money(total: str, scale: int) -> str:
+    """SQL turning an exact fixed-point sum back into a correctly rounded DOUBLE.
 
     Below 2**53 both operands of the division are exact doubles and IEEE division
     rounds correctly; beyond that the value goes through DECIMAL.
     """
-    via_decimal = (total.cast("decimal(38,0)") / F.lit(10**scale)).cast("double")
-    return F.when(F.abs(total) < F.lit(2**53), total.cast("double") / float(10**scale)).otherwise(via_decimal)
+    f = 10**scale
+    return (
+        f"CASE WHEN abs({total}) < {2**53} THEN CAST({total} AS DOUBLE) / {float(f)} "
+        f"ELSE CAST(CAST({total} AS DECIMAL(38,0)) / {f} AS DOUBLE) END"
+    )
+
+
+# Per (supplier, quarter) sums, in exact units (cents; 1/10,000 for price x rate).
+_PER_KEY = {
+    # income statement
+    "i_rev": "sum(px)",
+    "i_cor": "sum(CASE WHEN rf = 'N' THEN px END)",
+    "i_opex": "sum(CASE WHEN rf = 'A' THEN px END)",
+    "i_rd": "sum(px * disc)",
+    "i_int": "sum(CASE WHEN rf = 'R' AND tax >= 7 THEN px * tax END)",
+    "i_tax": "sum(px * tax)",
+    "i_qty": "sum(qty)",
+    # balance sheet: only finished lines count
+    "b_n": "count_if(fin)",
+    "b_ta": "sum(CASE WHEN fin THEN px END)",
+    "b_ca": "sum(CASE WHEN fin AND rf <> 'N' THEN px END)",
+    "b_inv": "sum(CASE WHEN fin AND rf = 'A' AND disc >= 5 THEN px END)",
+    "b_cash": "sum(CASE WHEN fin AND rf = 'R' THEN px END)",
+    "b_cl": "sum(CASE WHEN fin AND rf = 'R' AND tax <= 4 THEN px END)",
+    "b_debt": "sum(CASE WHEN fin AND rf = 'N' AND tax <= 3 THEN px END)",
+    "b_ppe": "sum(CASE WHEN fin AND rf = 'N' AND disc <= 5 THEN px END)",
+    "b_gw": "sum(CASE WHEN fin AND rf = 'N' AND disc > 5 THEN px END)",
+    # cash-flow statement
+    "c_ocf": "sum(CASE WHEN rf <> 'A' THEN px END)",
+    "c_capex": "sum(CASE WHEN rf = 'A' AND disc < 3 THEN -px END)",
+    "c_div": "sum(CASE WHEN rf = 'N' THEN -px * tax END)",
+}
+
+_INC, _BAL, _CFL = "k % 10 <> 1", "k % 10 <> 0", "k % 10 <> 3"
+
+
+def _cents(cond: str, name: str, scale: int = 2) -> str:
+    return _money(f"sum(CASE WHEN {cond} THEN {name} END)", scale)
+
+
+# Per (ticker, quarter): statement membership by key, then exact sums to DOUBLE.
+_PER_TICKER = {
+    "_inc_n": f"count_if({_INC})",
+    "Total_Revenue": _cents(_INC, "i_rev"),
+    "Cost_Of_Revenue": _cents(_INC, "i_cor"),
+    "Operating_Expense": _cents(_INC, "i_opex"),
+    "Research_And_Development": _cents(_INC, "i_rd", 4),
+    "Interest_Expense": _cents(_INC, "i_int", 4),
+    "Tax_Provision": _cents(_INC, "i_tax", 4),
+    "Diluted_Average_Shares": f"sum(CASE WHEN {_INC} THEN i_qty END)",
+    "_bal_n": f"sum(CASE WHEN {_BAL} THEN b_n END)",
+    "Total_Assets": _cents(_BAL, "b_ta"),
+    "Current_Assets": _cents(_BAL, "b_ca"),
+    "Inventory": _cents(_BAL, "b_inv"),
+    "Cash_And_Cash_Equivalents": _cents(_BAL, "b_cash"),
+    "Current_Liabilities": _cents(_BAL, "b_cl"),
+    "Total_Debt": _money(f"coalesce(sum(CASE WHEN {_BAL} THEN b_debt END), CAST(0 AS BIGINT))", 2),
+    "Net_PPE": _cents(_BAL, "b_ppe"),
+    "Goodwill_And_Other_Intangible_Assets": _cents(_BAL, "b_gw"),
+    "_cf_n": f"count_if({_CFL})",
+    "Operating_Cash_Flow": _cents(_CFL, "c_ocf"),
+    "Capital_Expenditure": _cents(_CFL, "c_capex"),
+    "Cash_Dividends_Paid": _cents(_CFL, "c_div", 4),
+}
 
 
 def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``.
 
-    Money is kept as exact integers: cents for prices, 1/10,000 for price x rate.
+    Expressions are given as SQL text: the same Catalyst expressions, built with
+    one call each instead of one per operator.
     """
     li = read_table(spark, sf_dir, "lineitem")
-    px = _scaled("l_extendedprice", 12)  # cents
-    disc = _scaled("l_discount", 4)  # hundredths
-    tax = _scaled("l_tax", 4)  # hundredths
-    qty = F.col("l_quantity").cast("bigint")
-    rf = F.col("l_returnflag")
-    fin = F.col("l_linestatus") == "F"
-
-    per_key = li.groupBy(F.col("l_suppkey").alias("k"), quarter_end("l_shipdate").alias("report_date")).agg(
-        # income statement
-        F.sum(px).alias("i_rev"),
-        _sum_if(rf == "N", px).alias("i_cor"),
-        _sum_if(rf == "A", px).alias("i_opex"),
-        F.sum(px * disc).alias("i_rd"),
-        _sum_if((rf == "R") & (tax >= 7), px * tax).alias("i_int"),
-        F.sum(px * tax).alias("i_tax"),
-        F.sum(qty).alias("i_qty"),
-        # balance sheet: only finished lines count
-        F.count_if(fin).alias("b_n"),
-        _sum_if(fin, px).alias("b_ta"),
-        _sum_if(fin & (rf != "N"), px).alias("b_ca"),
-        _sum_if(fin & (rf == "A") & (disc >= 5), px).alias("b_inv"),
-        _sum_if(fin & (rf == "R"), px).alias("b_cash"),
-        _sum_if(fin & (rf == "R") & (tax <= 4), px).alias("b_cl"),
-        _sum_if(fin & (rf == "N") & (tax <= 3), px).alias("b_debt"),
-        _sum_if(fin & (rf == "N") & (disc <= 5), px).alias("b_ppe"),
-        _sum_if(fin & (rf == "N") & (disc > 5), px).alias("b_gw"),
-        # cash-flow statement
-        _sum_if(rf != "A", px).alias("c_ocf"),
-        _sum_if((rf == "A") & (disc < 3), -px).alias("c_capex"),
-        _sum_if(rf == "N", -px * tax).alias("c_div"),
+    base = li.select(
+        F.col("l_suppkey").alias("k"),
+        quarter_end("l_shipdate").alias("report_date"),
+        F.expr(_scaled("l_extendedprice", 12)).alias("px"),
+        F.expr(_scaled("l_discount", 4)).alias("disc"),
+        F.expr(_scaled("l_tax", 4)).alias("tax"),
+        F.col("l_quantity").cast("bigint").alias("qty"),
+        F.col("l_returnflag").alias("rf"),
+        (F.col("l_linestatus") == "F").alias("fin"),
     )
-
+    per_key = base.groupBy("k", "report_date").agg(*[F.expr(e).alias(n) for n, e in _PER_KEY.items()])
     sup = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("ticker"))
     keyed = per_key.join(sup, "k")
-
-    k = F.col("k")
-    inc, bal, cfl = (k % 10 != 1), (k % 10 != 0), (k % 10 != 3)
-
-    def cents(cond: Column, name: str) -> Column:
-        return _money(F.sum(F.when(cond, F.col(name))), 2)
-
-    def units4(cond: Column, name: str) -> Column:
-        return _money(F.sum(F.when(cond, F.col(name))), 4)
-
-    return keyed.groupBy("ticker", "report_date").agg(
-        F.count_if(inc).alias("_inc_n"),
-        cents(inc, "i_rev").alias("Total_Revenue"),
-        cents(inc, "i_cor").alias("Cost_Of_Revenue"),
-        cents(inc, "i_opex").alias("Operating_Expense"),
-        units4(inc, "i_rd").alias("Research_And_Development"),
-        units4(inc, "i_int").alias("Interest_Expense"),
-        units4(inc, "i_tax").alias("Tax_Provision"),
-        F.sum(F.when(inc, F.col("i_qty"))).alias("Diluted_Average_Shares"),
-        F.sum(F.when(bal, F.col("b_n"))).alias("_bal_n"),
-        cents(bal, "b_ta").alias("Total_Assets"),
-        cents(bal, "b_ca").alias("Current_Assets"),
-        cents(bal, "b_inv").alias("Inventory"),
-        cents(bal, "b_cash").alias("Cash_And_Cash_Equivalents"),
-        cents(bal, "b_cl").alias("Current_Liabilities"),
-        _money(F.coalesce(F.sum(F.when(bal, F.col("b_debt"))), F.lit(0).cast("bigint")), 2).alias("Total_Debt"),
-        cents(bal, "b_ppe").alias("Net_PPE"),
-        cents(bal, "b_gw").alias("Goodwill_And_Other_Intangible_Assets"),
-        F.count_if(cfl).alias("_cf_n"),
-        cents(cfl, "c_ocf").alias("Operating_Cash_Flow"),
-        cents(cfl, "c_capex").alias("Capital_Expenditure"),
-        units4(cfl, "c_div").alias("Cash_Dividends_Paid"),
-    )
+    return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in _PER_TICKER.items()])
 
 
 def income_from(agg: DataFrame) -> DataFrame:
@@ -239,16 +256,53 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def statement_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``income``, ``balance``, ``cash_flow`` and ``company_info`` for one scale directory.
+class StatementTables(dict):
+    """``income``, ``balance``, ``cash_flow`` and ``company_info``, built on first access.
 
-    Lazy: nothing runs until a consumer acts. The three statements are views of
-    one aggregate plan, which Spark evaluates once per query (exchange reuse).
+    A table is only planned when a consumer asks for it, and nothing runs until
+    that consumer acts. The three statements are views of one aggregate plan.
+
+    ``shared=True`` is for consumers that read two or more statements: Catalyst
+    prunes each branch to its own columns, so the branches would not share an
+    exchange and ``lineitem`` would be scanned once per branch. With
+    ``shared=True`` the aggregate is computed once and kept as a reliable
+    checkpoint in the shared checkpoint directory (lineage cut, safe against
+    executor loss); every branch then reads that small result. The checkpoint
+    keeps the aggregate's hash partitioning on ``(ticker, report_date)``.
     """
-    agg = statement_aggregate(spark, sf_dir)
-    return {
-        "income": income_from(agg),
-        "balance": balance_from(agg),
-        "cash_flow": cash_flow_from(agg),
-        "company_info": company_info(spark, sf_dir),
-    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = False):
+        super().__init__()
+        self._spark, self._dir, self._shared, self._agg = spark, sf_dir, shared, None
+
+    def _aggregate(self) -> DataFrame:
+        if self._agg is None:
+            agg = statement_aggregate(self._spark, self._dir)
+            self._agg = checkpointed(agg) if self._shared else agg
+        return self._agg
+
+    def __missing__(self, key: str) -> DataFrame:
+        builders = {
+            "income": lambda: income_from(self._aggregate()),
+            "balance": lambda: balance_from(self._aggregate()),
+            "cash_flow": lambda: cash_flow_from(self._aggregate()),
+            "company_info": lambda: company_info(self._spark, self._dir),
+        }
+        if key not in builders:
+            raise KeyError(key)
+        self[key] = builders[key]()
+        return self[key]
+
+    def items(self):  # all four, in a fixed order
+        return [(k, self[k]) for k in ("income", "balance", "cash_flow", "company_info")]
+
+    def keys(self):
+        return ["income", "balance", "cash_flow", "company_info"]
+
+    def __iter__(self):
+        return iter(self.keys())
+
+
+def statement_tables(spark: SparkSession, sf_dir: str, shared: bool = False) -> StatementTables:
+    """Statement tables of one scale directory (see :class:`StatementTables`)."""
+    return StatementTables(spark, sf_dir, shared)
