@@ -44,23 +44,26 @@ def with_ticker(df: DataFrame, ticker: str | Column = "ticker") -> DataFrame:
     return df.select(F.coalesce(t, F.lit(MISSING_TICKER)).alias("ticker"), *rest)
 
 
-def statement_long(docs: DataFrame, section: str) -> DataFrame:
+def statement_long(docs: DataFrame, section: str, period: str | None = None) -> DataFrame:
     """Unpivot a map-shaped statement ``{item: {date: value}}`` to
     ``(ticker, report_date, line_item, value)``; ``""`` values are dropped (missing).
 
     Two ``explode`` generators, no shuffle. Item names are cleaned to column names.
+    ``period`` (e.g. ``"annual"`` / ``"quarterly"``) adds a ``period`` column so that
+    annual and quarterly sections can share one long table.
     """
     items = docs.select(
         F.coalesce(F.col("ticker"), F.lit(MISSING_TICKER)).alias("ticker"),
         F.explode(F.col(section)).alias("item", "dates"),
     )
     cells = items.select("ticker", "item", F.explode("dates").alias("date", "value"))
-    return cells.where(F.col("value").isNotNull() & (F.col("value") != "")).select(
+    out = cells.where(F.col("value").isNotNull() & (F.col("value") != "")).select(
         "ticker",
         try_date("date").alias("report_date"),
         _clean_item(F.col("item")).alias("line_item"),
         F.col("value"),
     )
+    return out.withColumn("period", F.lit(period)) if period else out
 
 
 def wide_to_long(df: DataFrame, keys: Sequence[str] = ("ticker", "report_date"), value_type: str = "double") -> DataFrame:

@@ -16,7 +16,7 @@ from quarterdeck.functions.dates import AsOf
 from quarterdeck.operators import metrics as M
 from quarterdeck.plans import managed as MG
 from quarterdeck.plans.tables import save_table
-from quarterdeck.sources.delimited import read_statement
+from quarterdeck.sources.delimited import read_delimited_text, read_statement
 
 STATEMENT_FILES = {
     "balance_sheet": "balance_sheet.csv",
@@ -57,8 +57,6 @@ def external_tables(spark: SparkSession, src: str) -> dict[str, DataFrame]:
     out = {}
     for name, file in STATEMENT_FILES.items():
         if name == "company_info":
-            from quarterdeck.sources.delimited import read_delimited_text
-
             out[name] = read_delimited_text(spark, f"{src}/{file}")
         else:
             out[name] = read_statement(spark, f"{src}/{file}", section=name)
@@ -93,10 +91,8 @@ def build_all(spark: SparkSession, src: str, db: str, bucket_count: int | None =
     """
     ensure_database(spark, db)
     written = []
-    stages = [("external", None), ("managed", None), ("analytics", None)]
     try:
         ext = external_tables(spark, src)
-        stages[0] = ("external", ext)
         layout = {"bucket_by": (bucket_count, "ticker"), "sort_by": ("report_date",)} if bucket_count else {}
         for name, df in managed_tables(ext).items():
             full = f"{db}.{name}"

@@ -86,6 +86,8 @@ PROFILE_ATTRIBUTES = [
 ]
 
 SECTIONS = ("balance_sheet", "income_statement", "cash_flow_statement")
+# Quarterly sections use the same shape; the long form tags rows with a period.
+QUARTERLY_SECTIONS = tuple(f"quarterly_{s}" for s in SECTIONS)
 
 _ITEM_MAP = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
 
@@ -95,7 +97,7 @@ MAP_DOCUMENT_SCHEMA = T.StructType(
         T.StructField("ticker", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("company_info", T.MapType(T.StringType(), T.StringType())),
-        *[T.StructField(s, _ITEM_MAP) for s in SECTIONS],
+        *[T.StructField(s, _ITEM_MAP) for s in SECTIONS + QUARTERLY_SECTIONS],
     ]
 )
 
@@ -113,4 +115,5 @@ RECORD_DOCUMENT_SCHEMA = T.StructType(
 
 
 def item_type(section: str, item: str) -> str:
-    return "bigint" if item in LONG_ITEMS.get(section, ()) else "double"
+    base = section.removeprefix("quarterly_")
+    return "bigint" if item in LONG_ITEMS.get(base, ()) else "double"

@@ -54,7 +54,7 @@ def read_statement(
     t = {c: "bigint" for c in LONG_ITEMS.get(section or "", ())}
     t.update(types or {})
     typed = coerce_types(raw, t, default=default)
-    return typed.withColumn("report_date", try_date("report_date"))
+    return typed.withColumn("report_date", try_date("report_date")) if "report_date" in typed.columns else typed
 
 
 def read_with_schema(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", multiline: bool = True) -> DataFrame:
@@ -77,3 +77,47 @@ def infer_delimited(spark: SparkSession, path: str, sep: str = "\t", multiline:
 def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", sep: str = "\t") -> None:
     """Header line, tab separated, NULL written as an empty field; one file per partition."""
     df.write.mode(mode).option("sep", sep).option("header", True).csv(path)
+
+
+def append_delimited(spark: SparkSession, df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Append rows to a delimited-file directory, aligned *by name* to the header already there.
+
+    The first write creates the directory with a header. Later appends are
+    reordered to the existing header (missing columns become empty fields); a
+    column the existing files do not have is rejected, because readers take the
+    header of one file and a positional mismatch would shift values.
+    """
+    from quarterdeck.plans.tables import align_to
+
+    try:
+        existing = _reader(spark, sep, False).csv(path).columns
+    except Exception:  # noqa: BLE001 - no readable files yet: first write
+        existing = None
+    if not existing:
+        write_delimited(df, path, mode="overwrite", sep=sep)
+        return
+    write_delimited(align_to(df, existing), path, mode="append", sep=sep)
+
+
+def read_directory(spark: SparkSession, root: str, glob: str = "*.csv", sep: str = "\t") -> tuple[dict, DataFrame]:
+    """Every matching file under ``root`` as a table named after the file stem.
+
+    The listing comes from :func:`file_manifest` (distributed, content pruned);
+    each file is opened on its own, so one unreadable file is reported instead of
+    stopping the others. Returns ``(tables, report)`` with report columns
+    ``(table_name, path, status, columns, error)``.
+    """
+    from quarterdeck.sources.files import file_manifest
+
+    paths = sorted(r.path for r in file_manifest(spark, root, glob).select("path").collect())
+    tables, report = {}, []
+    for p in paths:
+        stem = p.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+        try:
+            df = read_delimited_text(spark, p, sep)
+            tables[stem] = df
+            report.append((stem, p, "loaded", len(df.columns), None))
+        except Exception as exc:  # noqa: BLE001 - isolated per file
+            report.append((stem, p, "failed", None, str(exc).splitlines()[0][:500]))
+    schema = "table_name string, path string, status string, columns int, error string"
+    return tables, spark.createDataFrame(report, schema)

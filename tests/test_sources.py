@@ -139,3 +139,38 @@ def test_json_record_counts(spark, tmp_path):
     (d / "b.json").write_text('{"x": 3}\n')
     got = {r.file_name: r.records for r in json_record_counts(spark, str(d)).collect()}
     assert got == {"a.json": 2, "b.json": 1}
+
+
+def test_append_delimited_aligns_by_name(spark, tmp_path):
+    from quarterdeck.sources.delimited import append_delimited
+
+    path = str(tmp_path / "app")
+    append_delimited(spark, spark.createDataFrame([("A", 1.0, 2.0)], "ticker string, x double, y double"), path)
+    append_delimited(spark, spark.createDataFrame([(5.0, "B")], "y double, ticker string"), path)
+    got = {r.ticker: (r.x, r.y) for r in read_statement(spark, path).collect()}
+    assert got == {"A": (1.0, 2.0), "B": (None, 5.0)}
+
+
+def test_read_directory_isolates_failures(spark, tmp_path):
+    from quarterdeck.sources.delimited import read_directory
+
+    d = tmp_path / "dir"
+    d.mkdir()
+    (d / "balance_sheet.csv").write_text("report_date\tticker\tTotal Assets\n2024-01-31\tA\t1\n")
+    (d / "income_statement.csv").write_text("report_date\tticker\n")
+    tables, report = read_directory(spark, str(d))
+    assert sorted(tables) == ["balance_sheet", "income_statement"]
+    assert {r.table_name: r.status for r in report.collect()} == {"balance_sheet": "loaded", "income_statement": "loaded"}
+    assert tables["balance_sheet"].columns == ["report_date", "ticker", "Total_Assets"]
+
+
+def test_quarterly_sections_share_the_long_form(spark, tmp_path):
+    docs = [{"ticker": "A", "income_statement": {"Total Revenue": {"2024-12-31": "4"}},
+             "quarterly_income_statement": {"Total Revenue": {"2024-09-30": "1", "2024-12-31": "1.5"}}}]
+    p = tmp_path / "q.json"
+    p.write_text(json.dumps(docs))
+    d = read_documents(spark, str(p), "map", multiline=True)
+    long = statement_long(d, "income_statement", "annual").unionByName(
+        statement_long(d, "quarterly_income_statement", "quarterly")
+    )
+    assert sorted((r.period, r.value) for r in long.collect()) == [("annual", "4"), ("quarterly", "1"), ("quarterly", "1.5")]
