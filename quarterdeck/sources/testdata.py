@@ -18,9 +18,10 @@ Plan shape (one job per consumer, whatever number of statements it reads):
 4. a second, tiny aggregation by ``(ticker, report_date)`` keeps the fixture's
    ``GROUP BY ticker`` exact even if two keys shared a name.
 
-``income``, ``balance`` and ``cash_flow`` are filters of that one aggregate. They
-share its hash partitioning on ``(ticker, report_date)``, so a join between two
-of them adds no exchange and Spark reuses the aggregate's shuffle.
+``income``, ``balance`` and ``cash_flow`` are filters of that one aggregate.
+Catalyst prunes each consumer branch to its own columns, so two branches do not
+share an exchange; consumers of several statements ask for ``shared=True`` and
+read one checkpointed aggregate instead (see :class:`StatementTables`).
 """
 
 from __future__ import annotations
@@ -267,8 +268,7 @@ class StatementTables(dict):
     exchange and ``lineitem`` would be scanned once per branch. With
     ``shared=True`` the aggregate is computed once and kept as a reliable
     checkpoint in the shared checkpoint directory (lineage cut, safe against
-    executor loss); every branch then reads that small result. The checkpoint
-    keeps the aggregate's hash partitioning on ``(ticker, report_date)``.
+    executor loss); every branch then reads that small result.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = False):
