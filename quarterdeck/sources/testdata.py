@@ -5,18 +5,18 @@ Grain: one row per supplier (``ticker = s_name``) and calendar quarter of ``l_sh
 the fixture's DECIMAL sums) and turned into DOUBLE only at the end, so results are
 exact and engine independent.
 
-Plan shape (one job per consumer, whatever number of statements it reads):
-
-1. one pruned scan of ``lineitem`` (8 columns, no ``l_comment`` etc.);
-2. partial + final aggregation by ``(l_suppkey, report_date)``. Every statement's
-   conditional sums are computed in this single pass; the map-side partial
-   aggregate shrinks a hot supplier to one row per quarter and task before any
-   shuffle, so skew in ``lineitem`` never reaches an exchange;
-3. join to ``supplier`` on the key. Catalyst broadcasts ``supplier`` only while its
-   size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks
-   with real sizes) and falls back to a sort-merge join beyond it;
-4. a second, tiny aggregation by ``(ticker, report_date)`` keeps the fixture's
-   ``GROUP BY ticker`` exact even if two keys shared a name.
+Plan shape:
+
+1. one pruned scan of ``lineitem`` (8 columns); money becomes exact integers;
+2. if ``supplier`` has a proven size bound (footer row count x row width under the
+   session's broadcast threshold) it is broadcast, each line is keyed by its
+   ticker on the map side and one aggregation by ``(ticker, report_date)``
+   follows: a single exchange, after map-side partial aggregation;
+3. otherwise the lines are first aggregated by ``(supplier key, quarter)`` (the
+   partial aggregate shrinks a hot supplier to one row per quarter and task
+   before any shuffle), the much smaller result is joined to ``supplier`` with a
+   sort-merge join, and a small aggregation by ``(ticker, report_date)`` keeps
+   the fixture's ``GROUP BY ticker`` exact even if two keys shared a name.
 
 ``income``, ``balance`` and ``cash_flow`` are filters of that one aggregate.
 Catalyst prunes each consumer branch to its own columns, so two branches do not
@@ -84,70 +84,109 @@ def _money(total: str, scale: int) -> str:
     )
 
 
-# Per (supplier, quarter) sums, in exact units (cents; 1/10,000 for price x rate).
-_PER_KEY = {
+# Row-level contributions, in exact units (cents; 1/10,000 for price x rate).
+_ROW = {
     # income statement
-    "i_rev": "sum(px)",
-    "i_cor": "sum(CASE WHEN rf = 'N' THEN px END)",
-    "i_opex": "sum(CASE WHEN rf = 'A' THEN px END)",
-    "i_rd": "sum(px * disc)",
-    "i_int": "sum(CASE WHEN rf = 'R' AND tax >= 7 THEN px * tax END)",
-    "i_tax": "sum(px * tax)",
-    "i_qty": "sum(qty)",
+    "i_rev": "px",
+    "i_cor": "CASE WHEN rf = 'N' THEN px END",
+    "i_opex": "CASE WHEN rf = 'A' THEN px END",
+    "i_rd": "px * disc",
+    "i_int": "CASE WHEN rf = 'R' AND tax >= 7 THEN px * tax END",
+    "i_tax": "px * tax",
+    "i_qty": "qty",
     # balance sheet: only finished lines count
-    "b_n": "count_if(fin)",
-    "b_ta": "sum(CASE WHEN fin THEN px END)",
-    "b_ca": "sum(CASE WHEN fin AND rf <> 'N' THEN px END)",
-    "b_inv": "sum(CASE WHEN fin AND rf = 'A' AND disc >= 5 THEN px END)",
-    "b_cash": "sum(CASE WHEN fin AND rf = 'R' THEN px END)",
-    "b_cl": "sum(CASE WHEN fin AND rf = 'R' AND tax <= 4 THEN px END)",
-    "b_debt": "sum(CASE WHEN fin AND rf = 'N' AND tax <= 3 THEN px END)",
-    "b_ppe": "sum(CASE WHEN fin AND rf = 'N' AND disc <= 5 THEN px END)",
-    "b_gw": "sum(CASE WHEN fin AND rf = 'N' AND disc > 5 THEN px END)",
+    "b_n": "CASE WHEN fin THEN 1 ELSE 0 END",
+    "b_ta": "CASE WHEN fin THEN px END",
+    "b_ca": "CASE WHEN fin AND rf <> 'N' THEN px END",
+    "b_inv": "CASE WHEN fin AND rf = 'A' AND disc >= 5 THEN px END",
+    "b_cash": "CASE WHEN fin AND rf = 'R' THEN px END",
+    "b_cl": "CASE WHEN fin AND rf = 'R' AND tax <= 4 THEN px END",
+    "b_debt": "CASE WHEN fin AND rf = 'N' AND tax <= 3 THEN px END",
+    "b_ppe": "CASE WHEN fin AND rf = 'N' AND disc <= 5 THEN px END",
+    "b_gw": "CASE WHEN fin AND rf = 'N' AND disc > 5 THEN px END",
     # cash-flow statement
-    "c_ocf": "sum(CASE WHEN rf <> 'A' THEN px END)",
-    "c_capex": "sum(CASE WHEN rf = 'A' AND disc < 3 THEN -px END)",
-    "c_div": "sum(CASE WHEN rf = 'N' THEN -px * tax END)",
+    "c_ocf": "CASE WHEN rf <> 'A' THEN px END",
+    "c_capex": "CASE WHEN rf = 'A' AND disc < 3 THEN -px END",
+    "c_div": "CASE WHEN rf = 'N' THEN -px * tax END",
 }
 
 _INC, _BAL, _CFL = "k % 10 <> 1", "k % 10 <> 0", "k % 10 <> 3"
 
 
-def _cents(cond: str, name: str, scale: int = 2) -> str:
-    return _money(f"sum(CASE WHEN {cond} THEN {name} END)", scale)
-
-
-# Per (ticker, quarter): statement membership by key, then exact sums to DOUBLE.
-_PER_TICKER = {
-    "_inc_n": f"count_if({_INC})",
-    "Total_Revenue": _cents(_INC, "i_rev"),
-    "Cost_Of_Revenue": _cents(_INC, "i_cor"),
-    "Operating_Expense": _cents(_INC, "i_opex"),
-    "Research_And_Development": _cents(_INC, "i_rd", 4),
-    "Interest_Expense": _cents(_INC, "i_int", 4),
-    "Tax_Provision": _cents(_INC, "i_tax", 4),
-    "Diluted_Average_Shares": f"sum(CASE WHEN {_INC} THEN i_qty END)",
-    "_bal_n": f"sum(CASE WHEN {_BAL} THEN b_n END)",
-    "Total_Assets": _cents(_BAL, "b_ta"),
-    "Current_Assets": _cents(_BAL, "b_ca"),
-    "Inventory": _cents(_BAL, "b_inv"),
-    "Cash_And_Cash_Equivalents": _cents(_BAL, "b_cash"),
-    "Current_Liabilities": _cents(_BAL, "b_cl"),
-    "Total_Debt": _money(f"coalesce(sum(CASE WHEN {_BAL} THEN b_debt END), CAST(0 AS BIGINT))", 2),
-    "Net_PPE": _cents(_BAL, "b_ppe"),
-    "Goodwill_And_Other_Intangible_Assets": _cents(_BAL, "b_gw"),
-    "_cf_n": f"count_if({_CFL})",
-    "Operating_Cash_Flow": _cents(_CFL, "c_ocf"),
-    "Capital_Expenditure": _cents(_CFL, "c_capex"),
-    "Cash_Dividends_Paid": _cents(_CFL, "c_div", 4),
-}
+def _per_ticker(v: dict[str, str], n_inc: str, n_cfl: str) -> dict[str, str]:
+    """Statement columns per (ticker, quarter). ``v[name]`` is the value to sum for a
+    contribution; ``n_inc``/``n_cfl`` count members of the keyed statements."""
+
+    def s(cond: str, name: str) -> str:
+        return f"sum(CASE WHEN {cond} THEN {v[name]} END)"
+
+    def money(cond: str, name: str, scale: int = 2) -> str:
+        return _money(s(cond, name), scale)
+
+    return {
+        "_inc_n": n_inc,
+        "Total_Revenue": money(_INC, "i_rev"),
+        "Cost_Of_Revenue": money(_INC, "i_cor"),
+        "Operating_Expense": money(_INC, "i_opex"),
+        "Research_And_Development": money(_INC, "i_rd", 4),
+        "Interest_Expense": money(_INC, "i_int", 4),
+        "Tax_Provision": money(_INC, "i_tax", 4),
+        "Diluted_Average_Shares": s(_INC, "i_qty"),
+        "_bal_n": s(_BAL, "b_n"),
+        "Total_Assets": money(_BAL, "b_ta"),
+        "Current_Assets": money(_BAL, "b_ca"),
+        "Inventory": money(_BAL, "b_inv"),
+        "Cash_And_Cash_Equivalents": money(_BAL, "b_cash"),
+        "Current_Liabilities": money(_BAL, "b_cl"),
+        "Total_Debt": _money(f"coalesce({s(_BAL, 'b_debt')}, CAST(0 AS BIGINT))", 2),
+        "Net_PPE": money(_BAL, "b_ppe"),
+        "Goodwill_And_Other_Intangible_Assets": money(_BAL, "b_gw"),
+        "_cf_n": n_cfl,
+        "Operating_Cash_Flow": money(_CFL, "c_ocf"),
+        "Capital_Expenditure": money(_CFL, "c_capex"),
+        "Cash_Dividends_Paid": money(_CFL, "c_div", 4),
+    }
+
+
+_SUPPLIER_ROW_BYTES = 64  # key + name, generous
+_SMALL_SUPPLIER: dict[str, bool] = {}
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    num = raw.rstrip("bkmg")
+    unit = raw[len(num):] or "b"
+    try:
+        return int(float(num) * units.get(unit, 1))
+    except ValueError:
+        return -1
+
+
+def supplier_is_small(spark: SparkSession, sf_dir: str) -> bool:
+    """Proven size bound for broadcasting ``supplier``: a footer-only row count times a
+    row-width bound against the session's broadcast threshold (cached per path)."""
+    path = f"{sf_dir.rstrip('/')}/supplier.parquet"
+    if path not in _SMALL_SUPPLIER:
+        limit = _broadcast_limit(spark)
+        rows = read_table(spark, sf_dir, "supplier").count() if limit > 0 else None
+        _SMALL_SUPPLIER[path] = rows is not None and rows * _SUPPLIER_ROW_BYTES <= limit
+    return _SMALL_SUPPLIER[path]
+
+
+def statement_aggregate(spark: SparkSession, sf_dir: str, broadcast_supplier: bool | None = None) -> DataFrame:
+    """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``.
 
+    Two exact plans, chosen by a checked size bound on ``supplier``:
 
-def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``.
+    * small supplier: broadcast it, join every line to its ticker on the map side and
+      aggregate once by ``(ticker, report_date)`` (one exchange);
+    * otherwise: aggregate by ``(supplier key, quarter)`` first (map-side partial
+      aggregation shrinks ``lineitem`` before any shuffle), join the much smaller
+      result to ``supplier``, and finish with a small aggregation by ticker.
 
-    Expressions are given as SQL text: the same Catalyst expressions, built with
-    one call each instead of one per operator.
+    ``broadcast_supplier`` forces a plan; ``None`` decides by the size check.
+    Expressions are SQL text: the same Catalyst expressions, built with one call each.
     """
     li = read_table(spark, sf_dir, "lineitem")
     base = li.select(
@@ -160,10 +199,16 @@ def statement_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("rf"),
         (F.col("l_linestatus") == "F").alias("fin"),
     )
-    per_key = base.groupBy("k", "report_date").agg(*[F.expr(e).alias(n) for n, e in _PER_KEY.items()])
     sup = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("ticker"))
+    small = supplier_is_small(spark, sf_dir) if broadcast_supplier is None else broadcast_supplier
+    if small:
+        keyed = base.join(F.broadcast(sup), "k")
+        exprs = _per_ticker(_ROW, f"count_if({_INC})", f"count_if({_CFL})")
+        return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in exprs.items()])
+    per_key = base.groupBy("k", "report_date").agg(*[F.expr(f"sum({e})").alias(n) for n, e in _ROW.items()])
     keyed = per_key.join(sup, "k")
-    return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in _PER_TICKER.items()])
+    exprs = _per_ticker({n: n for n in _ROW}, f"count_if({_INC})", f"count_if({_CFL})")
+    return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in exprs.items()])
 
 
 def income_from(agg: DataFrame) -> DataFrame:

@@ -103,3 +103,12 @@ def test_union_by_name_is_order_insensitive(spark):
     assert ab.columns == ["k", "x", "y", "z"]
     ba = union_by_name(b, a).select(*ab.columns)
     assert sorted(map(tuple, ab.collect()), key=str) == sorted(map(tuple, ba.collect()), key=str)
+
+
+def test_statement_build_plans_agree(spark, sf_small):
+    from quarterdeck.sources.testdata import statement_aggregate
+
+    a = statement_aggregate(spark, sf_small, broadcast_supplier=True)
+    b = statement_aggregate(spark, sf_small, broadcast_supplier=False)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
