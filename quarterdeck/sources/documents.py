@@ -6,8 +6,9 @@ Record shape: each section is a list of records holding ``date`` and
 ``calendarYear`` next to the items; a failed section may be replaced by an
 ``error`` text.
 
-Writers build the nesting with two aggregation levels (item, then company); a
-document is bounded by what one company reports, never by the table size.
+Writers build the nesting with two aggregation levels (item, then company) over
+one exchange by ticker; a document is bounded by what one company reports, never
+by the table size.
 """
 
 from __future__ import annotations
@@ -71,7 +72,9 @@ def map_documents(
         )
         cells = part if cells is None else cells.unionByName(part)
 
-    per_item = cells.groupBy("ticker", "section", "item").agg(
+    # collect_list does not shrink data map-side, so one exchange by ticker serves
+    # both nesting levels (and the profile join) instead of one exchange per level.
+    per_item = cells.repartition("ticker").groupBy("ticker", "section", "item").agg(
         F.map_from_entries(F.collect_list(F.struct("date", "value"))).alias("dates")
     )
     docs = per_item.groupBy("ticker").agg(
