@@ -73,3 +73,17 @@ def test_build_all_from_statement_files(spark, sf_small, tmp_path):
     assert "Exchange hashpartitioning(ticker" not in plan
     with pytest.raises(StageError):
         build_all(spark, str(tmp_path / "missing"), "t_build_missing")
+
+
+def test_quality_helpers(spark):
+    from quarterdeck.operators.quality import data_quality_checks, load_check
+
+    df = spark.createDataFrame(
+        [("A", dt.date(2020, 3, 31)), ("A", dt.date(2020, 6, 30)), ("B", dt.date(2021, 3, 31))], "ticker string, report_date date"
+    )
+    exact = data_quality_checks({"t": df}, stamp=False).collect()[0]
+    approx = data_quality_checks({"t": df}, approx=True).collect()[0]
+    assert (exact.row_count, exact.distinct_tickers, exact.min_date, exact.max_date) == (3, 2, dt.date(2020, 3, 31), dt.date(2021, 3, 31))
+    assert approx.distinct_tickers == 2 and approx.check_time is not None
+    lc = load_check(df.limit(1), df, "t").collect()[0]
+    assert (lc.inserted_rows, lc.total_rows) == (1, 3)
