@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.dates import AsOf
 from quarterdeck.operators import metrics as M
+from quarterdeck.operators.quality import duplicate_keys
 from quarterdeck.plans import managed as MG
 from quarterdeck.plans.tables import save_table
 from quarterdeck.sources.delimited import read_delimited_text, read_statement
@@ -83,11 +84,34 @@ def analytics_tables(t: Mapping[str, DataFrame], stamp: bool = True) -> dict[str
     }
 
 
-def build_all(spark: SparkSession, src: str, db: str, bucket_count: int | None = None, as_of: AsOf = None) -> DataFrame:
+def check_grain(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+    """Raise if a statement table has more than one row per ``(ticker, report_date)``.
+
+    The grain is what bounds every per-ticker window: a ticker has at most one row
+    per reporting period, so it can only hold a large share of a table that is
+    itself small. One aggregation per table (map-side combined); nothing is
+    collected but the first offending key.
+    """
+    for name, df in tables.items():
+        dup = duplicate_keys(df).limit(1).collect()
+        if dup:
+            raise StageError(f"{name}: duplicate key {dup[0]['ticker']!r}, {dup[0]['report_date']} ({dup[0]['n']} rows)")
+
+
+def build_all(
+    spark: SparkSession,
+    src: str,
+    db: str,
+    bucket_count: int | None = None,
+    as_of: AsOf = None,
+    verify_grain: bool = True,
+) -> DataFrame:
     """Run every stage; return ``(stage, table_name, rows)`` for the tables written.
 
     With ``bucket_count`` the managed statements are bucketed by ``ticker`` and
     sorted by ``report_date``, so the trend windows read them without a shuffle.
+    ``verify_grain`` checks the one-row-per-period grain of the statements before
+    the analytics stage.
     """
     ensure_database(spark, db)
     written = []
@@ -99,6 +123,8 @@ def build_all(spark: SparkSession, src: str, db: str, bucket_count: int | None =
             save_table(df, full, **(layout if name != "company_info" else {}))
             written.append(("managed", full))
         stored = {n: spark.table(f"{db}.{n}") for n in STATEMENT_FILES}
+        if verify_grain:
+            check_grain(spark, {n: stored[n] for n in ("balance_sheet", "income_statement", "cash_flow_statement")})
         for name, df in analytics_tables(stored).items():
             full = f"{db}.{name}"
             save_table(df, full)

@@ -87,3 +87,12 @@ def test_quality_helpers(spark):
     assert approx.distinct_tickers == 2 and approx.check_time is not None
     lc = load_check(df.limit(1), df, "t").collect()[0]
     assert (lc.inserted_rows, lc.total_rows) == (1, 3)
+
+
+def test_grain_check_rejects_duplicates(spark):
+    from quarterdeck.plans.build import check_grain
+
+    ok = spark.createDataFrame([("A", dt.date(2020, 3, 31))], "ticker string, report_date date")
+    check_grain(spark, {"ok": ok})
+    with pytest.raises(StageError):
+        check_grain(spark, {"dup": ok.unionByName(ok)})
