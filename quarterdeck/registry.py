@@ -10,11 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarterdeck.operators import metrics as M
+from quarterdeck.operators import quality as Q
 from quarterdeck.operators import reports as R
+from quarterdeck.operators import reshape as RS
 from quarterdeck.oracle import AS_OF
-from quarterdeck.sources.testdata import statement_tables
+from quarterdeck.plans import managed as MG
+from quarterdeck.plans.storage import staging_path
+from quarterdeck.plans.tables import write_partitioned
+from quarterdeck.sources import delimited as DL
+from quarterdeck.sources import documents as DOC
+from quarterdeck.sources import files as FL
+from quarterdeck.sources.testdata import TABLES, read_table, statement_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -137,19 +146,6 @@ QUERIES: dict[str, QueryFn] = {
 # Sources, reshaping, managed layer and checks. Round trips write to a fresh
 # directory under the shared checkpoint root, then read back with our readers.
 # ---------------------------------------------------------------------------
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from quarterdeck.operators import quality as Q  # noqa: E402
-from quarterdeck.operators import reshape as RS  # noqa: E402
-from quarterdeck.plans import managed as MG  # noqa: E402
-from quarterdeck.plans.storage import staging_path  # noqa: E402
-from quarterdeck.plans.tables import write_partitioned  # noqa: E402
-from quarterdeck.sources import delimited as DL  # noqa: E402
-from quarterdeck.sources import documents as DOC  # noqa: E402
-from quarterdeck.sources import files as FL  # noqa: E402
-from quarterdeck.sources.testdata import TABLES, read_table  # noqa: E402
-
 PROFILE_DOC_ATTRIBUTES = {
     "displayName": "company",
     "country": "country",

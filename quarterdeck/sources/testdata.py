@@ -149,7 +149,7 @@ def _per_ticker(v: dict[str, str], n_inc: str, n_cfl: str) -> dict[str, str]:
 
 
 _SUPPLIER_ROW_BYTES = 64  # key + name, generous
-_SMALL_SUPPLIER: dict[str, bool] = {}
+_SMALL_SUPPLIER: dict[tuple[str, int], bool] = {}
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -166,12 +166,12 @@ def _broadcast_limit(spark: SparkSession) -> int:
 def supplier_is_small(spark: SparkSession, sf_dir: str) -> bool:
     """Proven size bound for broadcasting ``supplier``: a footer-only row count times a
     row-width bound against the session's broadcast threshold (cached per path)."""
-    path = f"{sf_dir.rstrip('/')}/supplier.parquet"
-    if path not in _SMALL_SUPPLIER:
-        limit = _broadcast_limit(spark)
+    limit = _broadcast_limit(spark)
+    key = (f"{sf_dir.rstrip('/')}/supplier.parquet", limit)
+    if key not in _SMALL_SUPPLIER:
         rows = read_table(spark, sf_dir, "supplier").count() if limit > 0 else None
-        _SMALL_SUPPLIER[path] = rows is not None and rows * _SUPPLIER_ROW_BYTES <= limit
-    return _SMALL_SUPPLIER[path]
+        _SMALL_SUPPLIER[key] = rows is not None and rows * _SUPPLIER_ROW_BYTES <= limit
+    return _SMALL_SUPPLIER[key]
 
 
 def statement_aggregate(spark: SparkSession, sf_dir: str, broadcast_supplier: bool | None = None) -> DataFrame:
