@@ -71,6 +71,11 @@ def test_build_all_from_statement_files(spark, sf_small, tmp_path):
 
     plan = balance_sheet_trends(spark.table("t_build.balance_sheet"), stamp=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(ticker" not in plan
+    from quarterdeck.operators.metrics import financial_ratios, yoy_comparison
+
+    inc, bal = spark.table("t_build.income_statement"), spark.table("t_build.balance_sheet")
+    for df in (financial_ratios(inc, bal, stamp=False), yoy_comparison(inc, stamp=False)):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(StageError):
         build_all(spark, str(tmp_path / "missing"), "t_build_missing")
 
