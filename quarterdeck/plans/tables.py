@@ -5,8 +5,9 @@
   column such as the report year; daily partitions make too many small files)
   and ``bucket_by`` (bucketing by ``ticker`` and sorting by ``report_date`` lets
   later windows and joins on ``ticker`` skip their shuffle).
-* ``load_replace``: the previous table is kept as ``<name>_backup`` (an older
-  backup is dropped first, so repeated runs do not fail).
+* ``load_replace``: the new rows are written under a staging name first; then the
+  previous table becomes ``<name>_backup`` (an older backup is dropped, so
+  repeated runs do not fail) and the staged table takes the name.
 * ``load_append``: creates the table if missing, else inserts after aligning the
   new rows to the table's columns *by name* (a positional insert would shift
   values when column order differs); columns the table lacks are rejected.
@@ -46,14 +47,21 @@ def save_table(
 def load_replace(spark: SparkSession, df: DataFrame, name: str, **layout) -> str | None:
     """Replace ``name`` with ``df``; the previous version becomes ``<name>_backup``.
 
+    The new rows are written to ``<name>_incoming`` first; only after that write
+    has succeeded are the catalog entries swapped (drop the old backup, current ->
+    backup, incoming -> current). A job that fails while writing, e.g. after losing
+    executors beyond retry, leaves the current table untouched.
     Returns the backup name, or ``None`` when there was no previous table.
     """
+    incoming = f"{name}_incoming"
+    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+    save_table(df, incoming, **layout)
     backup = None
     if table_exists(spark, name):
         backup = f"{name}_backup"
         spark.sql(f"DROP TABLE IF EXISTS {backup}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
-    save_table(df, name, **layout)
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
     return backup
 
 

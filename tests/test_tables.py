@@ -19,6 +19,10 @@ def test_replace_keeps_one_backup(spark):
     assert backup == f"{name}_backup"
     assert spark.table(name).collect()[0].v == 2
     assert spark.table(backup).collect()[0].v == 1
+    failing = spark.createDataFrame([(9,)], "v int").withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception):
+        load_replace(spark, failing, name)
+    assert spark.table(name).collect()[0].v == 2 and spark.table(backup).collect()[0].v == 1
 
 
 def test_append_aligns_by_name(spark):
