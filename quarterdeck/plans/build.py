@@ -1,6 +1,8 @@
 """The staged build: statement files -> managed tables -> analytics tables.
 
 Stages run in order and stop at the first failure (an exception names the stage).
+Every table is written under a staging name and swapped in only when complete,
+so a failed or retried build never leaves a half-written table behind.
 Each table is a DataFrame function; the only driver/executor boundary is the
 table write. Catalog helpers list tables and describe them.
 """
@@ -16,7 +18,7 @@ from quarterdeck.functions.dates import AsOf
 from quarterdeck.operators import metrics as M
 from quarterdeck.operators.quality import duplicate_keys
 from quarterdeck.plans import managed as MG
-from quarterdeck.plans.tables import save_table
+from quarterdeck.plans.tables import load_replace
 from quarterdeck.sources.delimited import read_delimited_text, read_statement
 
 STATEMENT_FILES = {
@@ -120,14 +122,14 @@ def build_all(
         layout = {"bucket_by": (bucket_count, "ticker"), "sort_by": ("report_date",)} if bucket_count else {}
         for name, df in managed_tables(ext).items():
             full = f"{db}.{name}"
-            save_table(df, full, **(layout if name != "company_info" else {}))
+            load_replace(spark, df, full, keep_backup=False, **(layout if name != "company_info" else {}))
             written.append(("managed", full))
         stored = {n: spark.table(f"{db}.{n}") for n in STATEMENT_FILES}
         if verify_grain:
             check_grain(spark, {n: stored[n] for n in ("balance_sheet", "income_statement", "cash_flow_statement")})
         for name, df in analytics_tables(stored).items():
             full = f"{db}.{name}"
-            save_table(df, full)
+            load_replace(spark, df, full, keep_backup=False)
             written.append(("analytics", full))
     except Exception as exc:
         done = ", ".join(n for _, n in written) or "nothing"

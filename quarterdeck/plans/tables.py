@@ -44,14 +44,15 @@ def save_table(
     w.saveAsTable(name)
 
 
-def load_replace(spark: SparkSession, df: DataFrame, name: str, **layout) -> str | None:
+def load_replace(spark: SparkSession, df: DataFrame, name: str, keep_backup: bool = True, **layout) -> str | None:
     """Replace ``name`` with ``df``; the previous version becomes ``<name>_backup``.
 
     The new rows are written to ``<name>_incoming`` first; only after that write
     has succeeded are the catalog entries swapped (drop the old backup, current ->
     backup, incoming -> current). A job that fails while writing, e.g. after losing
     executors beyond retry, leaves the current table untouched.
-    Returns the backup name, or ``None`` when there was no previous table.
+    With ``keep_backup=False`` the previous version is dropped after the swap.
+    Returns the backup name, or ``None`` when there was no previous table (or no backup is kept).
     """
     incoming = f"{name}_incoming"
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
@@ -62,6 +63,9 @@ def load_replace(spark: SparkSession, df: DataFrame, name: str, **layout) -> str
         spark.sql(f"DROP TABLE IF EXISTS {backup}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
+    if backup and not keep_backup:
+        spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        return None
     return backup
 
 
