@@ -24,7 +24,7 @@ def file_manifest(
     prefix: str | None = None,
     recursive: bool = True,
 ) -> DataFrame:
-    """``(path, name, size_bytes, size_mb, updated)`` per file under ``root``.
+    """``(path, name, parent, size_bytes, size_mb, updated)`` per file under ``root``.
 
     ``glob`` filters file names; ``prefix`` keeps files whose name starts with it.
     """
@@ -36,9 +36,11 @@ def file_manifest(
         .select("path", "length", "modificationTime")
     )
     name = F.regexp_extract("path", r"([^/]+)$", 1)
+    parent = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     out = df.select(
         "path",
         name.alias("name"),
+        parent.alias("parent"),
         F.col("length").alias("size_bytes"),
         F.round(bytes_to_mb("length"), 2).alias("size_mb"),
         F.col("modificationTime").alias("updated"),
@@ -83,13 +85,15 @@ def verify_files(manifest: DataFrame, prefixes: Iterable[str]) -> DataFrame:
 def required_inputs(manifest: DataFrame, expected: Iterable[str]) -> DataFrame:
     """``(name, present)`` for each expected file name: a left-anti test against the manifest.
 
-    The expected list is small by construction (it is typed by a person), the
-    manifest may be huge; the join is a left outer join on the name key, so
-    Spark can broadcast the expected side and stream the manifest.
+    A name counts as present as a file or as the directory holding part files (how
+    Spark writes a table). The expected list is small by construction (it is typed
+    by a person), the manifest may be huge; the join is a left outer join on the
+    name key, so Spark can broadcast the expected side and stream the manifest.
     """
     spark = manifest.sparkSession
     exp = spark.createDataFrame([(e,) for e in expected], "name string")
-    seen = manifest.select("name").distinct().withColumn("present", F.lit(True))
+    names = manifest.select("name").unionByName(manifest.select(F.col("parent").alias("name")))
+    seen = names.distinct().withColumn("present", F.lit(True))
     return exp.join(seen, "name", "left").select("name", F.coalesce("present", F.lit(False)).alias("present"))
 
 

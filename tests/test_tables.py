@@ -70,6 +70,15 @@ def test_build_all_from_statement_files(spark, sf_small, tmp_path):
     assert prof.where(F.col("company").isNotNull()).count() == prof.count()
     info = table_info(spark, "t_build.balance_sheet")
     assert info["rows"] == st["balance"].count() and "Total_Assets" in info["schema"]
+    assert "bytes" in (info["statistics"] or "")
+    from quarterdeck.cli import REPORTS, main, run_report
+
+    for name in REPORTS:
+        assert run_report(spark, name, "t_build", "2001-12-31").columns
+    assert run_report(spark, "health_score", "t_build", "2001-12-31").count() > 0
+    assert main(["validate", "--src", str(src)], spark=spark) == 0
+    assert main(["report", "cash_strength", "--db", "t_build", "--out", str(tmp_path / "cs")], spark=spark) == 0
+    assert spark.read.parquet(str(tmp_path / "cs")).count() > 0
     # bucketed by ticker: the trend window reads the stored table without an exchange on ticker
     from quarterdeck.operators.metrics import balance_sheet_trends
 
