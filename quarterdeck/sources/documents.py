@@ -31,9 +31,14 @@ def read_documents(spark: SparkSession, path: str, shape: str = "map", multiline
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def write_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON document per line, one file per partition."""
-    docs.write.mode(mode).json(path)
+def write_documents(docs: DataFrame, path: str, mode: str = "overwrite", pretty: bool = False) -> None:
+    """One JSON document per line, one file per partition (splittable for readers).
+
+    ``pretty=True`` indents each document for people to read; such files are no
+    longer one-document-per-line, so read them back with ``multiline=True`` one
+    document per file, or keep the default for data exchange.
+    """
+    docs.write.mode(mode).option("pretty", pretty).json(path)
 
 
 def _label(name: Column) -> Column:

@@ -174,3 +174,13 @@ def test_quarterly_sections_share_the_long_form(spark, tmp_path):
         statement_long(d, "quarterly_income_statement", "quarterly")
     )
     assert sorted((r.period, r.value) for r in long.collect()) == [("annual", "4"), ("quarterly", "1"), ("quarterly", "1.5")]
+
+
+def test_pretty_documents(spark, tmp_path):
+    from quarterdeck.sources.documents import write_documents
+
+    df = spark.createDataFrame([("A", "p")], "ticker string, source string")
+    write_documents(df.coalesce(1), str(tmp_path / "pretty"), pretty=True)
+    text = "".join(p.read_text() for p in (tmp_path / "pretty").glob("part-*"))
+    assert '"ticker" : "A"' in text and text.count("\n") > 2
+    assert read_documents(spark, str(tmp_path / "pretty"), "map", multiline=True).first().ticker == "A"
