@@ -22,7 +22,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached in local tests: no cluster-wide setting exists.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to storage every executor can reach (HDFS, object store)")
+        # Local mode only (tests): one machine, so a private temporary folder is shared by all tasks.
         conf_dir = tempfile.mkdtemp(prefix="quarterdeck-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
