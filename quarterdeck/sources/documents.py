@@ -21,13 +21,25 @@ from pyspark.sql import functions as F
 from quarterdeck.schemas import MAP_DOCUMENT_SCHEMA, RECORD_DOCUMENT_SCHEMA
 
 
-def read_documents(spark: SparkSession, path: str, shape: str = "map", multiline: bool = False) -> DataFrame:
+def read_documents(
+    spark: SparkSession,
+    path: str,
+    shape: str = "map",
+    multiline: bool = False,
+    extra_sections: Sequence[str] = (),
+) -> DataFrame:
     """Read company documents with an explicit schema (no inference pass).
 
     ``multiline=True`` reads a file holding one JSON array (each element becomes a
-    row); the default reads JSON lines, which Spark can split.
+    row); the default reads JSON lines, which Spark can split. ``extra_sections``
+    adds provider sections beyond the statements (``ratios``, ``earnings`` ...) with
+    the same shape as the statements, so the same long/wide operators apply.
     """
     schema = {"map": MAP_DOCUMENT_SCHEMA, "records": RECORD_DOCUMENT_SCHEMA}[shape]
+    section_type = schema[schema.fieldNames()[-1]].dataType
+    for name in extra_sections:
+        if name not in schema.fieldNames():
+            schema = schema.add(name, section_type)
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 

@@ -184,3 +184,12 @@ def test_pretty_documents(spark, tmp_path):
     text = "".join(p.read_text() for p in (tmp_path / "pretty").glob("part-*"))
     assert '"ticker" : "A"' in text and text.count("\n") > 2
     assert read_documents(spark, str(tmp_path / "pretty"), "map", multiline=True).first().ticker == "A"
+
+
+def test_extra_provider_sections(spark, tmp_path):
+    docs = [{"ticker": "A", "ratios": [{"date": "2024-12-31", "calendarYear": "2024", "currentRatio": "1.5"}]}]
+    p = tmp_path / "extra.json"
+    p.write_text("\n".join(json.dumps(d) for d in docs))
+    d = read_documents(spark, str(p), "records", extra_sections=["ratios"])
+    rows = records_long(d, "ratios").collect()
+    assert [(r.line_item, r.value) for r in rows] == [("currentRatio", "1.5")]
