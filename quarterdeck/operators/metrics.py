@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.arith import growth_pct, pct, safe_divide
-from quarterdeck.operators.ranking import report_rank
+from quarterdeck.operators.ranking import previous_and_rank, report_rank
 
 KEYS = ["ticker", "report_date"]
 
@@ -139,52 +139,80 @@ def _trend_windows(key: str = "ticker", order: str = "report_date"):
     return Window.partitionBy(key).orderBy(order)
 
 
-def balance_sheet_trends(balance: DataFrame, stamp: bool = True) -> DataFrame:
+class _Trend:
+    """LAG / growth / rank columns for one trend table, by window or by position.
+
+    ``strategy="window"``: one ``partitionBy(ticker)`` window (one exchange; a group
+    holds one ticker's reports, bounded by the statement grain).
+    ``strategy="range"``: :func:`previous_and_rank`, which never places a whole
+    ticker in one task, for inputs whose grain is not guaranteed.
+    """
+
+    def __init__(self, df: DataFrame, lag_columns: list[str], strategy: str):
+        if strategy not in ("window", "range"):
+            raise ValueError(f"unknown strategy {strategy!r}")
+        self.strategy = strategy
+        self.w = _trend_windows()
+        self.df = df if strategy == "window" else previous_and_rank(df, "ticker", "report_date", lag_columns)
+
+    def lag(self, c: str):
+        return F.lag(c).over(self.w) if self.strategy == "window" else F.col(f"_prev_{c}")
+
+    def growth(self, c: str):
+        if self.strategy == "window":
+            return growth_pct(c, self.w)
+        return safe_divide(F.col(c) - F.col(f"_prev_{c}"), F.col(f"_prev_{c}")) * 100
+
+    def rank(self):
+        return report_rank() if self.strategy == "window" else F.col("report_rank")
+
+
+def balance_sheet_trends(balance: DataFrame, stamp: bool = True, strategy: str = "window") -> DataFrame:
     """D2: balance sheet with previous-report values, growth in percent and report rank."""
-    w = _trend_windows()
     b = balance.where(F.col("Total_Assets").isNotNull())
-    out = b.select(
+    t = _Trend(b, ["Total_Assets", "Total_Liabilities_Net_Minority_Interest", "Stockholders_Equity", "Working_Capital"], strategy)
+    out = t.df.select(
         "ticker",
         "report_date",
         "Total_Assets",
-        F.lag("Total_Assets").over(w).alias("prev_total_assets"),
-        growth_pct("Total_Assets", w).alias("total_assets_growth_pct"),
+        t.lag("Total_Assets").alias("prev_total_assets"),
+        t.growth("Total_Assets").alias("total_assets_growth_pct"),
         "Total_Liabilities_Net_Minority_Interest",
-        F.lag("Total_Liabilities_Net_Minority_Interest").over(w).alias("prev_total_liabilities"),
+        t.lag("Total_Liabilities_Net_Minority_Interest").alias("prev_total_liabilities"),
         "Stockholders_Equity",
-        F.lag("Stockholders_Equity").over(w).alias("prev_stockholders_equity"),
-        growth_pct("Stockholders_Equity", w).alias("equity_growth_pct"),
+        t.lag("Stockholders_Equity").alias("prev_stockholders_equity"),
+        t.growth("Stockholders_Equity").alias("equity_growth_pct"),
         "Current_Assets",
         "Current_Liabilities",
         "Working_Capital",
-        F.lag("Working_Capital").over(w).alias("prev_working_capital"),
+        t.lag("Working_Capital").alias("prev_working_capital"),
         "Cash_And_Cash_Equivalents",
         "Total_Debt",
         "Net_Debt",
-        report_rank().alias("report_rank"),
+        t.rank().alias("report_rank"),
     )
     return _stamp(out, "calculated_at", stamp)
 
 
-def income_statement_trends(income: DataFrame, stamp: bool = True) -> DataFrame:
+def income_statement_trends(income: DataFrame, stamp: bool = True, strategy: str = "window") -> DataFrame:
     """D3: income statement with previous-report values, margins, growth and report rank."""
-    w = _trend_windows()
     i = income.where(F.col("Total_Revenue").isNotNull())
-    out = i.select(
+    t = _Trend(i, ["Total_Revenue", "Net_Income", "EBITDA"], strategy)
+    out = t.df.select(
         "ticker",
         "report_date",
         "Total_Revenue",
-        F.lag("Total_Revenue").over(w).alias("prev_revenue"),
-        growth_pct("Total_Revenue", w).alias("revenue_growth_pct"),
+        t.lag("Total_Revenue").alias("prev_revenue"),
+        t.growth("Total_Revenue").alias("revenue_growth_pct"),
         "Gross_Profit",
         pct("Gross_Profit", "Total_Revenue").alias("gross_profit_margin_pct"),
         "Operating_Income",
         pct("Operating_Income", "Total_Revenue").alias("operating_margin_pct"),
         "Net_Income",
-        F.lag("Net_Income").over(w).alias("prev_net_income"),
-        growth_pct("Net_Income", w).alias("ni_growth_pct"),
+        t.lag("Net_Income").alias("prev_net_income"),
+        t.growth("Net_Income").alias("ni_growth_pct"),
         "EBITDA",
-        F.lag("EBITDA").over(w).alias("prev_ebitda"),
+        t.lag("EBITDA").alias("prev_ebitda"),
         "Tax_Provision",
         pct("Tax_Provision", "Pretax_Income").alias("effective_tax_rate_pct"),
         "Cost_Of_Revenue",
@@ -193,7 +221,7 @@ def income_statement_trends(income: DataFrame, stamp: bool = True) -> DataFrame:
         "Selling_General_And_Administration",
         "Diluted_EPS",
         "Basic_EPS",
-        report_rank().alias("report_rank"),
+        t.rank().alias("report_rank"),
     )
     return _stamp(out, "calculated_at", stamp)
 

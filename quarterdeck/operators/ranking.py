@@ -67,8 +67,9 @@ def global_row_number(
        ``monotonically_increasing_id`` (partition id in the upper bits);
     3. materialise that once (reliable checkpoint), so both uses below see the same
        partition assignment even if an executor is lost;
-    4. count rows per partition (``num_partitions`` rows), prefix-sum them on that
-       tiny table, broadcast it back and add the offset.
+    4. count rows per partition once: ``num_partitions`` numbers, the same
+       per-partition counts RDD ``zipWithIndex`` gathers; prefix-sum them and
+       broadcast the offsets back (a table of exactly ``num_partitions`` rows).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -80,9 +81,12 @@ def global_row_number(
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33))
     )
     tagged = checkpointed(tagged)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    counts = {r["_pid"]: r["_n"] for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    running, rows = 0, []
+    for p in range(n):
+        rows.append((p, running))
+        running += counts.get(p, 0)
+    offsets = spark.createDataFrame(rows, "_pid int, _off bigint")
     return (
         tagged.join(F.broadcast(offsets), "_pid")
         .withColumn(name, F.col("_off") + F.col("_pos") + 1)
@@ -93,3 +97,48 @@ def global_row_number(
 def report_rank(desc_by: str = "report_date", key: str = "ticker") -> Column:
     """``RANK() OVER (PARTITION BY key ORDER BY desc_by DESC)`` as BIGINT."""
     return F.rank().over(Window.partitionBy(key).orderBy(F.col(desc_by).desc())).cast("bigint")
+
+
+def previous_and_rank(
+    df: DataFrame,
+    key: str,
+    order: str,
+    lag_columns: Sequence[str],
+    rank_name: str = "report_rank",
+) -> DataFrame:
+    """LAG of ``lag_columns`` over ``(key, order)`` and RANK over ``order`` DESC, without a
+    window: no task ever holds a whole key.
+
+    Adds ``_prev_<col>`` for each lag column and ``rank_name`` (BIGINT). Same values
+    as ``LAG(col) OVER (PARTITION BY key ORDER BY order)`` and
+    ``RANK() OVER (PARTITION BY key ORDER BY order DESC)`` (NULL keys form their own
+    group, NULL orders sort first ascending / last descending; rows tied on
+    ``order`` take an arbitrary but fixed order, as in the window form).
+
+    1. every row gets its global position ``_g`` in ``(key, order)`` order from
+       :func:`global_row_number`: range partitions split a heavy key over many tasks;
+    2. the previous row is the row at ``_g - 1`` when it has the same key: an equi-join
+       on the unique position, so both sides are evenly spread;
+    3. ``rank = 1 + last position of the key - last position of (key, order)``; the
+       two "last position" tables are map-side-combined aggregates joined back with
+       null-safe keys (AQE splits a heavy key on the probe side).
+    """
+    ordering = [F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first()]
+    ranked = global_row_number(df, ordering, "_g")
+    prev = ranked.select(
+        (F.col("_g") + 1).alias("_g"),
+        F.col(key).alias("_pk"),
+        *[F.col(c).alias(f"_pv_{c}") for c in lag_columns],
+    )
+    out = ranked.join(prev, "_g", "left")
+    same = F.col("_pk").eqNullSafe(F.col(key))
+    out = out.select(
+        *[F.col(c) for c in ranked.columns],
+        *[F.when(same, F.col(f"_pv_{c}")).alias(f"_prev_{c}") for c in lag_columns],
+    )
+    last_k = ranked.groupBy(F.col(key).alias("_k1")).agg(F.max("_g").alias("_last_k"))
+    last_kd = ranked.groupBy(F.col(key).alias("_k2"), F.col(order).alias("_o2")).agg(F.max("_g").alias("_last_kd"))
+    out = out.join(last_k, F.col(key).eqNullSafe(F.col("_k1")), "left")
+    out = out.join(last_kd, F.col(key).eqNullSafe(F.col("_k2")) & F.col(order).eqNullSafe(F.col("_o2")), "left")
+    rank = (F.lit(1) + F.col("_last_k") - F.col("_last_kd")).cast("bigint")
+    return out.withColumn(rank_name, rank).drop("_g", "_k1", "_last_k", "_k2", "_o2", "_last_kd")

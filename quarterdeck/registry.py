@@ -331,6 +331,14 @@ def q_stream_statements(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def q_balance_sheet_trends_range(spark, sf_dir):
+    return M.balance_sheet_trends(_st(spark, sf_dir)["balance"], stamp=False, strategy="range")
+
+
+def q_income_statement_trends_range(spark, sf_dir):
+    return M.income_statement_trends(_st(spark, sf_dir)["income"], stamp=False, strategy="range")
+
+
 def q_file_manifest(spark, sf_dir):
     return FL.file_manifest(spark, sf_dir, "*.parquet").select("name", "size_bytes")
 
@@ -368,6 +376,8 @@ QUERIES.update(
         "ratios_last_year": q_ratios_last_year,
         "partitioned_lookup": q_partitioned_lookup,
         "stream_statements": q_stream_statements,
+        "balance_sheet_trends_range": q_balance_sheet_trends_range,
+        "income_statement_trends_range": q_income_statement_trends_range,
         "file_manifest": q_file_manifest,
         "file_stats": q_file_stats,
         "required_inputs": q_required_inputs,

@@ -114,3 +114,37 @@ def test_statement_build_plans_agree(spark, sf_small):
         x, y = view(a), view(b)
         assert x.count() > 0
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_range_strategy_equals_window_with_a_hot_ticker(spark, seed):
+    from quarterdeck.operators.metrics import balance_sheet_trends, income_statement_trends
+
+    rnd = random.Random(seed)
+    keys = set()
+    # one ticker holds a third of the rows; plus NULL tickers and NULL dates
+    for i in range(600):
+        t = "HOT" if i % 3 == 0 else rnd.choice([f"T{j}" for j in range(40)] + [None])
+        d = None if rnd.random() < 0.02 else dt.date(1900, 1, 1) + dt.timedelta(days=rnd.randint(0, 40000))
+        keys.add((t, d))
+    rows = [(t, d, rnd.uniform(-10, 100), rnd.choice([None, rnd.uniform(0, 50)])) for t, d in sorted(keys, key=str)]
+    base = spark.createDataFrame(rows, "ticker string, report_date date, a double, b double").repartition(7)
+    bal = base.select(
+        "ticker", "report_date", F.col("a").alias("Total_Assets"), F.col("b").alias("Total_Liabilities_Net_Minority_Interest"),
+        (F.col("a") - F.coalesce("b", F.lit(0.0))).alias("Stockholders_Equity"), F.col("b").alias("Current_Assets"),
+        F.col("a").alias("Current_Liabilities"), (F.col("a") * 2).alias("Working_Capital"),
+        F.col("b").alias("Cash_And_Cash_Equivalents"), F.col("a").alias("Total_Debt"), F.col("b").alias("Net_Debt"),
+    )
+    w = balance_sheet_trends(bal, stamp=False)
+    r = balance_sheet_trends(bal, stamp=False, strategy="range").select(*w.columns)
+    assert sorted(map(tuple, w.collect()), key=str) == sorted(map(tuple, r.collect()), key=str)
+    inc = base.select(
+        "ticker", "report_date", F.col("a").alias("Total_Revenue"), F.col("b").alias("Gross_Profit"),
+        F.col("b").alias("Operating_Income"), (F.col("a") / 3).alias("Net_Income"), F.col("b").alias("EBITDA"),
+        F.col("b").alias("Tax_Provision"), F.col("a").alias("Pretax_Income"), F.col("b").alias("Cost_Of_Revenue"),
+        F.col("b").alias("Operating_Expense"), F.col("b").alias("Research_And_Development"),
+        F.col("b").alias("Selling_General_And_Administration"), F.col("b").alias("Diluted_EPS"), F.col("b").alias("Basic_EPS"),
+    )
+    w = income_statement_trends(inc, stamp=False)
+    r = income_statement_trends(inc, stamp=False, strategy="range").select(*w.columns)
+    assert sorted(map(tuple, w.collect()), key=str) == sorted(map(tuple, r.collect()), key=str)
