@@ -44,3 +44,18 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=str)
     assert got == want
+
+
+@pytest.mark.parametrize(
+    "conf", [{"spark.sql.ansi.enabled": "false"}, {"spark.sql.session.timeZone": "America/Los_Angeles"}]
+)
+@pytest.mark.parametrize("name", ["financial_ratios", "scan_nested_json", "health_score"])
+def test_results_do_not_depend_on_session_settings(spark, duck, sf_small, conf, name):
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        test_query_matches_oracle(spark, duck, sf_small, name)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
