@@ -313,7 +313,9 @@ class StatementTables(dict):
     exchange and ``lineitem`` would be scanned once per branch. With
     ``shared=True`` the aggregate is computed once and kept as a reliable
     checkpoint in the shared checkpoint directory (lineage cut, safe against
-    executor loss); every branch then reads that small result.
+    executor loss); every branch then reads that small result. The checkpoint keeps
+    the aggregate's hash partitioning on ``(ticker, report_date)``, so joins between
+    statements on those keys need no further exchange.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = False):
@@ -323,7 +325,7 @@ class StatementTables(dict):
     def _aggregate(self) -> DataFrame:
         if self._agg is None:
             agg = statement_aggregate(self._spark, self._dir)
-            self._agg = checkpointed(agg) if self._shared else agg
+            self._agg = checkpointed(agg, keep_partitioning=True) if self._shared else agg
         return self._agg
 
     def __missing__(self, key: str) -> DataFrame:
