@@ -148,3 +148,13 @@ def test_range_strategy_equals_window_with_a_hot_ticker(spark, seed):
     w = income_statement_trends(inc, stamp=False)
     r = income_statement_trends(inc, stamp=False, strategy="range").select(*w.columns)
     assert sorted(map(tuple, w.collect()), key=str) == sorted(map(tuple, r.collect()), key=str)
+
+
+def test_shared_statements_join_without_exchange(spark, sf_small):
+    from quarterdeck.operators.metrics import financial_ratios
+    from quarterdeck.sources.testdata import statement_tables
+
+    t = statement_tables(spark, sf_small, shared=True)
+    plan = financial_ratios(t["income"], t["balance"], stamp=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored after the checkpoint
