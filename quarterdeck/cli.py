@@ -7,15 +7,22 @@
     python -m quarterdeck.cli report   NAME --db NAME [--as-of YYYY-MM-DD] [--out PATH] [--show N]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so ``spark-submit``
-settings (master, executors, ``spark.checkpoint.dir``) apply unchanged.
+settings (master, executors, ``spark.checkpoint.dir``) apply unchanged. Only the
+driver imports this package: every operator compiles to JVM expressions, so
+executors need no Python code from it.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 from collections.abc import Callable, Sequence
 
+if __package__ in (None, ""):  # run as a file (spark-submit quarterdeck/cli.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.operators import reports as R
