@@ -193,3 +193,11 @@ def test_extra_provider_sections(spark, tmp_path):
     d = read_documents(spark, str(p), "records", extra_sections=["ratios"])
     rows = records_long(d, "ratios").collect()
     assert [(r.line_item, r.value) for r in rows] == [("currentRatio", "1.5")]
+
+
+def test_missing_ticker_becomes_na(spark):
+    from quarterdeck.operators import with_ticker
+
+    df = spark.createDataFrame([(None, 1.0), ("A", 2.0)], "ticker string, x double")
+    assert sorted(r.ticker for r in with_ticker(df).collect()) == ["A", "N/A"]
+    assert with_ticker(df.select("x", "ticker")).columns == ["ticker", "x"]
