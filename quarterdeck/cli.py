@@ -43,32 +43,34 @@ def _stored(spark: SparkSession, db: str) -> dict[str, DataFrame]:
     return {n: spark.table(f"{db}.{n}") for n in names}
 
 
-def _reports(as_of) -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+def _reports(as_of, ordered: bool = True) -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    o = ordered
     return {
-        "key_metrics": lambda t: R.key_metrics(t["company_snapshot_latest"]),
-        "margin_trends": lambda t: R.margin_trends(t["income_statement_trends"], as_of),
-        "liquidity": lambda t: R.liquidity(t["balance_sheet"], as_of),
-        "leverage": lambda t: R.leverage(t["income_statement"], t["balance_sheet"], as_of),
-        "efficiency": lambda t: R.efficiency(t["income_statement"], t["balance_sheet"], as_of),
-        "revenue_growth": lambda t: R.revenue_growth(t["income_statement_trends"], as_of),
+        "key_metrics": lambda t: R.key_metrics(t["company_snapshot_latest"], ordered=o),
+        "margin_trends": lambda t: R.margin_trends(t["income_statement_trends"], as_of, ordered=o),
+        "liquidity": lambda t: R.liquidity(t["balance_sheet"], as_of, ordered=o),
+        "leverage": lambda t: R.leverage(t["income_statement"], t["balance_sheet"], as_of, ordered=o),
+        "efficiency": lambda t: R.efficiency(t["income_statement"], t["balance_sheet"], as_of, ordered=o),
+        "revenue_growth": lambda t: R.revenue_growth(t["income_statement_trends"], as_of, ordered=o),
         "opex_analysis": lambda t: R.opex_analysis(t["income_statement_trends"]),
-        "tax_analysis": lambda t: R.tax_analysis(t["income_statement"]),
-        "capital_structure": lambda t: R.capital_structure(t["balance_sheet"]),
-        "shareholder_eps": lambda t: R.shareholder_eps(t["income_statement"]),
-        "last_8_reports": lambda t: R.last_8_reports(t["income_statement_trends"]),
-        "peer_comparison": lambda t: R.peer_comparison(t["income_statement"], t["balance_sheet"]),
-        "yoy_growth": lambda t: R.yoy_growth(t["yoy_comparison"], as_of),
-        "cash_strength": lambda t: R.cash_strength(t["income_statement"], t["balance_sheet"]),
-        "health_score": lambda t: R.health_score(t["financial_ratios"], as_of),
+        "tax_analysis": lambda t: R.tax_analysis(t["income_statement"], ordered=o),
+        "capital_structure": lambda t: R.capital_structure(t["balance_sheet"], ordered=o),
+        "shareholder_eps": lambda t: R.shareholder_eps(t["income_statement"], ordered=o),
+        "last_8_reports": lambda t: R.last_8_reports(t["income_statement_trends"], ordered=o),
+        "peer_comparison": lambda t: R.peer_comparison(t["income_statement"], t["balance_sheet"], ordered=o),
+        "yoy_growth": lambda t: R.yoy_growth(t["yoy_comparison"], as_of, ordered=o),
+        "cash_strength": lambda t: R.cash_strength(t["income_statement"], t["balance_sheet"], ordered=o),
+        "health_score": lambda t: R.health_score(t["financial_ratios"], as_of, ordered=o),
     }
 
 
 REPORTS = sorted(_reports(None))
 
 
-def run_report(spark: SparkSession, name: str, db: str, as_of: str | None = None) -> DataFrame:
-    """One analyst report over the tables a build wrote into ``db``."""
-    return _reports(as_of)[name](_stored(spark, db))
+def run_report(spark: SparkSession, name: str, db: str, as_of: str | None = None, ordered: bool = True) -> DataFrame:
+    """One analyst report over the tables a build wrote into ``db``; ``ordered=False``
+    drops the final ORDER BY when the result is written to a table."""
+    return _reports(as_of, ordered)[name](_stored(spark, db))
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -108,7 +110,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.cmd == "info":
         print(json.dumps(table_info(spark, args.table), indent=2, default=str))
         return 0
-    df = run_report(spark, args.name, args.db, args.as_of)
+    df = run_report(spark, args.name, args.db, args.as_of, ordered=not args.out)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:

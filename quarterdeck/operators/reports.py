@@ -24,7 +24,13 @@ def _newest_first() -> list:
     return [F.col("ticker").asc(), F.col("report_date").desc()]
 
 
-def key_metrics(snapshot: DataFrame) -> DataFrame:
+def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
+    """The report's ORDER BY. ``ordered=False`` skips it for results that go into a
+    table (where row order has no meaning) and saves a global sort."""
+    return df.orderBy(*cols) if ordered else df
+
+
+def key_metrics(snapshot: DataFrame, ordered: bool = True) -> DataFrame:
     """Q1: latest key figures per company, largest revenue first."""
     return snapshot.select(
         "ticker",
@@ -36,10 +42,10 @@ def key_metrics(snapshot: DataFrame) -> DataFrame:
         "Total_Assets",
         "Stockholders_Equity",
         "Total_Debt",
-    ).orderBy(F.col("Total_Revenue").desc())
+    ).transform(lambda d: _order(d, ordered, F.col("Total_Revenue").desc()))
 
 
-def margin_trends(income_trends: DataFrame, as_of: AsOf = None, years: int = 3) -> DataFrame:
+def margin_trends(income_trends: DataFrame, as_of: AsOf = None, years: int = 3, ordered: bool = True) -> DataFrame:
     """Q2: margin trends over the last ``years`` years."""
     return (
         income_trends.where(lookback("report_date", years, as_of))
@@ -52,11 +58,11 @@ def margin_trends(income_trends: DataFrame, as_of: AsOf = None, years: int = 3)
             "Operating_Income",
             "Net_Income",
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def liquidity(balance: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFrame:
+def liquidity(balance: DataFrame, as_of: AsOf = None, years: int = 2, ordered: bool = True) -> DataFrame:
     """Q3: liquidity ratios over the last ``years`` years.
 
     The trend table lacks ``current_ratio``/``quick_ratio``; they are computed from
@@ -74,7 +80,7 @@ def liquidity(balance: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFra
             "Current_Assets",
             "Current_Liabilities",
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
@@ -84,7 +90,7 @@ def _ratios_with(income: DataFrame, balance: DataFrame, keep_income, keep_balanc
     return financial_ratios(income, balance, stamp=False, keep_income=keep_income, keep_balance=keep_balance)
 
 
-def leverage(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFrame:
+def leverage(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years: int = 2, ordered: bool = True) -> DataFrame:
     """Q4: leverage and solvency. Raw columns ride along the ratio join."""
     r = _ratios_with(income, balance, ("EBIT", "Interest_Expense"), ("Total_Debt", "Total_Assets", "Stockholders_Equity"))
     return (
@@ -101,11 +107,11 @@ def leverage(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years: i
             "Interest_Expense",
             "Stockholders_Equity",
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def efficiency(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFrame:
+def efficiency(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years: int = 2, ordered: bool = True) -> DataFrame:
     """Q5: efficiency and profitability ratios with their raw inputs."""
     r = _ratios_with(income, balance, ("Total_Revenue", "Net_Income"), ("Total_Assets", "Stockholders_Equity"))
     return (
@@ -123,11 +129,11 @@ def efficiency(income: DataFrame, balance: DataFrame, as_of: AsOf = None, years:
             "Total_Assets",
             "Stockholders_Equity",
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def revenue_growth(income_trends: DataFrame, as_of: AsOf = None, years: int = 3) -> DataFrame:
+def revenue_growth(income_trends: DataFrame, as_of: AsOf = None, years: int = 3, ordered: bool = True) -> DataFrame:
     """Q6: revenue, growth and cost of revenue share."""
     return (
         income_trends.where(lookback("report_date", years, as_of))
@@ -141,7 +147,7 @@ def revenue_growth(income_trends: DataFrame, as_of: AsOf = None, years: int = 3)
             "Cost_Of_Revenue",
             pct("Cost_Of_Revenue", "Total_Revenue").alias("cogs_ratio"),
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
@@ -164,7 +170,7 @@ def opex_analysis(income_trends: DataFrame, limit: int = 100) -> DataFrame:
     )
 
 
-def tax_analysis(income: DataFrame) -> DataFrame:
+def tax_analysis(income: DataFrame, ordered: bool = True) -> DataFrame:
     """Q8: effective tax rate (percent) and after-tax rate (fraction) where pre-tax income is positive."""
     return (
         income.where(F.col("Pretax_Income") > 0)
@@ -177,11 +183,11 @@ def tax_analysis(income: DataFrame) -> DataFrame:
             pct("Tax_Provision", "Pretax_Income").alias("effective_tax_rate"),
             safe_divide("Net_Income", "Pretax_Income").alias("after_tax_rate"),
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def capital_structure(balance: DataFrame) -> DataFrame:
+def capital_structure(balance: DataFrame, ordered: bool = True) -> DataFrame:
     """Q9: asset composition. Built from the balance sheet rows of the trend table."""
     return (
         balance.where(F.col("Total_Assets").isNotNull())
@@ -199,11 +205,11 @@ def capital_structure(balance: DataFrame) -> DataFrame:
             pct("Net_PPE", "Total_Assets").alias("ppe_to_assets"),
             pct("Goodwill_And_Other_Intangible_Assets", "Total_Assets").alias("intangibles_to_assets"),
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def shareholder_eps(income: DataFrame) -> DataFrame:
+def shareholder_eps(income: DataFrame, ordered: bool = True) -> DataFrame:
     """Q10: earnings per share and share counts."""
     return income.select(
         "ticker",
@@ -213,10 +219,10 @@ def shareholder_eps(income: DataFrame) -> DataFrame:
         "Diluted_EPS",
         "Basic_EPS",
         "Diluted_NI_Availto_Com_Stockholders",
-    ).orderBy(*_newest_first())
+    ).transform(lambda d: _order(d, ordered, *_newest_first()))
 
 
-def last_8_reports(income_trends: DataFrame, n: int = 8) -> DataFrame:
+def last_8_reports(income_trends: DataFrame, n: int = 8, ordered: bool = True) -> DataFrame:
     """Q11: margins of each company's ``n`` most recent reports (``report_rank <= n``).
 
     With only the rank column needed from the trend table, Spark plans the rank
@@ -237,11 +243,11 @@ def last_8_reports(income_trends: DataFrame, n: int = 8) -> DataFrame:
             pct("Net_Income", "Total_Revenue").alias("net_margin"),
             pct("EBITDA", "Total_Revenue").alias("ebitda_margin"),
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
-def peer_comparison(income: DataFrame, balance: DataFrame) -> DataFrame:
+def peer_comparison(income: DataFrame, balance: DataFrame, ordered: bool = True) -> DataFrame:
     """Q12: latest report per company (income and balance of the same date), ranked.
 
     The ranks are global ROW_NUMBERs; ``ticker`` breaks ties so that they are
@@ -265,10 +271,10 @@ def peer_comparison(income: DataFrame, balance: DataFrame) -> DataFrame:
     by_ni = [F.col("Net_Income").desc_nulls_last(), F.col("ticker").asc_nulls_last()]
     ranked = global_row_number(base, by_rev, "revenue_rank")
     ranked = global_row_number(ranked, by_ni, "net_income_rank")
-    return ranked.orderBy("revenue_rank")
+    return _order(ranked, ordered, "revenue_rank")
 
 
-def yoy_growth(yoy: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFrame:
+def yoy_growth(yoy: DataFrame, as_of: AsOf = None, years: int = 2, ordered: bool = True) -> DataFrame:
     """Q13: year-over-year growth of the last ``years`` years."""
     return (
         yoy.where(lookback(F.col("current_date"), years, as_of))
@@ -285,11 +291,11 @@ def yoy_growth(yoy: DataFrame, as_of: AsOf = None, years: int = 2) -> DataFrame:
             "prior_diluted_eps",
             "eps_yoy_growth_pct",
         )
-        .orderBy(F.col("ticker").asc(), F.col("current_date").desc())
+        .transform(lambda d: _order(d, ordered, F.col("ticker").asc(), F.col("current_date").desc()))
     )
 
 
-def cash_strength(income: DataFrame, balance: DataFrame) -> DataFrame:
+def cash_strength(income: DataFrame, balance: DataFrame, ordered: bool = True) -> DataFrame:
     """Q14: cash against debt and earnings where both cash and net income are positive."""
     b = balance.where(F.col("Cash_And_Cash_Equivalents") > 0).select(
         "ticker", "report_date", "Cash_And_Cash_Equivalents", "Total_Debt"
@@ -306,7 +312,7 @@ def cash_strength(income: DataFrame, balance: DataFrame) -> DataFrame:
             safe_divide("Cash_And_Cash_Equivalents", "Total_Debt").alias("cash_to_debt_ratio"),
             safe_divide("Cash_And_Cash_Equivalents", "Net_Income").alias("cash_to_earnings_ratio"),
         )
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
@@ -324,12 +330,12 @@ def health_score_expr() -> F.Column:
     return F.round(liquidity_term + leverage_term + profit_term + margin_term + 20, 2)
 
 
-def health_score(ratios: DataFrame, as_of: AsOf = None, years: int = 1) -> DataFrame:
+def health_score(ratios: DataFrame, as_of: AsOf = None, years: int = 1, ordered: bool = True) -> DataFrame:
     """Q15: composite financial health score of the last ``years`` years."""
     return (
         ratios.where(lookback("report_date", years, as_of))
         .select("ticker", "report_date", health_score_expr().alias("financial_health_score"))
-        .orderBy(*_newest_first())
+        .transform(lambda d: _order(d, ordered, *_newest_first()))
     )
 
 
