@@ -316,18 +316,17 @@ def q_partitioned_lookup(spark, sf_dir):
 
 def q_stream_statements(spark, sf_dir):
     """Statement files land in two batches; the stream loads each file exactly once."""
-    from quarterdeck.streaming import stream_statements
+    from quarterdeck.streaming import run_available, stream_statements
 
     inc = _spaced(_st(spark, sf_dir)["income"])
     landing, target = staging_path(spark, "landing"), staging_path(spark, "income-stream")
     ckpt = staging_path(spark, "income-stream-ckpt")
     early = F.col("report_date") < F.lit("1998-01-01").cast("date")
     DL.write_delimited(inc.where(early), f"{landing}/batch1")
-    stream_statements(spark, f"{landing}/batch1", target, "income_statement", checkpoint_location=ckpt).awaitTermination()
+    run_available(stream_statements(spark, f"{landing}/batch1", target, "income_statement", checkpoint_location=ckpt))
     # second landing: same directory layout, only the new files are read
     DL.write_delimited(inc.where(~early), f"{landing}/batch2")
-    query = stream_statements(spark, f"{landing}/batch*", target, "income_statement", checkpoint_location=ckpt)
-    query.awaitTermination()
+    run_available(stream_statements(spark, f"{landing}/batch*", target, "income_statement", checkpoint_location=ckpt))
     return spark.read.parquet(target)
 
 

@@ -56,3 +56,12 @@ def stream_statements(
     writer = typed.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", ckpt)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.outputMode("append").start()
+
+
+def run_available(query: StreamingQuery, timeout_seconds: float = 1800) -> None:
+    """Wait for an ``availableNow`` run to finish; stop it and raise if it does not in time."""
+    if not query.awaitTermination(timeout_seconds):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not finish within {timeout_seconds} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
