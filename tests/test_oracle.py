@@ -13,8 +13,9 @@ NAMES = sorted(E.queries())
 
 
 def _norm(v):
+    # Exact: doubles are compared bit for bit (repr round-trips).
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return "nan" if math.isnan(v) else repr(v)
     return v
 
 
