@@ -305,6 +305,9 @@ def yoy_comparison(income: DataFrame, stamp: bool = True) -> DataFrame:
     An equi-join on ``(ticker, year, quarter)`` with ``year(prior) + 1`` as the key of
     the prior side. Both revenue filters are applied before the join. Several
     reports in one quarter match each other (fan-out), as in the warehouse query.
+    ``income`` is read by both sides: pass a stored or checkpointed table, not an
+    expensive plan (its two branches carry different pushed filters and would not
+    share an exchange).
     """
     base = income.where(F.col("Total_Revenue").isNotNull()).select(
         "ticker", "report_date", "Total_Revenue", "Gross_Profit", "Net_Income", "EBITDA", "Diluted_EPS"

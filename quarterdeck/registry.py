@@ -51,7 +51,8 @@ def q_company_snapshot_latest(spark, sf_dir):
 
 
 def q_yoy_comparison(spark, sf_dir):
-    return M.yoy_comparison(_st(spark, sf_dir)["income"], stamp=False)
+    # The self join reads income twice: share one checkpointed aggregate.
+    return M.yoy_comparison(_st(spark, sf_dir, shared=True)["income"], stamp=False)
 
 
 def q_key_metrics(spark, sf_dir):
@@ -229,7 +230,7 @@ def q_statement_wide(spark, sf_dir):
 
 
 def q_union_by_name(spark, sf_dir):
-    bal = _st(spark, sf_dir)["balance"]
+    bal = _st(spark, sf_dir, shared=True)["balance"]
     even = F.substring("ticker", -1, 1).isin(*EVEN)
     return RS.union_by_name(bal.where(even).drop("Net_PPE"), bal.where(~even).drop("Inventory"))
 
@@ -282,7 +283,7 @@ def q_data_quality_checks(spark, sf_dir):
 
 
 def q_duplicate_keys(spark, sf_dir):
-    inc = _st(spark, sf_dir)["income"]
+    inc = _st(spark, sf_dir, shared=True)["income"]
     doubled = inc.unionByName(inc.where(F.substring("ticker", -2, 2) == "07"))
     return Q.duplicate_keys(doubled)
 
