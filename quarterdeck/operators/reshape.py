@@ -3,8 +3,8 @@
 The long form ``(ticker, report_date, line_item, value)`` is the scalable
 internal shape: it needs no fixed column set, new line items are just new rows,
 and unions across companies need no column alignment. Wide tables are built from
-it with one ``pivot`` over an explicit item list (no extra job to discover the
-values) and typed with lenient coercion.
+it with one conditional aggregation over an explicit item list (no extra job to
+discover the values) and typed with lenient coercion.
 """
 
 from __future__ import annotations
@@ -83,11 +83,16 @@ def statement_wide(
 ) -> DataFrame:
     """Pivot the long form to one row per ``(ticker, report_date)`` and one column per item.
 
-    ``items`` is the explicit column list (Spark then needs no extra job to find
-    the pivot values). Values are coerced leniently: DOUBLE by default, BIGINT for
-    the section's share-count items, or whatever ``types`` says.
+    ``items`` is the explicit column list. The pivot is one conditional aggregation
+    (``first(value) FILTER (line_item = item)`` per item): one exchange, combined
+    map-side, where ``pivot`` plans two aggregations. Values are coerced leniently:
+    DOUBLE by default, BIGINT for the section's share-count items, or whatever
+    ``types`` says.
     """
-    wide = long.groupBy("ticker", "report_date").pivot("line_item", list(items)).agg(F.first("value"))
+    item = F.col("line_item")
+    wide = long.groupBy("ticker", "report_date").agg(
+        *[F.first(F.when(item == F.lit(it), F.col("value")), ignorenulls=True).alias(it) for it in items]
+    )
     types = dict(types or {})
     cols = []
     for it in items:
