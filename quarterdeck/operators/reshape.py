@@ -85,20 +85,22 @@ def statement_wide(
 
     ``items`` is the explicit column list. The pivot is one conditional aggregation
     (``first(value) FILTER (line_item = item)`` per item): one exchange, combined
-    map-side, where ``pivot`` plans two aggregations. Values are coerced leniently:
-    DOUBLE by default, BIGINT for the section's share-count items, or whatever
-    ``types`` says.
+    map-side, where ``pivot`` plans two aggregations. Values are coerced leniently
+    before aggregating (so numeric items use hash-aggregate buffers): DOUBLE by
+    default, BIGINT for the section's share-count items, or whatever ``types`` says.
     """
     item = F.col("line_item")
-    wide = long.groupBy("ticker", "report_date").agg(
-        *[F.first(F.when(item == F.lit(it), F.col("value")), ignorenulls=True).alias(it) for it in items]
-    )
     types = dict(types or {})
-    cols = []
-    for it in items:
+
+    def typed(it: str) -> Column:
         t = types.get(it) or (item_type(section, it) if section else "double")
-        cols.append(_CASTERS[t](F.col(f"`{it}`")).alias(it))
-    return wide.select("ticker", "report_date", *cols)
+        return _CASTERS[t](F.col("value"))
+
+    # Cast inside the condition: numeric items then aggregate in fixed-width (hash) buffers.
+    wide = long.groupBy("ticker", "report_date").agg(
+        *[F.first(F.when(item == F.lit(it), typed(it)), ignorenulls=True).alias(it) for it in items]
+    )
+    return wide.select("ticker", "report_date", *[F.col(f"`{it}`") for it in items])
 
 
 def coerce_types(df: DataFrame, types: Mapping[str, str], default: str | None = None) -> DataFrame:
