@@ -89,6 +89,11 @@ def test_build_all_from_statement_files(spark, sf_small, tmp_path):
     inc, bal = spark.table("t_build.income_statement"), spark.table("t_build.balance_sheet")
     for df in (financial_ratios(inc, bal, stamp=False), yoy_comparison(inc, stamp=False)):
         assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    from quarterdeck.operators.reports import health_score
+
+    stored_plan = health_score(spark.table("t_build.financial_ratios"), as_of="2001-12-31")._jdf.queryExecution()
+    scan = [ln for ln in stored_plan.executedPlan().toString().splitlines() if "FileScan parquet" in ln][0]
+    assert "PushedFilters: [IsNotNull(report_date), GreaterThanOrEqual(report_date," in scan
     with pytest.raises(StageError):
         build_all(spark, str(tmp_path / "missing"), "t_build_missing")
 
