@@ -158,3 +158,24 @@ def test_shared_statements_join_without_exchange(spark, sf_small):
     plan = financial_ratios(t["income"], t["balance"], stamp=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"  # restored after the checkpoint
+
+
+def test_ranking_edge_cases(spark):
+    from quarterdeck.operators.ranking import previous_and_rank
+
+    empty = spark.createDataFrame([], "k string, v double")
+    assert global_row_number(empty, [F.col("k").asc()], "rn").count() == 0
+
+    # all dates NULL for one key: latest_per_key still returns a row, as ROW_NUMBER would
+    df = spark.createDataFrame([("a", None, 1.0), ("a", None, 2.0), ("b", dt.date(2020, 1, 1), 3.0)], "k string, d date, v double")
+    got = {r.k: r.v for r in latest_per_key(df, "k", "d").collect()}
+    assert set(got) == {"a", "b"} and got["b"] == 3.0 and got["a"] in (1.0, 2.0)
+
+    # tied dates share a rank, like RANK()
+    ties = spark.createDataFrame(
+        [("a", dt.date(2020, 1, 1), 1.0), ("a", dt.date(2020, 1, 1), 2.0), ("a", dt.date(2019, 1, 1), 3.0), ("a", None, 4.0)],
+        "ticker string, report_date date, x double",
+    )
+    ours = {r.x: r.report_rank for r in previous_and_rank(ties, "ticker", "report_date", ["x"]).collect()}
+    ref = ties.withColumn("r", F.rank().over(Window.partitionBy("ticker").orderBy(F.col("report_date").desc())))
+    assert ours == {r.x: r.r for r in ref.collect()}
