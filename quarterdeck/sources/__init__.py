@@ -11,6 +11,7 @@ from quarterdeck.sources.delimited import (
 )
 from quarterdeck.sources.documents import map_documents, read_documents, record_documents, write_documents
 from quarterdeck.sources.files import (
+    compare_file_stats,
     file_manifest,
     file_stats,
     json_record_counts,
@@ -21,6 +22,7 @@ from quarterdeck.sources.files import (
 
 __all__ = [
     "append_delimited",
+    "compare_file_stats",
     "file_manifest",
     "file_stats",
     "infer_delimited",

@@ -58,6 +58,20 @@ def file_stats(manifest: DataFrame) -> DataFrame:
     )
 
 
+def compare_file_stats(local: DataFrame, remote: DataFrame) -> DataFrame:
+    """Local vs uploaded totals in one row (one pass over a tagged union of both manifests)."""
+    tagged = local.select("size_bytes", F.lit(True).alias("_local")).unionByName(
+        remote.select("size_bytes", F.lit(False).alias("_local"))
+    )
+    mb = lambda c: F.round(bytes_to_mb(F.coalesce(F.sum(F.when(c, F.col("size_bytes"))), F.lit(0))), 2)
+    return tagged.agg(
+        F.count_if("_local").alias("local_files"),
+        mb(F.col("_local")).alias("local_mb"),
+        F.count_if(~F.col("_local")).alias("uploaded_files"),
+        mb(~F.col("_local")).alias("uploaded_mb"),
+    )
+
+
 def verify_files(manifest: DataFrame, prefixes: Iterable[str]) -> DataFrame:
     """Files present per expected name prefix, including prefixes with no file (count 0).
 

@@ -201,3 +201,16 @@ def test_missing_ticker_becomes_na(spark):
     df = spark.createDataFrame([(None, 1.0), ("A", 2.0)], "ticker string, x double")
     assert sorted(r.ticker for r in with_ticker(df).collect()) == ["A", "N/A"]
     assert with_ticker(df.select("x", "ticker")).columns == ["ticker", "x"]
+
+
+def test_compare_file_stats(spark, tmp_path):
+    from quarterdeck.sources.files import compare_file_stats
+
+    for side, sizes in (("local", (10, 20)), ("remote", (10,))):
+        (tmp_path / side).mkdir()
+        for i, n in enumerate(sizes):
+            (tmp_path / side / f"f{i}.csv").write_bytes(b"x" * n)
+    r = compare_file_stats(
+        file_manifest(spark, str(tmp_path / "local")), file_manifest(spark, str(tmp_path / "remote"))
+    ).first()
+    assert (r.local_files, r.uploaded_files) == (2, 1)
