@@ -40,3 +40,28 @@ def test_strict_least_greatest_rules(spark, rows):
             assert r.l is None and r.g is None
         else:
             assert r.l == min(a, b) and r.g == max(a, b)
+
+
+@given(st.text(max_size=30))
+def test_clean_name_is_idempotent_and_safe(name):
+    import re
+
+    from quarterdeck.functions import clean_name
+
+    once = clean_name(name)
+    assert clean_name(once) == once
+    assert re.fullmatch(r"[A-Za-z0-9_]*", once)
+    assert not once[:1].isdigit()
+    assert len(once) in (len(name), len(name) + 1)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.permutations(["a", "b", "c", "d"]), st.integers(min_value=1, max_value=3))
+def test_union_by_name_keeps_every_row_and_column(spark, order, split):
+    from quarterdeck.operators.reshape import union_by_name
+
+    left = spark.createDataFrame([tuple(range(split))], ", ".join(f"{c} int" for c in order[:split]))
+    right = spark.createDataFrame([tuple(range(4 - split))], ", ".join(f"{c} int" for c in order[split:]))
+    out = union_by_name(left, right)
+    assert out.columns == list(order[:split]) + sorted(order[split:])
+    assert out.count() == 2
