@@ -47,3 +47,18 @@ def test_derived_table_contracts(spark, sf_small):
     assert yoy_comparison(t["income"]).columns == D5
     stamped = financial_ratios(t["income"], t["balance"]).select("calculated_at").first()[0]
     assert stamped is not None
+
+
+def test_managed_table_contracts(spark, sf_small):
+    from quarterdeck.plans.managed import managed_balance, managed_cash_flow, managed_income, managed_profile
+    from quarterdeck.schemas import MANAGED_BALANCE_COLUMNS, MANAGED_INCOME_COLUMNS
+
+    t = statement_tables(spark, sf_small)
+    bal = managed_balance(t["balance"])
+    assert bal.columns == ["report_date", "ticker", *MANAGED_BALANCE_COLUMNS, "loaded_at"] and len(bal.columns) == 88
+    inc = managed_income(t["income"])
+    assert len(inc.columns) == 50 and dict(inc.dtypes)["Basic_Average_Shares"] == "bigint"
+    prof = managed_profile(t["company_info"])
+    assert len(prof.columns) == 29 and prof.columns[2:4] == ["company", "address"] and dict(prof.dtypes)["zip"] == "string"
+    cf = managed_cash_flow(t["cash_flow"])
+    assert cf.columns[:2] == ["report_date", "ticker"] and cf.columns[-1] == "loaded_at"
