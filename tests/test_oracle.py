@@ -9,6 +9,8 @@ import __spark_entry__ as E
 from quarterdeck.sources.testdata import TABLES
 
 ORACLE = E.oracle_sql()
+# union_by_name appends newly seen columns (sorted) after the first frame's: its order differs by design.
+ORDER_EXEMPT = {"union_by_name"}
 NAMES = sorted(E.queries())
 
 
@@ -42,6 +44,8 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
         return
     rel = duck.sql(ORACLE[name])
     assert sorted(rel.columns) == cols
+    if name not in ORDER_EXEMPT:
+        assert df.columns == rel.columns  # same column order as the SQL definition
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=str)
     assert got == want
