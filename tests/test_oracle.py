@@ -11,6 +11,8 @@ from quarterdeck.sources.testdata import TABLES
 ORACLE = E.oracle_sql()
 # union_by_name appends newly seen columns (sorted) after the first frame's: its order differs by design.
 ORDER_EXEMPT = {"union_by_name"}
+SPARK_TO_DUCK = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "date": "DATE", "int": "INTEGER",
+                 "boolean": "BOOLEAN"}
 NAMES = sorted(E.queries())
 
 
@@ -46,6 +48,8 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     assert sorted(rel.columns) == cols
     if name not in ORDER_EXEMPT:
         assert df.columns == rel.columns  # same column order as the SQL definition
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     idx = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=str)
     assert got == want
