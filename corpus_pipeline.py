@@ -9,9 +9,9 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """Every stage's result is written as Parquet in the shared folder and read again as the next one's input."""
-    from quarterdeck.llm.common import staged
+    from quarterdeck.llm.common import importable, staged
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

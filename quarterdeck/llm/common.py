@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where it lies (a cluster may ship it with --py-files instead)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -30,14 +40,18 @@ def held_out(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def remove_on_exit(spark: SparkSession, path: str) -> None:
+    """A folder of the shared store that goes when the application ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; the copy goes when the application ends."""
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    remove_on_exit(spark, path)
     return spark.read.parquet(path)
 
 
@@ -51,17 +65,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_chunks(values: list, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Index ranges of ``values`` holding about ``limit`` characters each, one value at least."""
-    start = total = 0
-    for i, v in enumerate(values):
-        n = len(v)
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(values):
-        yield start, len(values)
+def text_slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches again, cut so that a text column holds about ``limit`` bytes, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start, ends = 0, np.cumsum(sizes, dtype=np.int64)
+        while start < batch.num_rows:
+            base = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
@@ -86,3 +99,36 @@ def scratch_folder() -> Iterator[str]:
         yield path
     finally:
         shutil.rmtree(path, ignore_errors=True)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 60) -> np.ndarray:
+    """Weights of a logistic regression with the constant last, on raw columns; Newton steps with a ridge."""
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
+    w = np.zeros(z.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve((z.T * (p * (1 - p))) @ z + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    raw = w[:-1] / scale
+    return np.append(raw, w[-1] - raw @ mean)
+
+
+def logistic(columns: list[Column], weights: np.ndarray) -> Column:
+    z = F.lit(float(weights[-1]))
+    for c, w in zip(columns, weights[:-1], strict=True):
+        z = z + c * F.lit(float(w))
+    return 1.0 / (1.0 + F.exp(-F.greatest(F.least(z, F.lit(700.0)), F.lit(-700.0))))
+
+
+def labelled_ids(labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """doc_id and label of at most ``rows`` labelled documents that may be learned from, in order of a hash of the id.
+
+    Repeated ids with the same label count once; ids with both labels, null ids and null labels are left out.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).alias("label"), F.max(label).alias("other"))
+    known = known.where(F.col("label") == F.col("other")).select("doc_id", F.col("label").cast("int").alias("label"))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

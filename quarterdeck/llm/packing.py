@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarterdeck.llm.common import batch_of, checkpointed, text_chunks, text_or_empty
+from quarterdeck.llm.common import batch_of, checkpointed, text_slices, text_or_empty
 from quarterdeck.llm.tokens import default_path, encoder
 
 LIMIT = 4096
@@ -44,20 +44,18 @@ def _pieces(path: str, limit: int, end_id: int, keep_ids: bool):
 
     def run(batches):
         enc, part, placed = encoder(path), TaskContext.get().partitionId(), {}
-        for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in text_chunks(texts):
-                rows = []
-                for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi]), strict=True):
-                    ids, start = np.append(ids, np.uint32(end_id)).astype("<u4"), 0
-                    for length in piece_lengths(len(ids), limit):
-                        piece = ids[start : start + length].tobytes()
-                        place = placed.get(length, 0)
-                        placed[length] = place + 1
-                        row = (doc_id, start, length, crc32(piece), len(ids), part, place)
-                        rows.append((*row, piece) if keep_ids else row)
-                        start += length
-                yield batch_of(schema, zip(*rows, strict=True))
+        for batch in text_slices(batches, 1):
+            rows, texts = [], batch.column(1).to_pylist()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(texts), strict=True):
+                ids, start = np.append(ids, np.uint32(end_id)).astype("<u4"), 0
+                for length in piece_lengths(len(ids), limit):
+                    piece = ids[start : start + length].tobytes()
+                    place = placed.get(length, 0)
+                    placed[length] = place + 1
+                    row = (doc_id, start, length, crc32(piece), len(ids), part, place)
+                    rows.append((*row, piece) if keep_ids else row)
+                    start += length
+            yield batch_of(schema, zip(*rows, strict=True))
 
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
     return run, kinds + (", ids binary" if keep_ids else "")

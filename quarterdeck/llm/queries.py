@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from quarterdeck.llm import mixing
+from quarterdeck.llm.common import importable
+from quarterdeck.llm.fingerprint import op2_multiset_fingerprints
 from quarterdeck.llm.mixing import op10_pareto_mixing
 from quarterdeck.llm.packing import op5_binary_packing
+from quarterdeck.llm.quality import op9_compression_quality
 from quarterdeck.llm.tokenfile import op7_token_frames
+from quarterdeck.llm.toxicity import op6_toxic_segments
 
-LLM_QUERIES = {
+_QUERIES = {
+    "op2_multiset_fingerprints": op2_multiset_fingerprints,
     "op5_binary_packing": op5_binary_packing,
+    "op6_toxic_segments": op6_toxic_segments,
     "op7_token_frames": op7_token_frames,
+    "op9_compression_quality": op9_compression_quality,
     "op10_pareto_mixing": op10_pareto_mixing,
 }
 
+LLM_QUERIES = {name: (lambda spark, sf_dir, f=f: f(importable(spark), sf_dir)) for name, f in _QUERIES.items()}
+
 LLM_ORACLE_SQL = {"op10_pareto_mixing": mixing.oracle()}

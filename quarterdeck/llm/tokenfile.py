@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarterdeck.llm.common import batch_of, checkpointed, shuffle_partitions, text_chunks, text_or_empty
+from quarterdeck.llm.common import batch_of, checkpointed, remove_on_exit, shuffle_partitions, text_slices, text_or_empty
 from quarterdeck.llm.tokens import default_path, encoder
 from quarterdeck.plans.storage import staging_path
 
@@ -138,12 +138,11 @@ def _encode(path: str, end_id: int, width: int, bounds: list[int]):
 
     def run(batches):
         enc = encoder(path)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in text_chunks(texts):
-                got = [np.append(x, np.uint32(end_id)).astype(f"<u{width}").tobytes() for x in enc.encode(texts[lo:hi])]
-                at = [0 if k is None else int(np.searchsorted(bounds, k)) for k in keys[lo:hi]]
-                yield batch_of(schema, (at, keys[lo:hi], got))
+        for batch in text_slices(batches, 1):
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            got = [np.append(x, np.uint32(end_id)).astype(f"<u{width}").tobytes() for x in enc.encode(texts)]
+            at = [0 if k is None else int(np.searchsorted(bounds, k)) for k in keys.to_pylist()]
+            yield batch_of(schema, (at, keys, got))
 
     return run
 
@@ -153,7 +152,7 @@ def _write(folder: str, width: int):
 
     def run(batches):
         writer = name = sink = None
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             for bucket, key, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     fs, top = open_folder(folder)
@@ -233,9 +232,3 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder)
     remove_on_exit(spark, folder)
     return digests(read_ids(manifest, folder))
-
-
-def remove_on_exit(spark: SparkSession, folder: str) -> None:
-    """The query's own files go when the application ends."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -23,7 +23,7 @@ PLAIN_END = 0x180
 #: Letters whose lower case or white-space class differs between libraries.
 UNSURE = {0x85, 0xA0, 0x130, 0x149, 0x17F}
 #: Words kept by a worker before it starts anew (about 100 bytes each).
-MEMO_WORDS = 4_000_000
+MEMO_WORDS = 600_000
 
 
 def _classes() -> np.ndarray:
