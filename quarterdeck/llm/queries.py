@@ -6,6 +6,7 @@ from quarterdeck.llm import mixing
 from quarterdeck.llm.common import importable
 from quarterdeck.llm.fingerprint import op2_multiset_fingerprints
 from quarterdeck.llm.mixing import op10_pareto_mixing
+from quarterdeck.llm.neighbours import op3_kmeans_tree
 from quarterdeck.llm.packing import op5_binary_packing
 from quarterdeck.llm.quality import op9_compression_quality
 from quarterdeck.llm.tokenfile import op7_token_frames
@@ -13,6 +14,7 @@ from quarterdeck.llm.toxicity import op6_toxic_segments
 
 _QUERIES = {
     "op2_multiset_fingerprints": op2_multiset_fingerprints,
+    "op3_kmeans_tree": op3_kmeans_tree,
     "op5_binary_packing": op5_binary_packing,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_token_frames": op7_token_frames,
