@@ -5,6 +5,7 @@ from __future__ import annotations
 from quarterdeck.llm import mixing
 from quarterdeck.llm.common import importable
 from quarterdeck.llm.fingerprint import op2_multiset_fingerprints
+from quarterdeck.llm.minhash import op8_weighted_minhash
 from quarterdeck.llm.mixing import op10_pareto_mixing
 from quarterdeck.llm.neighbours import op3_kmeans_tree
 from quarterdeck.llm.packing import op5_binary_packing
@@ -18,6 +19,7 @@ _QUERIES = {
     "op5_binary_packing": op5_binary_packing,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_token_frames": op7_token_frames,
+    "op8_weighted_minhash": op8_weighted_minhash,
     "op9_compression_quality": op9_compression_quality,
     "op10_pareto_mixing": op10_pareto_mixing,
 }
