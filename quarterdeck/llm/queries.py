@@ -10,12 +10,14 @@ from quarterdeck.llm.mixing import op10_pareto_mixing
 from quarterdeck.llm.neighbours import op3_kmeans_tree
 from quarterdeck.llm.packing import op5_binary_packing
 from quarterdeck.llm.quality import op9_compression_quality
+from quarterdeck.llm.suffix import op4_suffix_dedup
 from quarterdeck.llm.tokenfile import op7_token_frames
 from quarterdeck.llm.toxicity import op6_toxic_segments
 
 _QUERIES = {
     "op2_multiset_fingerprints": op2_multiset_fingerprints,
     "op3_kmeans_tree": op3_kmeans_tree,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_binary_packing": op5_binary_packing,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_token_frames": op7_token_frames,
