@@ -5,6 +5,7 @@ from __future__ import annotations
 from quarterdeck.llm import mixing
 from quarterdeck.llm.common import importable
 from quarterdeck.llm.fingerprint import op2_multiset_fingerprints
+from quarterdeck.llm.licenses import op1_license_scan
 from quarterdeck.llm.minhash import op8_weighted_minhash
 from quarterdeck.llm.mixing import op10_pareto_mixing
 from quarterdeck.llm.neighbours import op3_kmeans_tree
@@ -15,6 +16,7 @@ from quarterdeck.llm.tokenfile import op7_token_frames
 from quarterdeck.llm.toxicity import op6_toxic_segments
 
 _QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_multiset_fingerprints": op2_multiset_fingerprints,
     "op3_kmeans_tree": op3_kmeans_tree,
     "op4_suffix_dedup": op4_suffix_dedup,
