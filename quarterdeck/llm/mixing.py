@@ -47,6 +47,7 @@ def sized(docs: DataFrame, seed: int) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(text_or_empty()).alias("mark"),
         uniform(F.col("doc_id"), seed).alias("u"),
     )
 
@@ -75,7 +76,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = 1
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = 1.5, cap: float = 2.0, seed: int = 7) -> DataFrame:
-    """Copies of every document: doc_id, source, size, source_size, target, copies, taken."""
+    """Copies of every document: doc_id, source, mark (hash of the text), size, source_size, target, copies, taken."""
     sizes = checkpointed(sized(docs, seed))
     targets = source_targets(sizes, weights, budget, cap)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -115,6 +116,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = 1.5, cap: flo
     return both.select(
         "doc_id",
         "source",
+        "mark",
         "size",
         F.col("source_size").cast("long").alias("source_size"),
         "target",
@@ -123,6 +125,21 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = 1.5, cap: flo
     )
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Rows alike in doc_id, source and text are interchangeable: one of them stands for the copies of all.
+    """
+    key = ["_id", "_source", "_mark"]
+    taken = mix(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark"))
+    taken = taken.agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    taken = taken.select(*[F.struct(F.col(c).alias("v")).alias(c) for c in key], "_copies")  # a struct of null equals another
+    own = (F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64(text_or_empty()))
+    rows = docs.select("*", *[F.struct(c.alias("v")).alias(k) for c, k in zip(own, key, strict=True)])
+    out = rows.dropDuplicates(key).join(taken, key)
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+
+
 def op10_pareto_mixing(spark, sf_dir: str) -> DataFrame:
     out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "size", "source_size", "target", "taken")

@@ -110,12 +110,12 @@ def occurrences(texts: DataFrame, length: int, bits, hot: frozenset | None = Non
     return texts.select("doc", "mark", "text").mapInArrow(run, kinds)
 
 
-def with_bits(texts: DataFrame, bits, among: bool) -> DataFrame:
-    """The documents that pass (or that do not) by their ``mark``; no shuffle."""
+def with_bits(texts: DataFrame, bits, among: bool, column: str = "mark") -> DataFrame:
+    """The documents that pass (or that do not) by their mark; no shuffle."""
 
     def run(batches):
         for batch in batches:
-            hit = passes(bits.value, batch.column("mark").to_numpy())
+            hit = passes(bits.value, batch.column(column).to_numpy())
             yield batch.filter(pa.array(hit if among else ~hit))
 
     return texts.mapInArrow(run, texts.schema)
@@ -230,6 +230,35 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_mem
     return kept.unionByName(cut).select("doc_id", "mark", "text", "spans")
 
 
+def cut_texts(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_memory: int = IN_MEMORY) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeated strings cut out of text and n_chars (if there is one) counted anew.
+
+    A cut inside a character drops what is left of it. Null texts stay null. Rows without repeats do not move.
+    """
+    texts = identified(docs)
+    spans = staged(repeated_spans(texts, length, hot, in_memory), "suffix-spans")
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(spans, "mark"))
+    at = docs.columns.index("text")
+    ids = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_mark", F.xxhash64(text_or_empty()))
+    kept = with_bits(ids, held, False, "_mark").select(*docs.columns)
+    spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
+    found = with_bits(ids, held, True, "_mark").join(spans, ["_doc", "_mark"], "left")
+
+    def run(batches):
+        for batch in text_slices(batches, at):
+            new = []
+            for text, cuts in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+                new.append(text if not cuts else kept_bytes(text.encode(), cuts).decode(errors="ignore"))
+            columns = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    found = found.select(*docs.columns, "_spans").mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        found = found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+    return kept.unionByName(found)
+
+
 def kept_bytes(text: bytes, spans: list | None) -> bytes:
     if not spans:
         return text

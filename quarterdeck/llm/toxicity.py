@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarterdeck.llm.common import batch_of, fit_logistic, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
 
@@ -102,12 +104,17 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(b, e, r - l) for b, e, l, r, _ in found]
 
 
+FOUND = ("n_words", "best", "n_segments")
+
+
 def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) -> DataFrame:
-    """doc_id, n_words, best (sum of the best segment), n_segments of every document; ``spans`` adds all segments."""
+    """The rows of ``docs`` (all columns) with n_words, best (sum of the best segment), n_segments; ``spans`` adds all segments.
+
+    The new columns are named ``_n_words`` and so on; the text is looked at where it lies, so nothing is joined.
+    """
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
-    kinds = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64()), ("n_segments", pa.int64())]
+    at = docs.columns.index("text")
     one = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
-    schema = pa.schema([*kinds, *([("segments", pa.list_(one))] if spans else [])])
 
     class Memo(dict):
         def __missing__(self, raw: str) -> float:
@@ -125,10 +132,10 @@ def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) ->
     def run(batches):
         memo = Memo()
         score = memo.__getitem__
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, at):
             n, best, many, every = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                words = text.split()
+            for text in batch.column(at).to_pylist():
+                words = (text or "").split()
                 values = np.fromiter(map(score, words), np.float64, len(words))
                 found = segments(values) if len(words) and values.max() > 0 else []
                 n.append(len(words))
@@ -136,10 +143,15 @@ def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) ->
                 many.append(len(found))
                 if spans:
                     every.append([{"begin": b, "end": e, "score": s} for b, e, s in found])
-            yield batch_of(schema, (batch.column(0), n, best, many, *([every] if spans else [])))
+            new = [pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(many, pa.int64())]
+            new += [pa.array(every, pa.list_(one))] if spans else []
+            names = [*batch.schema.names, *[f"_{c}" for c in FOUND], *(["_segments"] if spans else [])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
-    extra = ", segments array<struct<begin: long, end: long, score: double>>" if spans else ""
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, best double, n_segments long" + extra)
+    schema = StructType(list(docs.schema.fields)).add("_n_words", "long").add("_best", "double").add("_n_segments", "long")
+    if spans:
+        schema = schema.add("_segments", "array<struct<begin: long, end: long, score: double>>")
+    return docs.mapInArrow(run, schema)
 
 
 def extreme_value_rate(scores: np.ndarray, counts: np.ndarray, total: float) -> float:
@@ -157,8 +169,26 @@ def extreme_value_rate(scores: np.ndarray, counts: np.ndarray, total: float) ->
     return low
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, n_words, best, n_segments of every document."""
+@dataclass
+class Model:
+    """What is learned: token scores, the extreme-value rate, and the regression's weights (None: ``constant`` scores)."""
+
+    lexicon: dict[str, float]
+    rate: float
+    weights: np.ndarray | None
+    constant: float
+
+    def terms(self) -> list[Column]:
+        evidence = F.lit(self.rate) * F.col("_best") - F.log1p(K * F.col("_n_words"))
+        return [evidence, F.log1p(F.col("_n_segments")), F.log1p(F.col("_n_words")), F.least(F.col("_best"), F.lit(MOST))]
+
+    def score(self) -> Column:
+        """The score, from the columns that ``passages`` adds."""
+        return F.lit(self.constant) if self.weights is None else logistic(self.terms(), self.weights)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from the labelled documents among ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     ids = staged(labelled_ids(labels, "toxic", FIT_ROWS), "toxicity-ids")
     known = docs.join(F.broadcast(ids), "doc_id")  # two numbers for each of at most FIT_ROWS documents
@@ -169,16 +199,29 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rate = extreme_value_rate(
         np.array([r["score"] - GAP for r in plain]), np.array([float(r["n0"]) for r in plain]), float(rows[0]["all0"]) if rows else 0.0
     )
-    found = staged(passages(docs, lexicon), "toxicity-passages")
-    evidence = F.lit(rate) * F.col("best") - F.log1p(K * F.col("n_words"))
-    terms = [evidence, F.log1p(F.col("n_segments")), F.log1p(F.col("n_words")), F.least(F.col("best"), F.lit(MOST))]
-    fit = found.join(F.broadcast(ids), "doc_id").select("label", *[t.alias(f"t{i}") for i, t in enumerate(terms)])
-    fit = np.array(fit.orderBy(*fit.columns).limit(2 * FIT_ROWS).collect(), np.float64).reshape(-1, len(terms) + 1)
-    if len(np.unique(fit[:, 0])) == 2:
-        score = logistic(terms, fit_logistic(fit[:, 1:], fit[:, 0]))
-    else:
-        score = F.lit(float(fit[:, 0].mean()) if len(fit) else 0.0)
-    return found.select("doc_id", held_out().alias("held_out"), score.alias("score"), "n_words", "best", "n_segments")
+    model = Model(lexicon, rate, None, 0.0)
+    terms = [t.alias(f"t{i}") for i, t in enumerate(model.terms())]
+    seen = passages(known, lexicon).select("label", *terms)
+    seen = np.array(seen.orderBy(*seen.columns).limit(2 * FIT_ROWS).collect(), np.float64).reshape(-1, len(terms) + 1)
+    if len(np.unique(seen[:, 0])) == 2:
+        model.weights = fit_logistic(seen[:, 1:], seen[:, 0])
+    elif len(seen):
+        model.constant = float(seen[:, 0].mean())
+    return model
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, n_words, best, n_segments of every document."""
+    model = fit(docs, labels)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    found = passages(rows, model.lexicon)
+    return found.select("doc_id", held_out().alias("held_out"), model.score().alias("score"), *[F.col(f"_{c}").alias(c) for c in FOUND])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``THRESHOLD``; one pass, no join."""
+    model = fit(docs, labels)
+    return passages(docs, model.lexicon).where(model.score() < THRESHOLD).select(*docs.columns)
 
 
 def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
