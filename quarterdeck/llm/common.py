@@ -30,6 +30,11 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores, more than any of the columns starts with: names with it clash with none of them."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in columns), default=0))
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

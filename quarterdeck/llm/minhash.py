@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarterdeck.llm.common import batch_of, checkpointed, staged, text_or_empty, text_slices
+from quarterdeck.llm.common import batch_of, checkpointed, free_prefix, staged, text_or_empty, text_slices
 from quarterdeck.llm.components import components
 from quarterdeck.llm.shingles import MIX, Shingler, scramble
 
@@ -232,13 +232,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose doc_id is its class; of several rows with that doc_id, the first by
     text hash, text and then the other columns. Rows with a null doc_id stay."""
+    p = free_prefix(docs.columns)
     classes = near_duplicates(docs).where(F.col("doc_id") == F.col("class_id"))
-    kept = classes.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_id"))
-    names = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("text"), *names)
-    single = F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.row_number().over(order))
-    rows = rows.withColumn("_place", single).where(F.col("_place") == 1).select(*docs.columns)
+    kept = classes.groupBy(F.col("doc_id").alias(f"{p}id")).agg(F.count(F.lit(1)).alias(f"{p}n"))
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col(f"{p}id"))
+    names = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    order = Window.partitionBy(f"{p}id").orderBy(F.xxhash64("text"), *names)
+    single = F.when(F.col(f"{p}n") == 1, F.lit(1)).otherwise(F.row_number().over(order))
+    rows = rows.withColumn(f"{p}place", single).where(F.col(f"{p}place") == 1).select(*docs.columns)
     return rows.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from quarterdeck.llm.common import checkpointed, text_or_empty
+from quarterdeck.llm.common import checkpointed, free_prefix, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -130,14 +130,15 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
 
     Rows alike in doc_id, source and text are interchangeable: one of them stands for the copies of all.
     """
-    key = ["_id", "_source", "_mark"]
-    taken = mix(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark"))
-    taken = taken.agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    taken = taken.select(*[F.struct(F.col(c).alias("v")).alias(c) for c in key], "_copies")  # a struct of null equals another
+    p = free_prefix(docs.columns)
+    key, copies = [f"{p}id", f"{p}source", f"{p}mark"], f"{p}copies"
+    taken = mix(docs, **options).groupBy(*[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "mark"), key, strict=True)])
+    taken = taken.agg(F.sum("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
+    taken = taken.select(*[F.struct(F.col(c).alias("v")).alias(c) for c in key], copies)  # a struct of null equals another
     own = (F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64(text_or_empty()))
     rows = docs.select("*", *[F.struct(c.alias("v")).alias(k) for c, k in zip(own, key, strict=True)])
     out = rows.dropDuplicates(key).join(taken, key)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    return out.withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def op10_pareto_mixing(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.anchors import GRAM, Hasher, anchors
 from quarterdeck.llm.bits import bitmap, passes
-from quarterdeck.llm.common import batch_of, scratch_folder, shuffle_partitions, staged, text_or_empty, text_slices
+from quarterdeck.llm.common import batch_of, free_prefix, scratch_folder, shuffle_partitions, staged, text_or_empty, text_slices
 from quarterdeck.llm.induction import Shard
 from quarterdeck.llm.shingles import MIX, scramble
 
@@ -239,10 +239,12 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_memory:
     spans = staged(repeated_spans(texts, length, hot, in_memory), "suffix-spans")
     held = docs.sparkSession.sparkContext.broadcast(bitmap(spans, "mark"))
     at = docs.columns.index("text")
-    ids = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_mark", F.xxhash64(text_or_empty()))
-    kept = with_bits(ids, held, False, "_mark").select(*docs.columns)
-    spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
-    found = with_bits(ids, held, True, "_mark").join(spans, ["_doc", "_mark"], "left")
+    p = free_prefix(docs.columns)
+    doc, mark, cuts_of = f"{p}doc", f"{p}mark", f"{p}spans"
+    ids = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(mark, F.xxhash64(text_or_empty()))
+    kept = with_bits(ids, held, False, mark).select(*docs.columns)
+    spans = spans.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("spans").alias(cuts_of))
+    found = with_bits(ids, held, True, mark).join(spans, [doc, mark], "left")
 
     def run(batches):
         for batch in text_slices(batches, at):
@@ -252,7 +254,7 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_memory:
             columns = [pa.array(new, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    found = found.select(*docs.columns, "_spans").mapInArrow(run, docs.schema)
+    found = found.select(*docs.columns, cuts_of).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))

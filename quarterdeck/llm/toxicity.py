@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarterdeck.llm.common import batch_of, fit_logistic, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
+from quarterdeck.llm.common import batch_of, fit_logistic, free_prefix, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
 
 FIT_ROWS = 40_000
 LEXICON = 200_000
@@ -110,8 +110,9 @@ FOUND = ("n_words", "best", "n_segments")
 def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) -> DataFrame:
     """The rows of ``docs`` (all columns) with n_words, best (sum of the best segment), n_segments; ``spans`` adds all segments.
 
-    The new columns are named ``_n_words`` and so on; the text is looked at where it lies, so nothing is joined.
+    The new columns have ``free_prefix`` before their names; the text is looked at where it lies, so nothing is joined.
     """
+    prefix = free_prefix(docs.columns)
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
     at = docs.columns.index("text")
     one = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
@@ -145,12 +146,14 @@ def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) ->
                     every.append([{"begin": b, "end": e, "score": s} for b, e, s in found])
             new = [pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(many, pa.int64())]
             new += [pa.array(every, pa.list_(one))] if spans else []
-            names = [*batch.schema.names, *[f"_{c}" for c in FOUND], *(["_segments"] if spans else [])]
+            names = [*batch.schema.names, *[f"{prefix}{c}" for c in FOUND], *([f"{prefix}segments"] if spans else [])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
-    schema = StructType(list(docs.schema.fields)).add("_n_words", "long").add("_best", "double").add("_n_segments", "long")
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(FOUND, ("long", "double", "long"), strict=True):
+        schema = schema.add(f"{prefix}{name}", kind)
     if spans:
-        schema = schema.add("_segments", "array<struct<begin: long, end: long, score: double>>")
+        schema = schema.add(f"{prefix}segments", "array<struct<begin: long, end: long, score: double>>")
     return docs.mapInArrow(run, schema)
 
 
@@ -178,13 +181,14 @@ class Model:
     weights: np.ndarray | None
     constant: float
 
-    def terms(self) -> list[Column]:
-        evidence = F.lit(self.rate) * F.col("_best") - F.log1p(K * F.col("_n_words"))
-        return [evidence, F.log1p(F.col("_n_segments")), F.log1p(F.col("_n_words")), F.least(F.col("_best"), F.lit(MOST))]
+    def terms(self, prefix: str = "_") -> list[Column]:
+        words, best, many = (F.col(f"{prefix}{c}") for c in FOUND)
+        evidence = F.lit(self.rate) * best - F.log1p(K * words)
+        return [evidence, F.log1p(many), F.log1p(words), F.least(best, F.lit(MOST))]
 
-    def score(self) -> Column:
+    def score(self, prefix: str = "_") -> Column:
         """The score, from the columns that ``passages`` adds."""
-        return F.lit(self.constant) if self.weights is None else logistic(self.terms(), self.weights)
+        return F.lit(self.constant) if self.weights is None else logistic(self.terms(prefix), self.weights)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -221,7 +225,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``THRESHOLD``; one pass, no join."""
     model = fit(docs, labels)
-    return passages(docs, model.lexicon).where(model.score() < THRESHOLD).select(*docs.columns)
+    return passages(docs, model.lexicon).where(model.score(free_prefix(docs.columns)) < THRESHOLD).select(*docs.columns)
 
 
 def op6_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
