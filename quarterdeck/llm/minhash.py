@@ -6,11 +6,13 @@
    from weighing much less than those in which they differ.
 2. Texts with the same words are copies; the smallest doc_id of them stands for all in the search.
 3. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples per text; two texts agree in a
-   sample with the probability of their weighted Jaccard likeness. ``ROWS`` samples make a band's key.
-4. Texts that share a key are candidates. In every bucket the smallest text is a pivot: all others are compared with it, exactly
-   (weighted Jaccard >= 0.8 is a link). Those that are not linked to it get a pivot of their own, ``PIVOTS`` times.
-   What is left in a bucket are pairs from different components; each is compared, but for those that a
-   pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot differ by over 0.2 are not linked.
+   sample with the probability of their weighted Jaccard likeness. ``ROWS`` samples make a band's key; a byte
+   of every sample makes the signature.
+4. Texts that share a key and agree in ``AGREE`` samples or more are candidates. In every bucket the smallest text is a pivot: the others
+   are compared with it, exactly (weighted Jaccard >= 0.8 is a link). Those that are not linked to it get a
+   pivot of their own, ``PIVOTS`` times. What is left in a bucket are candidates from different components; each pair is
+   compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot differ by
+   over 0.2 are not linked. A bucket of over ``LARGE`` texts is divided by the texts' keys in the other bands first.
 5. A class is a connected component of links and copies; its id is its smallest doc_id.
 
 Scale: two passes over the texts without a shuffle (counts; samples); keys are 8 bytes per band. Only texts in buckets
@@ -25,18 +27,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarterdeck.llm.common import batch_of, checkpointed, free_prefix, staged, text_or_empty, text_slices
+from quarterdeck.llm.common import batch_of, free_prefix, staged, text_or_empty, text_slices
 from quarterdeck.llm.components import components
+from quarterdeck.llm.counters import CELLS, added, cells, sliced
 from quarterdeck.llm.shingles import MIX, Shingler, scramble
 
 SHINGLE, SIMILAR = 5, 0.8
-#: P(no shared band at likeness 0.8) = (1 - 0.8 ** ROWS) ** BANDS < 0.0004.
-BANDS, ROWS, PIVOTS = 11, 3, 2
-CELLS, SLICES = 1 << 20, 64
+#: P(no shared band at likeness 0.8) = (1 - 0.8 ** ROWS) ** BANDS < 0.0003; P(fewer than AGREE of 64 samples agree) < 0.0001.
+BANDS, ROWS, AGREE, PIVOTS, LARGE = 16, 4, 38, 2, 2000
 TEXT_BYTES = 250_000
 
 
@@ -70,10 +72,6 @@ class WeightedSampler:
         return out
 
 
-def _cells(shingle: np.ndarray) -> np.ndarray:
-    return (shingle >> np.uint64(44)).astype(np.int64)
-
-
 def keyed_counts(docs: DataFrame) -> DataFrame:
     """doc_id and key of every text, and per task the slices of its document-frequency counters (slice, counts)."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
@@ -82,38 +80,25 @@ def keyed_counts(docs: DataFrame) -> DataFrame:
         shingler, counts = Shingler(SHINGLE), np.zeros(CELLS, np.int64)
         for batch in text_slices(batches, 1):
             place, shingle, _, keys = shingler.counted(batch.column(1).to_pylist())
-            counts += np.bincount(_cells(shingle), minlength=CELLS)
+            counts += np.bincount(cells(shingle), minlength=CELLS)
             nothing = [None] * len(keys)
             yield batch_of(schema, (batch.column(0), keys, nothing, nothing))
         if counts.any():
-            parts = [p.astype("<i8").tobytes() for p in np.split(counts, SLICES)]
-            yield batch_of(schema, ([None] * SLICES, [None] * SLICES, list(range(SLICES)), parts))
+            slices, parts = zip(*sliced(counts), strict=True)
+            yield batch_of(schema, ([None] * len(parts), [None] * len(parts), slices, parts))
 
     return docs.mapInArrow(run, "doc_id long, key binary, slice int, counts binary")
 
 
 def idf_table(counts: DataFrame, documents: int) -> np.ndarray:
-    """The weight of every cell: per-task counters are added up in two steps, so that no group holds all of them."""
-    kinds = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
-
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), "<i8") for c in group.column("counts"))
-        return pa.Table.from_batches([batch_of(kinds, ([group.column("slice")[0].as_py()], [total.tobytes()]))])
-
-    some = F.pmod(F.xxhash64("counts"), F.lit(256)).cast("int")
-    partial = counts.select("slice", "counts", some.alias("part")).groupBy("slice", "part").applyInArrow(add, "slice int, counts binary")
-    whole = partial.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()  # CELLS numbers
-    df = np.zeros(CELLS)
-    for row in whole:
-        width = CELLS // SLICES
-        df[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], "<i8")
+    """The weight of every cell."""
     n = max(documents, 1)
-    return np.log1p(n / (np.minimum(df, n) + n)).astype(np.float32)
+    return np.log1p(n / (np.minimum(added(counts), n) + n)).astype(np.float32)
 
 
 def band_keys(docs: DataFrame, idf) -> DataFrame:
-    """doc_id and the band keys of every text with words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    """doc_id, band keys and signature (a byte per sample, eight to a number) of every text with words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64()))])
 
     def run(batches):
         shingler, sampler = Shingler(SHINGLE), WeightedSampler(BANDS * ROWS)
@@ -122,14 +107,27 @@ def band_keys(docs: DataFrame, idf) -> DataFrame:
             if not len(place):
                 continue
             texts, starts = np.unique(place, return_index=True)
-            drawn = sampler.sample(np.append(starts, len(place)), shingle, n * idf.value[_cells(shingle)])
+            drawn = sampler.sample(np.append(starts, len(place)), shingle, n * idf.value[cells(shingle)])
             keys = drawn.reshape(BANDS, ROWS, -1)
             band = scramble(keys[:, 0] + np.arange(BANDS, dtype=np.uint64)[:, None] * MIX)
             for r in range(1, ROWS):
                 band = scramble(band * MIX + keys[:, r])
-            yield batch_of(schema, (batch.column(0).take(pa.array(texts)), band.T.astype(np.int64).tolist()))
+            signature = np.ascontiguousarray(drawn.astype(np.uint8).T).view("<i8")
+            yield batch_of(schema, (batch.column(0).take(pa.array(texts)), band.T.astype(np.int64).tolist(), signature.tolist()))
+
+    return docs.mapInArrow(run, "doc_id long, bands array<long>, signature array<long>")
+
 
-    return docs.mapInArrow(run, "doc_id long, bands array<long>")
+def agreeing(one: str, two: str) -> Column:
+    """In how many samples two signatures agree: bytes that are zero in the difference, counted eight at a time."""
+    each = BANDS * ROWS // 8
+    total = F.lit(8 * each)
+    for i in range(each):
+        v = F.col(one)[i].bitwiseXOR(F.col(two)[i])
+        for shift in (4, 2, 1):  # the last bit of every byte becomes whether any of its bits is set
+            v = v.bitwiseOR(F.shiftrightunsigned(v, shift))
+        total = total - F.bit_count(v.bitwiseAND(F.lit(0x0101010101010101)))
+    return total
 
 
 def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
@@ -144,7 +142,7 @@ def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
 
         def weights(text: str):
             _, shingle, n, _ = shingler.counted([text])
-            return shingle, n * idf.value[_cells(shingle)].astype(np.float64)
+            return shingle, n * idf.value[cells(shingle)].astype(np.float64)
 
         for batch in text_slices(batches, 3):
             out = []
@@ -162,49 +160,69 @@ def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return got.groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
 
 
-def _fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.distinct(), "doc_id", "left_semi")
-
-
-def near_links(docs: DataFrame, buckets: DataFrame, idf) -> DataFrame:
+def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> DataFrame:
     """a, b of linked documents that share a bucket; ``buckets`` has band, key, doc_id. Enough links for all components."""
     by = ["band", "key"]
-    texts = staged(_fetch(docs, buckets.select("doc_id")), "near-texts")
+    here = buckets.select("doc_id").distinct()
+    texts = staged(docs.join(here, "doc_id", "left_semi"), "near-texts")
+    bands = staged(bands.join(here, "doc_id", "left_semi"), "near-signatures")
+    signature = bands.select("doc_id", "signature")
+    one = signature.select(F.col("doc_id").alias("a"), F.col("signature").alias("one"))
+    two = signature.select(F.col("doc_id").alias("b"), F.col("signature").alias("two"))
     opened, links, tested = buckets, None, None
     for turn in range(PIVOTS):
-        pivot = opened.groupBy(by).agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        member = staged(opened.join(pivot, by).where(F.col("doc_id") != F.col("pivot")), f"near-members-{turn}")
-        pairs = member.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+        pivot = opened.groupBy(by).agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("last > pivot").drop("last")
+        member = staged(opened.join(pivot, by), f"near-members-{turn}")
+        pairs = member.where(F.col("doc_id") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+        pairs = pairs.join(two, "b").join(one, "a").where(agreeing("one", "two") >= AGREE).select("a", "b").distinct()
         done = staged(compared(pairs, texts, idf), f"near-compared-{turn}")
         found = done.where(F.col("likeness") >= SIMILAR).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        near = done.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), "likeness")
-        member = member.join(near, ["pivot", "doc_id"])
-        if turn == 0:
-            first = member.select(*by, "doc_id", (1 - F.col("likeness")).alias("far"))
-            first = first.unionByName(pivot.select(*by, F.col("pivot").alias("doc_id"), F.lit(0.0).alias("far")))
-            tested = staged(first, "near-far")
-        opened = staged(member.where(F.col("likeness") < SIMILAR).select(*by, "doc_id"), f"near-open-{turn}")
-        if opened.isEmpty():
-            return links
-    own = checkpointed(components(links))
-    placed = tested.join(own.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = placed.select(*by, "doc_id", "far", F.coalesce("component", "doc_id").alias("component"))
-    # Pairs of different components: all but a bucket's largest component ("small") meet everything else in the bucket.
+        near = done.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), (1 - F.col("likeness")).alias("far"))
+        member = member.join(near, ["pivot", "doc_id"], "left")
+        member = member.withColumn("far", F.when(F.col("doc_id") == F.col("pivot"), 0.0).otherwise(F.col("far")))
+        member = staged(member.select(*by, "doc_id", "far"), f"near-far-{turn}")
+        tested = member if tested is None else tested
+        opened = member.where(F.coalesce(F.col("far") > 1 - SIMILAR, F.lit(True))).select(*by, "doc_id")
+    if opened.isEmpty():
+        return links
+    own = components(links).withColumnRenamed("node", "doc_id")
+    placed = tested.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    placed = staged(_divided(placed, bands), "near-placed")
+    # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
+    by = [*by, "part", "part_key"]
     sizes = placed.groupBy(*by, "component").count()
     main = sizes.groupBy(by).agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
     main = main.where("parts > 1").select(*by, F.col("m.component").alias("main"))
-    placed = staged(placed.join(main, by), "near-placed")
-    some = placed.where(F.col("component") != F.col("main")).select(*by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"))
-    every = placed.select(*by, F.col("doc_id").alias("y"), F.col("far").alias("far_y"), F.col("component").alias("cy"), "main")
-    can = F.abs(F.col("far_x") - F.col("far_y")) <= 1 - SIMILAR + 1e-9
+    placed = placed.join(main, by).join(signature, "doc_id")
+    some = placed.where(F.col("component") != F.col("main")).select(
+        *by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"), F.col("signature").alias("one")
+    )
+    every = placed.select(
+        *by, F.col("doc_id").alias("y"), F.col("far").alias("far_y"), F.col("component").alias("cy"), F.col("signature").alias("two"), "main"
+    )
+    some, every = staged(some, "near-some"), staged(every, "near-every")
+    can = F.coalesce(F.abs(F.col("far_x") - F.col("far_y")) <= 1 - SIMILAR + 1e-9, F.lit(True))
     once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
-    rest = some.join(every, by).where((F.col("cx") != F.col("cy")) & can & once & (F.col("far_x") > 0) & (F.col("far_y") > 0))
+    same = F.lit(True)
+    for c in by:
+        same = same & some[c].eqNullSafe(every[c])
+    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & can & once & (agreeing("one", "two") >= AGREE))
     rest = staged(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-rest")
     late = compared(rest, texts, idf).where(F.col("likeness") >= SIMILAR).select("a", "b")
     return links.unionByName(staged(late, "near-late"))
 
 
+def _divided(placed: DataFrame, bands: DataFrame) -> DataFrame:
+    """Adds part and part_key: a bucket of over ``LARGE`` texts becomes buckets of texts that share a second band too."""
+    sizes = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
+    sized = placed.join(sizes, ["band", "key"])
+    small = sized.where(F.col("n") <= LARGE).withColumns({"part": F.lit(-1), "part_key": F.lit(0).cast("long")})
+    large = sized.where(F.col("n") > LARGE).join(bands.select("doc_id", "bands"), "doc_id")
+    large = large.select(*sized.columns, F.posexplode("bands").alias("part", "part_key")).where(F.col("part") != F.col("band"))
+    return small.unionByName(large).drop("n")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every row."""
     spark = docs.sparkSession
@@ -217,12 +235,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copy_links = copies.where("n > 1").join(keys, "words").where(F.col("doc_id") != F.col("first"))
     copy_links = staged(copy_links.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "near-copies")
     known = docs.where(F.col("doc_id").isNotNull())
-    bands = staged(band_keys(known, idf), "near-bands")
+    bands = staged(band_keys(known, idf), "near-all-bands")
     stand = copies.select(F.col("first").alias("doc_id")).distinct()
-    rows = bands.join(stand, "doc_id", "left_semi").select("doc_id", F.posexplode("bands").alias("band", "key")).distinct()
+    bands = staged(bands.join(stand, "doc_id", "left_semi"), "near-bands")
+    rows = bands.select("doc_id", F.posexplode("bands").alias("band", "key"))
     full = rows.groupBy("band", "key").count().where("count > 1").drop("count")
     buckets = staged(rows.join(full, ["band", "key"]), "near-buckets")
-    links = copy_links if buckets.isEmpty() else near_links(known, buckets, idf).unionByName(copy_links)
+    links = copy_links if buckets.isEmpty() else near_links(known, buckets, bands, idf).unionByName(copy_links)
     own = components(links)
     ids = seen.where(F.col("key").isNotNull()).select("doc_id")
     out = ids.join(own.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from quarterdeck.llm.common import batch_of, fit_logistic, free_prefix, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
 
@@ -153,7 +153,7 @@ def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) ->
     for name, kind in zip(FOUND, ("long", "double", "long"), strict=True):
         schema = schema.add(f"{prefix}{name}", kind)
     if spans:
-        schema = schema.add(f"{prefix}segments", "array<struct<begin: long, end: long, score: double>>")
+        schema = schema.add(f"{prefix}segments", ArrayType(StructType().add("begin", "long").add("end", "long").add("score", "double")))
     return docs.mapInArrow(run, schema)
 
 

@@ -82,9 +82,9 @@ def test_toxic_passages_are_found(spark):
 
 def test_logistic_fit_is_calibrated():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(4000, 2)) * [3, 0.1]
+    x = rng.normal(size=(40000, 2)) * [3, 0.1]
     p = 1 / (1 + np.exp(-(0.7 * x[:, 0] - 4 * x[:, 1] + 0.3)))
-    w = fit_logistic(x, (rng.random(4000) < p).astype(float), ridge=1e-6)
+    w = fit_logistic(x, (rng.random(40000) < p).astype(float), ridge=1e-6)
     assert np.abs(w - [0.7, -4, 0.3]).max() < 0.6
 
 
