@@ -37,9 +37,8 @@ def try_bool(col: Column | str) -> Column:
 
 
 def try_date(col: Column | str) -> Column:
-    """ISO date or timestamp text (``2024-09-30`` or ``2024-09-30T00:00:00.000``) to DATE."""
-    s = _c(col).cast("string")
-    return F.substring(s, 1, 10).try_cast("date")
+    """ISO date or timestamp text (``2024-09-30`` or ``2024-09-30T00:00:00.000``) to DATE; the whole text must parse."""
+    return _c(col).cast("string").try_cast("timestamp_ntz").cast("date")
 
 
 _BAD = re.compile(r"[^A-Za-z0-9_]")

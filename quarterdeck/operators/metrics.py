@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.arith import growth_pct, pct, safe_divide
-from quarterdeck.operators.ranking import previous_and_rank, report_rank
+from quarterdeck.operators.ranking import order_key, previous_and_rank, report_rank
 
 KEYS = ["ticker", "report_date"]
 
@@ -270,8 +270,7 @@ def company_snapshot_latest(
 
     def latest(tag: str):
         on = F.col("_src") == tag
-        order = F.struct(F.col("_d").isNotNull(), F.col("_d"))
-        return F.max_by(F.when(on, F.col(tag)), F.when(on, order)).alias(tag)
+        return F.max_by(F.when(on, F.col(tag)), F.when(on, order_key("_d", F.col(tag)))).alias(tag)
 
     null_split = F.when(F.col("ticker").isNull(), F.col("_src")).alias("_null_src")
     g = stream.groupBy("ticker", null_split).agg(latest("i"), latest("b"), latest("c"))

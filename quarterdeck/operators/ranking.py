@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from quarterdeck.plans.storage import checkpointed
 
 
-def _order_key(order: Column | str, nulls_last: bool = True) -> Column:
+def order_key(order: Column | str, tie_break: Column) -> Column:
+    """Sort key of "latest": a NULL loses against any value (DESC NULLS LAST), ties go to the greatest ``tie_break``."""
     c = F.col(order) if isinstance(order, str) else order
-    # (is-not-null, value): a NULL value loses against any real one, like DESC NULLS LAST.
-    return F.struct(c.isNotNull().alias("_nn"), c.alias("_v")) if nulls_last else c
+    return F.struct(c.isNotNull().alias("_nn"), c.alias("_v"), tie_break.alias("_tie"))
 
 
 def latest_per_key(
@@ -36,16 +36,16 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` value (NULL orders last).
 
-    Equivalent to keeping ``row_number() = 1`` over ``ORDER BY order DESC``; rows that
-    tie on ``order`` are as arbitrary as in the window form. NULL keys are kept (one
-    row for the NULL group), as a window partition would.
+    Equivalent to keeping ``row_number() = 1`` over ``ORDER BY order DESC, <all other columns> DESC``:
+    rows that tie on ``order`` are decided by their values, so the result does not depend
+    on partitioning. NULL keys are kept (one row for the NULL group), as a window partition would.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = [c for c in (columns or df.columns) if c not in keys]
     payload = F.struct(*[F.col(c) for c in cols])
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(payload, _order_key(order)).alias("_latest"))
+        .agg(F.max_by(payload, order_key(order, payload)).alias("_latest"))
         .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])
     )
 

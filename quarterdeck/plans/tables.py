@@ -125,5 +125,5 @@ def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_root:
             rows = spark.read.parquet(f"{target_root}/{name}").count()
             results.append((name, "success", rows, None))
         except Exception as exc:  # noqa: BLE001 - reported per table
-            results.append((name, "failed", None, str(exc).splitlines()[0][:500]))
+            results.append((name, "failed", None, str(exc)))
     return spark.createDataFrame(results, "name string, status string, rows bigint, error string")

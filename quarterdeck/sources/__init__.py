@@ -6,7 +6,6 @@ from quarterdeck.sources.delimited import (
     read_delimited_text,
     read_directory,
     read_statement,
-    read_with_schema,
     write_delimited,
 )
 from quarterdeck.sources.documents import map_documents, read_documents, record_documents, write_documents
@@ -32,7 +31,6 @@ __all__ = [
     "read_directory",
     "read_documents",
     "read_statement",
-    "read_with_schema",
     "record_documents",
     "required_inputs",
     "required_summary",

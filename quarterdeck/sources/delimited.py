@@ -4,9 +4,11 @@ External-table semantics: first line is the header, short (jagged) rows are
 padded with NULL, quoted fields may contain newlines, and an empty field is
 missing. Files are tab separated: the default comma would read one column.
 
-``multiline=True`` (quoted newlines) makes each file a single split, so large
-inputs should come as many files; with ``multiline=False`` Spark splits files
-by ``spark.sql.files.maxPartitionBytes``.
+Text survives a round trip: writer and reader quote with ``"`` and double it inside quotes, blanks at
+the ends stay, and a quoted empty field is empty text where an unquoted one is missing.
+
+Files are split by ``spark.sql.files.maxPartitionBytes`` unless ``multiline=True`` is asked for:
+a file whose fields hold line breaks can only be read by one task.
 """
 
 from __future__ import annotations
@@ -22,15 +24,14 @@ from quarterdeck.operators.reshape import coerce_types
 from quarterdeck.schemas import LONG_ITEMS
 
 
+def parse_options(sep: str = "\t", multiline: bool = True) -> dict[str, str]:
+    """How statement files are parsed, by batch and stream readers alike."""
+    options = {"sep": sep, "header": "true", "multiLine": str(multiline).lower(), "mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+    return options | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _reader(spark: SparkSession, sep: str, multiline: bool):
-    return (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("quote", '"')
-        .option("escape", '"')
-    )
+    return spark.read.options(**parse_options(sep, multiline))
 
 
 def read_delimited_text(spark: SparkSession, path: str, sep: str = "\t", multiline: bool = True) -> DataFrame:
@@ -57,15 +58,15 @@ def read_statement(
     return typed.withColumn("report_date", try_date("report_date")) if "report_date" in typed.columns else typed
 
 
-def read_with_schema(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", multiline: bool = True) -> DataFrame:
-    """Explicit schema, no inference pass; cells that do not parse become NULL."""
-    return _reader(spark, sep, multiline).schema(schema).csv(path)
-
-
 def infer_delimited(spark: SparkSession, path: str, sep: str = "\t", multiline: bool = True) -> DataFrame:
     """Schema inferred from the data (one extra pass): integers widen to BIGINT,
-    decimals to DOUBLE, ISO dates to DATE, the rest stays text."""
+    decimals to DOUBLE, ISO dates to DATE, the rest stays text. A column without any
+    value is DOUBLE, so that numbers can be appended later."""
     df = clean_columns(_reader(spark, sep, multiline).option("inferSchema", True).csv(path))
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if texts:
+        any_value = df.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in texts]).first()
+        df = df.withColumns({c: F.lit(None).cast("double") for c in texts if not any_value[c]})
     widen = {
         f.name: "bigint"
         for f in df.schema.fields
@@ -75,8 +76,19 @@ def infer_delimited(spark: SparkSession, path: str, sep: str = "\t", multiline:
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", sep: str = "\t") -> None:
-    """Header line, tab separated, NULL written as an empty field; one file per partition."""
-    df.write.mode(mode).option("sep", sep).option("header", True).csv(path)
+    """Header line, tab separated, NULL written as an empty field, text with quotes or breaks quoted; one file per partition."""
+    options = {"sep": sep, "header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'}
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode(mode).options(**options, **kept).csv(path)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return False
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(target))
 
 
 def append_delimited(spark: SparkSession, df: DataFrame, path: str, sep: str = "\t") -> None:
@@ -85,39 +97,48 @@ def append_delimited(spark: SparkSession, df: DataFrame, path: str, sep: str = "
     The first write creates the directory with a header. Later appends are
     reordered to the existing header (missing columns become empty fields); a
     column the existing files do not have is rejected, because readers take the
-    header of one file and a positional mismatch would shift values.
+    header of one file and a positional mismatch would shift values. Files that
+    are there are never replaced: if their header cannot be read, the error is raised.
     """
     from quarterdeck.plans.tables import align_to
 
-    try:
-        existing = _reader(spark, sep, False).csv(path).columns
-    except Exception:  # noqa: BLE001 - no readable files yet: first write
-        existing = None
-    if not existing:
-        write_delimited(df, path, mode="overwrite", sep=sep)
+    if not _has_files(spark, path):
+        write_delimited(df, path, mode="append", sep=sep)
         return
-    write_delimited(align_to(df, existing), path, mode="append", sep=sep)
+    header = _reader(spark, sep, False).csv(path).columns
+    if not header:
+        raise ValueError(f"{path} holds files without a header")
+    write_delimited(align_to(df, header), path, mode="append", sep=sep)
 
 
-def read_directory(spark: SparkSession, root: str, glob: str = "*.csv", sep: str = "\t") -> tuple[dict, DataFrame]:
+def read_directory(
+    spark: SparkSession, root: str, glob: str = "*.csv", sep: str = "\t", multiline: bool = True
+) -> tuple[dict, DataFrame]:
     """Every matching file under ``root`` as a table named after the file stem.
 
-    The listing comes from :func:`file_manifest` (distributed, content pruned);
-    each file is opened on its own, so one unreadable file is reported instead of
+    Files with one stem in several folders are told apart: each is named by its path below
+    ``root``, with ``__`` for ``/``. Each file is opened on its own, so one unreadable file is reported instead of
     stopping the others. Returns ``(tables, report)`` with report columns
-    ``(table_name, path, status, columns, error)``.
+    ``(table_name, path, status, columns, error)``. Only file names pass through the driver.
     """
     from quarterdeck.sources.files import file_manifest
 
-    paths = sorted(r.path for r in file_manifest(spark, root, glob).select("path").collect())
+    rows = file_manifest(spark, root, glob).select("path", "name", "size_bytes").orderBy("path").collect()
+    paths = [r.path for r in rows]
+    top = paths[0].rsplit("/", 1)[0] if paths else ""
+    while not all(p.startswith(f"{top}/") for p in paths):
+        top = top.rsplit("/", 1)[0]
+    stems = [r.name.rsplit(".", 1)[0] for r in rows]
     tables, report = {}, []
-    for p in paths:
-        stem = p.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    for p, stem in zip(paths, stems, strict=True):
+        name = stem if stems.count(stem) == 1 else p[len(top) + 1 :].rsplit(".", 1)[0].replace("/", "__")
         try:
-            df = read_delimited_text(spark, p, sep)
-            tables[stem] = df
-            report.append((stem, p, "loaded", len(df.columns), None))
+            df = read_delimited_text(spark, p, sep, multiline)
+            if not df.columns:
+                raise ValueError("no header")
+            tables[name] = df
+            report.append((name, p, "loaded", len(df.columns), None))
         except Exception as exc:  # noqa: BLE001 - isolated per file
-            report.append((stem, p, "failed", None, str(exc).splitlines()[0][:500]))
+            report.append((name, p, "failed", None, str(exc)))
     schema = "table_name string, path string, status string, columns int, error string"
     return tables, spark.createDataFrame(report, schema)

@@ -8,8 +8,9 @@ commit log makes the append exactly-once even if the job is retried.
 ``availableNow`` processes whatever has landed and stops, so the same code runs
 as a scheduled job or as a continuous stream (``processing_time``).
 
-All files in one landing directory must share a header: CSV streams take one
-schema, applied by position.
+Files are parsed with the batch reader's options. CSV streams take one schema, applied by
+position; a file whose header has other names or another order stops the stream
+(``enforceSchema`` is off) instead of loading values under the wrong names.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from quarterdeck.functions.coerce import clean_name, try_date
 from quarterdeck.operators.reshape import coerce_types
 from quarterdeck.plans.storage import checkpoint_root
 from quarterdeck.schemas import LONG_ITEMS
+from quarterdeck.sources.delimited import parse_options
 
 
 def landing_schema(spark: SparkSession, landing_dir: str, sep: str = "\t") -> T.StructType:
     """All-text schema from the header of the files already landed (one small read)."""
-    header = spark.read.option("sep", sep).option("header", True).csv(landing_dir).columns
+    header = spark.read.options(**parse_options(sep)).csv(landing_dir).columns
     return T.StructType([T.StructField(c, T.StringType()) for c in header])
 
 
@@ -45,7 +47,7 @@ def stream_statements(
     The checkpoint defaults to a folder under the shared ``spark.checkpoint.dir``.
     """
     schema = landing_schema(spark, landing_dir, sep)
-    reader = spark.readStream.schema(schema).option("sep", sep).option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.readStream.schema(schema).options(**parse_options(sep)).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir)
@@ -58,9 +60,14 @@ def stream_statements(
     return writer.outputMode("append").start()
 
 
-def run_available(query: StreamingQuery, timeout_seconds: float = 1800) -> None:
-    """Wait for an ``availableNow`` run to finish; stop it and raise if it does not in time."""
-    if not query.awaitTermination(timeout_seconds):
+def run_available(query: StreamingQuery, timeout_seconds: float | None = None) -> None:
+    """Wait until an ``availableNow`` run ends, however long that takes, and raise its error if it failed.
+
+    With ``timeout_seconds`` the run is stopped after that time and ``TimeoutError`` raised.
+    """
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish within {timeout_seconds} s")
     if query.exception() is not None:
