@@ -5,6 +5,8 @@
     python -m quarterdeck.cli list     --db NAME
     python -m quarterdeck.cli info     --table DB.NAME
     python -m quarterdeck.cli report   NAME --db NAME [--as-of YYYY-MM-DD] [--out PATH] [--show N]
+    python -m quarterdeck.cli export   --docs PATH --out DIR [--shape map|records] [--multiline]
+    python -m quarterdeck.cli load     --src DIR --db NAME [--mode replace|append]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so ``spark-submit``
 settings (master, executors, ``spark.checkpoint.dir``) apply unchanged. Only the
@@ -27,6 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.operators import reports as R
 from quarterdeck.plans.build import STATEMENT_FILES, build_all, list_tables, table_info
+from quarterdeck.plans.export import export_documents
+from quarterdeck.plans.tables import load_directory
+from quarterdeck.sources.documents import read_documents
 from quarterdeck.sources.files import file_manifest, required_inputs, required_summary
 
 
@@ -92,7 +97,16 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     r.add_argument("--db", required=True)
     r.add_argument("--as-of", default=None)
     r.add_argument("--out", default=None, help="write parquet here instead of printing")
-    r.add_argument("--show", type=int, default=20)
+    r.add_argument("--show", type=int, default=20, help="rows to print; the number of all rows is printed with them")
+    e = sub.add_parser("export", help="documents -> statement files")
+    e.add_argument("--docs", required=True)
+    e.add_argument("--out", required=True)
+    e.add_argument("--shape", choices=("map", "records"), default="map")
+    e.add_argument("--multiline", action="store_true")
+    d = sub.add_parser("load", help="statement files -> tables, with inserted and total rows")
+    d.add_argument("--src", required=True)
+    d.add_argument("--db", required=True)
+    d.add_argument("--mode", choices=("replace", "append"), default="replace")
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("quarterdeck").getOrCreate()
@@ -110,11 +124,23 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.cmd == "info":
         print(json.dumps(table_info(spark, args.table), indent=2, default=str))
         return 0
+    if args.cmd == "export":
+        for name, path in export_documents(read_documents(spark, args.docs, args.shape, args.multiline), args.out, args.shape).items():
+            print(f"{name}\t{path}")
+        return 0
+    if args.cmd == "load":
+        report = load_directory(spark, args.src, args.db, args.mode).collect()
+        for row in report:
+            print("\t".join(str(v) for v in row))
+        return 0 if all(row["status"] == "loaded" for row in report) else 1
     df = run_report(spark, args.name, args.db, args.as_of, ordered=not args.out)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
+        df = df.cache()
+        print(f"{df.count()} rows, of which the first {args.show} at most:")
         df.show(args.show, truncate=False)
+        df.unpersist()
     return 0
 
 

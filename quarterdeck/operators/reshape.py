@@ -15,7 +15,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.coerce import clean_name, try_bool, try_date, try_double, try_long
+from quarterdeck.functions.coerce import try_bool, try_date, try_double, try_long
 from quarterdeck.functions.dates import year_of_label
 from quarterdeck.schemas import PROFILE_ATTRIBUTES, item_type
 
@@ -32,7 +32,7 @@ _CASTERS = {
 
 
 def _clean_item(col: Column) -> Column:
-    """Column-side twin of :func:`clean_name` for item names held in data."""
+    """Column-side twin of :func:`quarterdeck.functions.clean_name` for item names held in data."""
     cleaned = F.regexp_replace(col, r"[^A-Za-z0-9_]", "_")
     return F.when(cleaned.rlike(r"^[0-9]"), F.concat(F.lit("_"), cleaned)).otherwise(cleaned)
 
@@ -44,20 +44,35 @@ def with_ticker(df: DataFrame, ticker: str | Column = "ticker") -> DataFrame:
     return df.select(F.coalesce(t, F.lit(MISSING_TICKER)).alias("ticker"), *rest)
 
 
-def statement_long(docs: DataFrame, section: str, period: str | None = None) -> DataFrame:
+def _document(docs: DataFrame) -> list[str]:
+    return ["document"] if "document" in docs.columns else []
+
+
+def _cells(cells: DataFrame, keep_missing: bool) -> DataFrame:
+    """``""`` is a missing value: dropped, or kept as NULL."""
+    value = F.nullif(F.col("value"), F.lit(""))
+    return cells.withColumn("value", value) if keep_missing else cells.where(value.isNotNull())
+
+
+def statement_long(docs: DataFrame, section: str, period: str | None = None, keep_missing: bool = False) -> DataFrame:
     """Unpivot a map-shaped statement ``{item: {date: value}}`` to
     ``(ticker, report_date, line_item, value)``; ``""`` values are dropped (missing).
 
     Two ``explode`` generators, no shuffle. Item names are cleaned to column names.
     ``period`` (e.g. ``"annual"`` / ``"quarterly"``) adds a ``period`` column so that
-    annual and quarterly sections can share one long table.
+    annual and quarterly sections can share one long table. With ``keep_missing`` a
+    missing cell is a row with a NULL value, so that a report without any value stays a report. A ``document``
+    column of ``docs`` is carried along.
     """
+    own = _document(docs)
     items = docs.select(
+        *own,
         F.coalesce(F.col("ticker"), F.lit(MISSING_TICKER)).alias("ticker"),
         F.explode(F.col(section)).alias("item", "dates"),
     )
-    cells = items.select("ticker", "item", F.explode("dates").alias("date", "value"))
-    out = cells.where(F.col("value").isNotNull() & (F.col("value") != "")).select(
+    cells = items.select(*own, "ticker", "item", F.explode("dates").alias("date", "value"))
+    out = _cells(cells, keep_missing).select(
+        *own,
         "ticker",
         try_date("date").alias("report_date"),
         _clean_item(F.col("item")).alias("line_item"),
@@ -84,11 +99,14 @@ def statement_wide(
     """Pivot the long form to one row per ``(ticker, report_date)`` and one column per item.
 
     ``items`` is the explicit column list. The pivot is one conditional aggregation
-    (``first(value) FILTER (line_item = item)`` per item): one exchange, combined
+    (``max(value) FILTER (line_item = item)`` per item): one exchange, combined
     map-side, where ``pivot`` plans two aggregations. Values are coerced leniently
     before aggregating (so numeric items use hash-aggregate buffers): DOUBLE by
     default, BIGINT for the section's share-count items, or whatever ``types`` says.
+    A ``document`` column of ``long`` is part of the key and of the result: a row per document and
+    date. Of several values of one cell the greatest counts.
     """
+    own = _document(long)
     item = F.col("line_item")
     types = dict(types or {})
 
@@ -97,10 +115,23 @@ def statement_wide(
         return _CASTERS[t](F.col("value"))
 
     # Cast inside the condition: numeric items then aggregate in fixed-width (hash) buffers.
-    wide = long.groupBy("ticker", "report_date").agg(
-        *[F.first(F.when(item == F.lit(it), typed(it)), ignorenulls=True).alias(it) for it in items]
+    wide = long.groupBy(*own, "ticker", "report_date").agg(
+        *[F.max(F.when(item == F.lit(it), typed(it))).alias(it) for it in items]
     )
-    return wide.select("ticker", "report_date", *[F.col(f"`{it}`") for it in items])
+    return wide.select(*own, "ticker", "report_date", *[F.col(f"`{it}`") for it in items])
+
+
+def unparseable_dates(docs: DataFrame, section: str) -> DataFrame:
+    """``(ticker, labels)``: how many date labels of a map-shaped section are no dates; their cells have a NULL report_date."""
+    ticker = F.coalesce(F.col("ticker"), F.lit(MISSING_TICKER)).alias("ticker")
+    labels = F.array_distinct(F.flatten(F.transform(F.map_values(F.col(section)), F.map_keys)))
+    found = docs.select(ticker, F.explode(labels).alias("label")).where(try_date("label").isNull())
+    return found.groupBy("ticker").agg(F.count(F.lit(1)).alias("labels"))
+
+
+def lenient(col: Column, dtype: str) -> Column:
+    """``col`` as ``dtype``; text that does not parse is NULL."""
+    return _CASTERS[dtype](col)
 
 
 def coerce_types(df: DataFrame, types: Mapping[str, str], default: str | None = None) -> DataFrame:
@@ -175,19 +206,22 @@ def filter_years_records(docs: DataFrame, years: Iterable[int], sections: Sequen
     return docs.withColumns({s: F.filter(F.col(s), wanted) for s in sections})
 
 
-def records_long(docs: DataFrame, section: str) -> DataFrame:
-    """Record-shaped section to the long form: one row per record and item."""
+def records_long(docs: DataFrame, section: str, keep_missing: bool = False) -> DataFrame:
+    """Record-shaped section to the long form: one row per record and item (see :func:`statement_long`)."""
+    own = _document(docs)
     recs = docs.select(
+        *own,
         F.coalesce(F.col("ticker"), F.lit(MISSING_TICKER)).alias("ticker"),
         F.explode(F.col(section)).alias("r"),
     )
     cells = recs.select(
+        *own,
         "ticker",
         try_date(F.col("r")["date"]).alias("report_date"),
         F.explode(F.map_filter("r", lambda k, v: ~k.isin("date", "calendarYear", "period"))).alias("item", "value"),
     )
-    return cells.where(F.col("value").isNotNull() & (F.col("value") != "")).select(
-        "ticker", "report_date", _clean_item(F.col("item")).alias("line_item"), "value"
+    return _cells(cells, keep_missing).select(
+        *own, "ticker", "report_date", _clean_item(F.col("item")).alias("line_item"), "value"
     )
 
 
@@ -211,7 +245,3 @@ def company_profile(
         F.lit(rd).alias("report_date"),
         *[_CASTERS[t](F.col("_info")[src]).alias(dst) for src, t, dst in attributes],
     )
-
-
-def clean_item_names(names: Iterable[str]) -> list[str]:
-    return [clean_name(n) for n in names]

@@ -1,7 +1,7 @@
 """The staged build: statement files -> managed tables -> analytics tables.
 
 Stages run in order and stop at the first failure (an exception names the stage).
-Every table is written under a staging name and swapped in only when complete,
+Every table is written under a staging name and renamed only when complete,
 so a failed or retried build never leaves a half-written table behind.
 Each table is a DataFrame function; the only driver/executor boundary is the
 table write. Catalog helpers list tables and describe them.
@@ -14,7 +14,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.dates import AsOf
 from quarterdeck.operators import metrics as M
 from quarterdeck.operators.quality import duplicate_keys
 from quarterdeck.plans import managed as MG
@@ -66,7 +65,7 @@ def external_tables(spark: SparkSession, src: str) -> dict[str, DataFrame]:
         if name == "company_info":
             out[name] = read_delimited_text(spark, f"{src}/{file}")
         else:
-            out[name] = read_statement(spark, f"{src}/{file}", section=name)
+            out[name] = read_statement(spark, f"{src}/{file}", section=name, multiline=False)
     return out
 
 
@@ -109,7 +108,6 @@ def build_all(
     src: str,
     db: str,
     bucket_count: int | None = None,
-    as_of: AsOf = None,
     verify_grain: bool = True,
 ) -> DataFrame:
     """Run every stage; return ``(stage, table_name, rows)`` for the tables written.

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from quarterdeck.operators.reshape import lenient
 from quarterdeck.schemas import (
     LONG_ITEMS,
     MANAGED_BALANCE_COLUMNS,
@@ -23,6 +25,8 @@ from quarterdeck.schemas import (
 
 def _col_or_null(df: DataFrame, name: str, dtype: str) -> Column:
     if name in df.columns:
+        if isinstance(df.schema[name].dataType, StringType):  # text of a file: what does not parse is NULL
+            return lenient(F.col(f"`{name}`"), dtype).alias(name)
         return F.col(f"`{name}`").cast(dtype).alias(name)
     return F.lit(None).cast(dtype).alias(name)
 

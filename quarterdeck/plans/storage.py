@@ -30,29 +30,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
 
+def remove_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove ``path`` when the application ends (a table's files once nothing reads them)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A fresh directory under the shared checkpoint root for intermediate files."""
+    """A fresh directory under the shared checkpoint root for intermediate files; see :func:`remove_on_exit`."""
     return f"{checkpoint_root(spark)}/staging/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
-    """Reliable, eager checkpoint: materialises ``df`` once and cuts its lineage.
-
-    ``keep_partitioning=True`` runs that one action without adaptive execution, so
-    the checkpoint records the plan's final hash partitioning (an adaptive plan
-    reports none) and later joins on the same keys need no exchange. Meant for
-    inputs whose shuffles are already combined map-side (aggregates), where AQE's
-    skew handling has nothing to do. The setting is restored afterwards; do not
-    share one session between threads while this runs.
-    """
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    if not keep_partitioning:
-        return df.checkpoint(eager=True)
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set(key, before)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint: materialises ``df`` once in the shared folder and cuts its lineage."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

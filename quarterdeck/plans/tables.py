@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.functions.coerce import clean_name
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
@@ -47,26 +49,32 @@ def save_table(
 def load_replace(spark: SparkSession, df: DataFrame, name: str, keep_backup: bool = True, **layout) -> str | None:
     """Replace ``name`` with ``df``; the previous version becomes ``<name>_backup``.
 
-    The new rows are written to ``<name>_incoming`` first; only after that write
-    has succeeded are the catalog entries swapped (drop the old backup, current ->
-    backup, incoming -> current). A job that fails while writing, e.g. after losing
-    executors beyond retry, leaves the current table untouched.
-    With ``keep_backup=False`` the previous version is dropped after the swap.
+    The new rows are written to ``<name>_incoming`` first; only after that write has succeeded are the catalog entries
+    renamed (current -> backup, incoming -> current). A job that fails while writing leaves the current
+    table as it was, and if the second rename fails the first is undone. Between the two renames the name is
+    not there: readers should not run meanwhile.
+    With ``keep_backup=False`` the previous version is dropped after the swap, under a name of its own: a
+    backup that another call made stays.
     Returns the backup name, or ``None`` when there was no previous table (or no backup is kept).
     """
     incoming = f"{name}_incoming"
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     save_table(df, incoming, **layout)
-    backup = None
+    old = None
     if table_exists(spark, name):
-        backup = f"{name}_backup"
-        spark.sql(f"DROP TABLE IF EXISTS {backup}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
-    if backup and not keep_backup:
-        spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        old = f"{name}_backup" if keep_backup else f"{name}_outgoing"
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
+    except Exception:
+        if old:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if old and not keep_backup:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
         return None
-    return backup
+    return old
 
 
 def align_to(df: DataFrame, columns: Sequence[str], types: dict[str, str] | None = None) -> DataFrame:
@@ -127,3 +135,43 @@ def copy_tables(spark: SparkSession, tables: dict[str, DataFrame], target_root:
         except Exception as exc:  # noqa: BLE001 - reported per table
             results.append((name, "failed", None, str(exc)))
     return spark.createDataFrame(results, "name string, status string, rows bigint, error string")
+
+
+def load_directory(
+    spark: SparkSession, root: str, db: str, mode: str = "replace", glob: str = "*.csv", sep: str = "\t", multiline: bool = True
+) -> DataFrame:
+    """Load every matching file under ``root`` into a table of ``db`` named after it, types inferred.
+
+    ``mode="replace"`` keeps the previous table as a backup, ``"append"`` aligns by name. Returns
+    ``(table_name, path, status, inserted_rows, total_rows, error)``; one file failing does not stop the others.
+    A folder of part files (how Spark writes a table) loads as one table named after the folder.
+    """
+    from quarterdeck.sources.delimited import infer_delimited
+    from quarterdeck.sources.files import file_manifest
+
+    if mode not in ("replace", "append"):
+        raise ValueError("mode must be replace or append")
+    files = file_manifest(spark, root, glob).select("path", "name").orderBy("path").collect()  # file names only
+    sources: dict[str, str] = {}
+    for f in files:
+        folder = f.path.rsplit("/", 1)[0]
+        sources.setdefault(folder if f.name.startswith("part-") else f.path, f.path)
+    stems = [p.rsplit("/", 1)[-1].rsplit(".csv", 1)[0] for p in sources]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    report = []
+    for path, stem in zip(sources, stems, strict=True):
+        name = stem if stems.count(stem) == 1 else "__".join(path.rsplit("/", 2)[1:]).rsplit(".csv", 1)[0]
+        table = f"{db}.`{clean_name(name)}`"
+        try:
+            df = infer_delimited(spark, path, sep, multiline)
+            inserted = df.count()
+            if mode == "replace":
+                load_replace(spark, df, f"{db}.{clean_name(name)}")
+            else:
+                load_append(spark, df, f"{db}.{clean_name(name)}")
+            report.append((clean_name(name), path, "loaded", inserted, spark.table(table).count(), None))
+        except Exception as exc:  # noqa: BLE001 - reported per file
+            report.append((clean_name(name), path, "failed", None, None, str(exc)))
+    return spark.createDataFrame(
+        report, "table_name string, path string, status string, inserted_rows bigint, total_rows bigint, error string"
+    )

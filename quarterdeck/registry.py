@@ -7,19 +7,25 @@ with the data. Audit timestamps are left out so that results are comparable.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.functions.coerce import try_double
 from quarterdeck.operators import metrics as M
 from quarterdeck.operators import quality as Q
 from quarterdeck.operators import reports as R
 from quarterdeck.operators import reshape as RS
 from quarterdeck.oracle import AS_OF
 from quarterdeck.plans import managed as MG
-from quarterdeck.plans.storage import staging_path
-from quarterdeck.plans.tables import write_partitioned
+from quarterdeck.operators.ranking import latest_per_key
+from quarterdeck.plans.export import export_documents
+from quarterdeck.plans.storage import remove_on_exit, staging_path
+from quarterdeck.plans.tables import load_directory, write_partitioned
+from quarterdeck.schemas import FULL_PROFILE_ATTRIBUTES
 from quarterdeck.sources import delimited as DL
 from quarterdeck.sources import documents as DOC
 from quarterdeck.sources import files as FL
@@ -28,12 +34,15 @@ from quarterdeck.sources.testdata import TABLES, read_table, statement_tables
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _st(spark: SparkSession, sf_dir: str, shared: bool = False) -> dict[str, DataFrame]:
-    return statement_tables(spark, sf_dir, shared)
+def _st(spark: SparkSession, sf_dir: str, shared: bool = False, years: int | None = None) -> dict[str, DataFrame]:
+    """Statement tables; ``years`` bounds the scan for a report that looks back so far from ``AS_OF``."""
+    day = _dt.date.fromisoformat(AS_OF)
+    since = None if years is None else day.replace(year=day.year - years)  # AS_OF is no February 29
+    return statement_tables(spark, sf_dir, shared, since)
 
 
-def q_financial_ratios(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+def q_financial_ratios(spark, sf_dir, years=None):
+    t = _st(spark, sf_dir, years=years)
     return M.financial_ratios(t["income"], t["balance"], stamp=False)
 
 
@@ -46,13 +55,13 @@ def q_income_statement_trends(spark, sf_dir):
 
 
 def q_company_snapshot_latest(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+    t = _st(spark, sf_dir)
     return M.company_snapshot_latest(t["income"], t["balance"], t["company_info"], stamp=False)
 
 
-def q_yoy_comparison(spark, sf_dir):
-    # The self join reads income twice: share one checkpointed aggregate.
-    return M.yoy_comparison(_st(spark, sf_dir, shared=True)["income"], stamp=False)
+def q_yoy_comparison(spark, sf_dir, years=None):
+    # The self join reads income twice: share one staged table.
+    return M.yoy_comparison(_st(spark, sf_dir, shared=True, years=years)["income"], stamp=False)
 
 
 def q_key_metrics(spark, sf_dir):
@@ -64,16 +73,16 @@ def q_margin_trends(spark, sf_dir):
 
 
 def q_liquidity(spark, sf_dir):
-    return R.liquidity(_st(spark, sf_dir)["balance"], as_of=AS_OF)
+    return R.liquidity(_st(spark, sf_dir, years=2)["balance"], as_of=AS_OF)
 
 
 def q_leverage(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+    t = _st(spark, sf_dir, years=2)
     return R.leverage(t["income"], t["balance"], as_of=AS_OF)
 
 
 def q_efficiency(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+    t = _st(spark, sf_dir, years=2)
     return R.efficiency(t["income"], t["balance"], as_of=AS_OF)
 
 
@@ -102,21 +111,21 @@ def q_last_8_reports(spark, sf_dir):
 
 
 def q_peer_comparison(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+    t = _st(spark, sf_dir)
     return R.peer_comparison(t["income"], t["balance"])
 
 
 def q_yoy_growth(spark, sf_dir):
-    return R.yoy_growth(q_yoy_comparison(spark, sf_dir), as_of=AS_OF)
+    return R.yoy_growth(q_yoy_comparison(spark, sf_dir, years=4), as_of=AS_OF)
 
 
 def q_cash_strength(spark, sf_dir):
-    t = _st(spark, sf_dir, shared=True)
+    t = _st(spark, sf_dir)
     return R.cash_strength(t["income"], t["balance"])
 
 
 def q_health_score(spark, sf_dir):
-    return R.health_score(q_financial_ratios(spark, sf_dir), as_of=AS_OF)
+    return R.health_score(q_financial_ratios(spark, sf_dir, years=1), as_of=AS_OF)
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -155,6 +164,7 @@ PROFILE_DOC_ATTRIBUTES = {
     "fullTimeEmployees": "fullTimeEmployees",
     "companyOfficers": "companyOfficers",
 }
+PROFILE_DOC_ATTRIBUTES_PLAIN = {k: v for k, v in PROFILE_DOC_ATTRIBUTES.items() if k != "companyOfficers"}
 PROFILE_FIXTURE_ATTRIBUTES = [
     ("displayName", "string", "company"),
     ("country", "string", "country"),
@@ -175,51 +185,166 @@ def _sections(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {"income_statement": t["income"], "balance_sheet": t["balance"], "cash_flow_statement": t["cash_flow"]}
 
 
-def _map_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    t = _st(spark, sf_dir, shared=True)
-    profile = t["company_info"].withColumn("companyOfficers", F.lit('[{"name": "officer"}]'))
-    docs = DOC.map_documents(_sections(t), profile, PROFILE_DOC_ATTRIBUTES)
-    path = staging_path(spark, "map-docs")
-    DOC.write_documents(docs, path)
-    return DOC.read_documents(spark, path, "map"), t
+def _scratch(spark: SparkSession, label: str, write: Callable[[str], None]) -> str:
+    """A path of this query's own that ``write`` fills; it goes when the application ends."""
+    path = staging_path(spark, label)
+    write(path)
+    remove_on_exit(spark, path)
+    return path
 
 
-def _record_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    t = _st(spark, sf_dir, shared=True)
-    path = staging_path(spark, "record-docs")
-    DOC.write_documents(DOC.record_documents(_sections(t)), path)
-    return DOC.read_documents(spark, path, "records"), t
+def _map_docs(spark: SparkSession, statements: dict[str, DataFrame], profile: DataFrame | None = None, attributes=None) -> DataFrame:
+    docs = DOC.map_documents(statements, profile, attributes, split_years=bool(statements))
+    return DOC.read_documents(spark, _scratch(spark, "map-docs", lambda p: DOC.write_documents(docs, p)), "map")
+
+
+def _record_docs(spark: SparkSession, statements: dict[str, DataFrame]) -> DataFrame:
+    docs = DOC.record_documents(statements, split_years=True)
+    return DOC.read_documents(spark, _scratch(spark, "record-docs", lambda p: DOC.write_documents(docs, p)), "records")
 
 
 def q_scan_nested_json(spark, sf_dir):
-    docs, t = _map_docs(spark, sf_dir)
-    long = RS.statement_long(docs, "income_statement")
+    t = _st(spark, sf_dir)
+    long = RS.statement_long(_map_docs(spark, _sections(t)), "income_statement")
     return RS.statement_wide(long, _items(t["income"]), "income_statement")
 
 
 def q_scan_record_json(spark, sf_dir):
-    docs, t = _record_docs(spark, sf_dir)
-    long = RS.records_long(docs, "balance_sheet")
+    t = _st(spark, sf_dir)
+    long = RS.records_long(_record_docs(spark, _sections(t)), "balance_sheet")
     return RS.statement_wide(long, _items(t["balance"]), "balance_sheet")
 
 
 def q_filter_years(spark, sf_dir):
-    docs, t = _map_docs(spark, sf_dir)
-    kept = RS.filter_years(docs, FILTER_YEARS, ["income_statement", "balance_sheet", "cash_flow_statement"])
+    t = _st(spark, sf_dir)
+    kept = RS.filter_years(_map_docs(spark, _sections(t)), FILTER_YEARS, ["income_statement", "balance_sheet", "cash_flow_statement"])
     return RS.statement_wide(RS.statement_long(kept, "cash_flow_statement"), _items(t["cash_flow"]), "cash_flow_statement")
 
 
 def q_filter_years_records(spark, sf_dir):
-    docs, t = _record_docs(spark, sf_dir)
+    t = _st(spark, sf_dir)
+    docs = _record_docs(spark, _sections(t))
     kept = RS.filter_years_records(docs, FILTER_RECORD_YEARS, ["income_statement", "balance_sheet", "cash_flow_statement"])
     return RS.statement_wide(RS.records_long(kept, "income_statement"), _items(t["income"]), "income_statement")
 
 
 def q_company_profile(spark, sf_dir):
-    docs, _ = _map_docs(spark, sf_dir)
+    profile = _st(spark, sf_dir)["company_info"].withColumn("companyOfficers", F.lit('[{"name": "officer"}]'))
+    docs = _map_docs(spark, {}, profile, PROFILE_DOC_ATTRIBUTES)
     return RS.company_profile(docs.where(F.col("company_info").isNotNull()), PROFILE_FIXTURE_ATTRIBUTES)
 
 
+def q_profile_full(spark, sf_dir):
+    """All 182 attributes; employee counts come as text with an empty, a decimal and an unreadable form among them."""
+    n = F.col("fullTimeEmployees").cast("string")
+    last = F.substring("ticker", -1, 1)
+    text = F.when(last == "1", F.lit("")).when(last == "3", F.concat(n, F.lit(".0"))).when(last == "5", F.lit("many")).otherwise(n)
+    profile = _st(spark, sf_dir)["company_info"].withColumn("fullTimeEmployees", text)
+    docs = _map_docs(spark, {}, profile, PROFILE_DOC_ATTRIBUTES_PLAIN)
+    return RS.company_profile(docs, FULL_PROFILE_ATTRIBUTES)
+
+
+def q_documents_without_ticker(spark, sf_dir):
+    """Documents that lack a ticker stay apart: a row per document and date, all under N/A."""
+    t = _st(spark, sf_dir)
+    docs = DOC.map_documents({"income_statement": t["income"]})
+    lost = F.substring("ticker", -1, 1).isin(*EVEN)
+    docs = docs.withColumn("ticker", F.when(~lost, F.col("ticker")))
+    read = DOC.read_documents(spark, _scratch(spark, "lost-docs", lambda p: DOC.write_documents(docs, p)), "map")
+    long = RS.statement_long(DOC.with_document(read), "income_statement", keep_missing=True)
+    return RS.statement_wide(long, _items(t["income"]), "income_statement").drop("document")
+
+
+def q_quarterly_long(spark, sf_dir):
+    docs = _map_docs(spark, {"quarterly_financials": _st(spark, sf_dir)["income"]})
+    long = RS.statement_long(docs, "quarterly_financials", period="quarterly")
+    return long.withColumn("value", try_double("value"))
+
+
+def q_section_errors(spark, sf_dir):
+    """Balance sheets of every second company could not be fetched; their sections hold an error object."""
+    bal = DOC.record_documents({"balance_sheet": _st(spark, sf_dir)["balance"]})
+    failed = F.to_json(F.struct(F.concat(F.lit("limit reached for "), F.col("ticker")).alias("error")))
+    section = F.when(F.substring("ticker", -1, 1).isin(*EVEN), failed).otherwise(F.to_json("balance_sheet"))
+    line = F.concat(F.lit('{"ticker":'), F.to_json(F.array("ticker")), F.lit(',"balance_sheet":'), section, F.lit("}"))
+    line = F.regexp_replace(line, r'^\{"ticker":\[("[^"]*")\]', '{"ticker":$1')
+    path = _scratch(spark, "error-docs", lambda p: bal.select(line.alias("value")).write.text(p))
+    docs = DOC.read_documents(spark, path, "records")
+    error = F.col("section_errors")["balance_sheet"]
+    return docs.select("ticker", error.alias("error"), F.coalesce(F.size("balance_sheet"), F.lit(0)).cast("bigint").alias("records"))
+
+
+def q_json_counts(spark, sf_dir):
+    """Records of the document files, added up per folder (one for each last digit of the tickers)."""
+    docs = DOC.record_documents({"balance_sheet": _st(spark, sf_dir)["balance"]})
+    docs = docs.withColumn("digit", F.substring("ticker", -1, 1))
+    path = _scratch(spark, "counted-docs", lambda p: docs.write.partitionBy("digit").json(p))
+    counts = FL.json_record_counts(spark, path)
+    digit = F.regexp_extract("path", r"digit=([^/]*)/", 1)
+    return counts.groupBy(digit.alias("digit")).agg(F.sum("records").alias("records"))
+
+
+def q_export_statements(spark, sf_dir):
+    """Documents to statement files in one step; the income file read back."""
+    t = _st(spark, sf_dir)
+    docs = _map_docs(spark, _sections(t))
+    path = _scratch(spark, "exported", lambda p: export_documents(docs, p))
+    back = DL.read_statement(spark, f"{path}/income_statement.csv", section="income_statement", multiline=False)
+    return back.select("ticker", "report_date", *_items(t["income"]))
+
+
+def _loaded(spark: SparkSession, folders: list[tuple[str, DataFrame]], mode: str, name: str) -> DataFrame:
+    """Write each table as ``<name>.csv`` files and load them one after the other into one database."""
+    db = "quarterdeck_" + uuid.uuid4().hex
+    place = staging_path(spark, db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{place}'")
+    for label, df in folders:
+        root = _scratch(spark, label, lambda p, df=df: DL.write_delimited(df, f"{p}/{name}.csv"))
+        load_directory(spark, root, db, mode, multiline=False)
+    remove_on_exit(spark, place)
+    return spark.table(f"{db}.{name}")
+
+
+def q_load_replace(spark, sf_dir):
+    cash = _st(spark, sf_dir)["cash_flow"]
+    return _loaded(spark, [("half", cash.where(F.substring("ticker", -1, 1).isin(*EVEN))), ("whole", cash)], "replace", "cash_flow")
+
+
+def q_load_append(spark, sf_dir):
+    cash = _st(spark, sf_dir)["cash_flow"]
+    even = F.substring("ticker", -1, 1).isin(*EVEN)
+    turned = cash.select(*reversed(cash.columns))
+    out = _loaded(spark, [("even", cash.where(even)), ("odd", turned.where(~even))], "append", "cash_flow")
+    return out.select(*cash.columns)
+
+
+def q_roundtrip_delimited(spark, sf_dir):
+    """Whole document texts with quotes, tabs, line breaks and outer blanks through a delimited file."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = _scratch(spark, "documents-tsv", lambda p: DL.write_delimited(docs, p))
+    back = DL.read_delimited_text(spark, path, multiline=True)
+    return RS.coerce_types(back, {"doc_id": "bigint", "n_chars": "bigint"})
+
+
+def q_append_delimited(spark, sf_dir):
+    """Two appends with different column orders make one table."""
+    inc = _st(spark, sf_dir)["income"]
+    even = F.substring("ticker", -1, 1).isin(*EVEN)
+
+    def write(path):
+        DL.append_delimited(spark, inc.where(even), path)
+        DL.append_delimited(spark, inc.where(~even).select(*reversed(inc.columns)), path)
+
+    return DL.read_statement(spark, _scratch(spark, "appended", write), section="income_statement", multiline=False)
+
+
+def q_latest_with_duplicates(spark, sf_dir):
+    """The latest report per ticker where some reports occur twice with other values."""
+    inc = _st(spark, sf_dir, shared=True)["income"]
+    again = inc.where(F.substring("ticker", -1, 1).isin(*EVEN)).withColumn("Total_Revenue", F.col("Total_Revenue") + 1)
+    return latest_per_key(inc.unionByName(again), "ticker")
+
+
 def q_statement_long(spark, sf_dir):
     return RS.wide_to_long(_st(spark, sf_dir)["income"])
 
@@ -241,15 +366,15 @@ def _spaced(df: DataFrame) -> DataFrame:
 
 
 def q_scan_delimited(spark, sf_dir):
-    path = staging_path(spark, "balance-tsv")
-    DL.write_delimited(_spaced(_st(spark, sf_dir)["balance"]), path)
-    return DL.read_statement(spark, path, section="balance_sheet")
+    spaced = _spaced(_st(spark, sf_dir)["balance"])
+    path = _scratch(spark, "balance-tsv", lambda p: DL.write_delimited(spaced, p))
+    return DL.read_statement(spark, path, section="balance_sheet", multiline=False)
 
 
 def q_infer_schema(spark, sf_dir):
-    path = staging_path(spark, "cash-flow-tsv")
-    DL.write_delimited(_st(spark, sf_dir)["cash_flow"], path)
-    return DL.infer_delimited(spark, path)
+    cash = _st(spark, sf_dir)["cash_flow"]
+    path = _scratch(spark, "cash-flow-tsv", lambda p: DL.write_delimited(cash, p))
+    return DL.infer_delimited(spark, path, multiline=False)
 
 
 def q_coerce_types(spark, sf_dir):
@@ -257,9 +382,8 @@ def q_coerce_types(spark, sf_dir):
     dirty = inc.select(
         "ticker", "report_date", *[F.coalesce(F.col(c).cast("string"), F.lit("n/a")).alias(c) for c in _items(inc)]
     )
-    path = staging_path(spark, "income-text")
-    DL.write_delimited(dirty, path)
-    return DL.read_statement(spark, path, section="income_statement")
+    path = _scratch(spark, "income-text", lambda p: DL.write_delimited(dirty, p))
+    return DL.read_statement(spark, path, section="income_statement", multiline=False)
 
 
 def q_managed_income(spark, sf_dir):
@@ -279,7 +403,7 @@ def q_managed_profile(spark, sf_dir):
 
 
 def q_data_quality_checks(spark, sf_dir):
-    return Q.data_quality_checks(_st(spark, sf_dir, shared=True), stamp=False)
+    return Q.data_quality_checks(_st(spark, sf_dir), stamp=False)
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -301,12 +425,12 @@ def q_table_summary(spark, sf_dir):
 
 
 def q_ratios_last_year(spark, sf_dir):
-    return R.ratios_last_year(q_financial_ratios(spark, sf_dir), as_of=AS_OF)
+    return R.ratios_last_year(q_financial_ratios(spark, sf_dir, years=1), as_of=AS_OF)
 
 
 def q_partitioned_lookup(spark, sf_dir):
-    path = staging_path(spark, "ratios-by-year")
-    write_partitioned(q_financial_ratios(spark, sf_dir), path)
+    ratios = q_financial_ratios(spark, sf_dir)
+    path = _scratch(spark, "ratios-by-year", lambda p: write_partitioned(ratios, p))
     stored = spark.read.parquet(path)
     # The year predicate prunes directories; the date predicate is the exact filter.
     since = (F.col("report_year") >= 2000) & (F.col("report_date") >= F.lit("2000-01-01").cast("date"))
@@ -328,6 +452,8 @@ def q_stream_statements(spark, sf_dir):
     # second landing: same directory layout, only the new files are read
     DL.write_delimited(inc.where(~early), f"{landing}/batch2")
     run_available(stream_statements(spark, f"{landing}/batch*", target, "income_statement", checkpoint_location=ckpt))
+    for path in (landing, target, ckpt):
+        remove_on_exit(spark, path)
     return spark.read.parquet(target)
 
 
@@ -339,19 +465,6 @@ def q_income_statement_trends_range(spark, sf_dir):
     return M.income_statement_trends(_st(spark, sf_dir)["income"], stamp=False, strategy="range")
 
 
-def q_file_manifest(spark, sf_dir):
-    return FL.file_manifest(spark, sf_dir, "*.parquet").select("name", "size_bytes")
-
-
-def q_file_stats(spark, sf_dir):
-    return FL.file_stats(FL.file_manifest(spark, sf_dir, "*.parquet"))
-
-
-def q_required_inputs(spark, sf_dir):
-    expected = [f"{t}.parquet" for t in TABLES] + ["statements.parquet"]
-    return FL.required_inputs(FL.file_manifest(spark, sf_dir, "*.parquet"), expected)
-
-
 QUERIES.update(
     {
         "scan_nested_json": q_scan_nested_json,
@@ -378,8 +491,16 @@ QUERIES.update(
         "stream_statements": q_stream_statements,
         "balance_sheet_trends_range": q_balance_sheet_trends_range,
         "income_statement_trends_range": q_income_statement_trends_range,
-        "file_manifest": q_file_manifest,
-        "file_stats": q_file_stats,
-        "required_inputs": q_required_inputs,
+        "profile_full": q_profile_full,
+        "documents_without_ticker": q_documents_without_ticker,
+        "quarterly_long": q_quarterly_long,
+        "section_errors": q_section_errors,
+        "json_counts": q_json_counts,
+        "export_statements": q_export_statements,
+        "load_replace": q_load_replace,
+        "load_append": q_load_append,
+        "roundtrip_delimited": q_roundtrip_delimited,
+        "append_delimited": q_append_delimited,
+        "latest_with_duplicates": q_latest_with_duplicates,
     }
 )

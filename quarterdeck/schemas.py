@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from quarterdeck.functions.coerce import clean_name
+
 KEYS = ("ticker", "report_date")
 
 # Managed balance sheet columns after the keys, in table order.
@@ -86,8 +88,19 @@ PROFILE_ATTRIBUTES = [
 ]
 
 SECTIONS = ("balance_sheet", "income_statement", "cash_flow_statement")
-# Quarterly sections use the same shape; the long form tags rows with a period.
-QUARTERLY_SECTIONS = tuple(f"quarterly_{s}" for s in SECTIONS)
+# Quarterly sections as the first provider names them, with the statement each belongs to. They
+# have the same shape; the long form tags rows with a period. The names after them are read as well.
+QUARTERLY_STATEMENTS = {
+    "quarterly_balance_sheet": "balance_sheet",
+    "quarterly_financials": "income_statement",
+    "quarterly_cashflow": "cash_flow_statement",
+    "quarterly_income_statement": "income_statement",
+    "quarterly_cash_flow_statement": "cash_flow_statement",
+}
+QUARTERLY_SECTIONS = tuple(QUARTERLY_STATEMENTS)
+# Further sections of the two providers, shaped like the statements beside them.
+MAP_EXTRAS = ("earnings",)
+RECORD_EXTRAS = ("ratios", "cash_flow_ratios", "profile")
 
 _ITEM_MAP = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
 
@@ -97,7 +110,7 @@ MAP_DOCUMENT_SCHEMA = T.StructType(
         T.StructField("ticker", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("company_info", T.MapType(T.StringType(), T.StringType())),
-        *[T.StructField(s, _ITEM_MAP) for s in SECTIONS + QUARTERLY_SECTIONS],
+        *[T.StructField(s, _ITEM_MAP) for s in MAP_EXTRAS + SECTIONS + QUARTERLY_SECTIONS],
     ]
 )
 
@@ -109,11 +122,85 @@ RECORD_DOCUMENT_SCHEMA = T.StructType(
         T.StructField("ticker", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("error", T.StringType()),
-        *[T.StructField(s, _RECORDS) for s in SECTIONS],
+        *[T.StructField(s, _RECORDS) for s in RECORD_EXTRAS + SECTIONS],
     ]
 )
 
 
 def item_type(section: str, item: str) -> str:
-    base = section.removeprefix("quarterly_")
+    base = QUARTERLY_STATEMENTS.get(section, section)
     return "bigint" if item in LONG_ITEMS.get(base, ()) else "double"
+
+
+# All attributes of a company profile, in the provider's order.
+FULL_PROFILE_NAMES = """
+address1 city state zip country phone website industry industryKey industryDisp sector sectorKey sectorDisp
+longBusinessSummary fullTimeEmployees auditRisk boardRisk compensationRisk shareHolderRightsRisk overallRisk
+governanceEpochDate compensationAsOfEpochDate irWebsite executiveTeam maxAge priceHint previousClose open dayLow
+dayHigh regularMarketPreviousClose regularMarketOpen regularMarketDayLow regularMarketDayHigh dividendRate
+dividendYield exDividendDate payoutRatio fiveYearAvgDividendYield beta trailingPE forwardPE volume regularMarketVolume
+averageVolume averageVolume10days averageDailyVolume10Day bid ask bidSize askSize marketCap nonDilutedMarketCap
+fiftyTwoWeekLow fiftyTwoWeekHigh allTimeHigh allTimeLow priceToSalesTrailing12Months fiftyDayAverage
+twoHundredDayAverage trailingAnnualDividendRate trailingAnnualDividendYield currency tradeable enterpriseValue
+profitMargins floatShares sharesOutstanding sharesShort sharesShortPriorMonth sharesShortPreviousMonthDate
+dateShortInterest sharesPercentSharesOut heldPercentInsiders heldPercentInstitutions shortRatio shortPercentOfFloat
+impliedSharesOutstanding bookValue priceToBook lastFiscalYearEnd nextFiscalYearEnd mostRecentQuarter
+earningsQuarterlyGrowth netIncomeToCommon trailingEps forwardEps lastSplitFactor lastSplitDate enterpriseToRevenue
+enterpriseToEbitda 52WeekChange SandP52WeekChange lastDividendValue lastDividendDate quoteType currentPrice
+targetHighPrice targetLowPrice targetMeanPrice targetMedianPrice recommendationMean recommendationKey
+numberOfAnalystOpinions totalCash totalCashPerShare ebitda totalDebt quickRatio currentRatio totalRevenue debtToEquity
+revenuePerShare returnOnAssets returnOnEquity grossProfits freeCashflow operatingCashflow earningsGrowth revenueGrowth
+grossMargins ebitdaMargins operatingMargins financialCurrency symbol language region typeDisp quoteSourceName
+triggerable customPriceAlertConfidence postMarketTime regularMarketTime exchange messageBoardId exchangeTimezoneName
+exchangeTimezoneShortName gmtOffSetMilliseconds market esgPopulated regularMarketChangePercent regularMarketPrice
+cryptoTradeable earningsTimestamp earningsTimestampStart earningsTimestampEnd earningsCallTimestampStart
+earningsCallTimestampEnd isEarningsDateEstimate epsTrailingTwelveMonths epsForward epsCurrentYear priceEpsCurrentYear
+fiftyDayAverageChange fiftyDayAverageChangePercent twoHundredDayAverageChange twoHundredDayAverageChangePercent
+sourceInterval exchangeDataDelayedBy averageAnalystRating hasPrePostMarketData firstTradeDateMilliseconds
+postMarketChangePercent postMarketPrice postMarketChange regularMarketChange regularMarketDayRange fullExchangeName
+averageDailyVolume3Month fiftyTwoWeekLowChange fiftyTwoWeekLowChangePercent fiftyTwoWeekRange fiftyTwoWeekHighChange
+fiftyTwoWeekHighChangePercent fiftyTwoWeekChangePercent dividendDate shortName longName corporateActions marketState
+displayName trailingPegRatio
+""".split()
+
+# Which of them are whole numbers, which are numbers and which are flags; the rest is text.
+_PROFILE_BIGINT = """
+fullTimeEmployees auditRisk boardRisk compensationRisk shareHolderRightsRisk overallRisk governanceEpochDate
+compensationAsOfEpochDate maxAge priceHint exDividendDate volume regularMarketVolume averageVolume averageVolume10days
+averageDailyVolume10Day bidSize askSize marketCap nonDilutedMarketCap enterpriseValue floatShares sharesOutstanding
+sharesShort sharesShortPriorMonth sharesShortPreviousMonthDate dateShortInterest impliedSharesOutstanding
+lastFiscalYearEnd nextFiscalYearEnd mostRecentQuarter netIncomeToCommon lastSplitDate lastDividendDate
+numberOfAnalystOpinions totalCash ebitda totalDebt totalRevenue grossProfits freeCashflow operatingCashflow
+postMarketTime regularMarketTime gmtOffSetMilliseconds earningsTimestamp earningsTimestampStart earningsTimestampEnd
+earningsCallTimestampStart earningsCallTimestampEnd sourceInterval exchangeDataDelayedBy firstTradeDateMilliseconds
+averageDailyVolume3Month dividendDate
+""".split()
+_PROFILE_DOUBLE = """
+previousClose open dayLow dayHigh regularMarketPreviousClose regularMarketOpen regularMarketDayLow
+regularMarketDayHigh dividendRate dividendYield payoutRatio fiveYearAvgDividendYield beta trailingPE forwardPE bid ask
+fiftyTwoWeekLow fiftyTwoWeekHigh allTimeHigh allTimeLow priceToSalesTrailing12Months fiftyDayAverage
+twoHundredDayAverage trailingAnnualDividendRate trailingAnnualDividendYield profitMargins sharesPercentSharesOut
+heldPercentInsiders heldPercentInstitutions shortRatio shortPercentOfFloat bookValue priceToBook
+earningsQuarterlyGrowth trailingEps forwardEps enterpriseToRevenue enterpriseToEbitda 52WeekChange SandP52WeekChange
+lastDividendValue currentPrice targetHighPrice targetLowPrice targetMeanPrice targetMedianPrice recommendationMean
+totalCashPerShare quickRatio currentRatio debtToEquity revenuePerShare returnOnAssets returnOnEquity earningsGrowth
+revenueGrowth grossMargins ebitdaMargins operatingMargins regularMarketChangePercent regularMarketPrice
+epsTrailingTwelveMonths epsForward epsCurrentYear priceEpsCurrentYear fiftyDayAverageChange
+fiftyDayAverageChangePercent twoHundredDayAverageChange twoHundredDayAverageChangePercent postMarketChangePercent
+postMarketPrice postMarketChange regularMarketChange fiftyTwoWeekLowChange fiftyTwoWeekLowChangePercent
+fiftyTwoWeekHighChange fiftyTwoWeekHighChangePercent fiftyTwoWeekChangePercent trailingPegRatio
+""".split()
+_PROFILE_BOOLEAN = """
+tradeable triggerable esgPopulated cryptoTradeable isEarningsDateEstimate hasPrePostMarketData
+""".split()
+
+
+def profile_type(name: str) -> str:
+    for kind, names in (("bigint", _PROFILE_BIGINT), ("double", _PROFILE_DOUBLE), ("boolean", _PROFILE_BOOLEAN)):
+        if name in names:
+            return kind
+    return "string"
+
+
+#: (attribute, type, column name) of the full profile.
+FULL_PROFILE_ATTRIBUTES = [(n, profile_type(n), clean_name(n)) for n in FULL_PROFILE_NAMES]

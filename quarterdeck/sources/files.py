@@ -101,13 +101,14 @@ def required_inputs(manifest: DataFrame, expected: Iterable[str]) -> DataFrame:
 
     A name counts as present as a file or as the directory holding part files (how
     Spark writes a table). The expected list is small by construction (it is typed
-    by a person), the manifest may be huge; the join is a left outer join on the
-    name key, so Spark can broadcast the expected side and stream the manifest.
+    by a person), the manifest may be huge: it is filtered by the list first, so what
+    is joined has at most as many rows as the list.
     """
     spark = manifest.sparkSession
-    exp = spark.createDataFrame([(e,) for e in expected], "name string")
+    wanted = list(expected)
     names = manifest.select("name").unionByName(manifest.select(F.col("parent").alias("name")))
-    seen = names.distinct().withColumn("present", F.lit(True))
+    seen = names.where(F.col("name").isin(*wanted)).distinct().withColumn("present", F.lit(True))
+    exp = spark.createDataFrame([(e,) for e in wanted], "name string")
     return exp.join(seen, "name", "left").select("name", F.coalesce("present", F.lit(False)).alias("present"))
 
 
@@ -120,7 +121,11 @@ def required_summary(check: DataFrame) -> DataFrame:
     )
 
 
-def json_record_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Records per JSON-lines file, from the hidden ``_metadata`` column (one pass)."""
-    df = spark.read.option("multiLine", False).json(path)
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("records"))
+def json_record_counts(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Records per JSON file, from the hidden ``_metadata`` column (one pass, no schema inference).
+
+    A record is a line, or with ``multiline=True`` an element of the file's array (an indented object is one record).
+    """
+    df = spark.read.schema("ticker string").option("multiLine", multiline).json(path)
+    names = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"))
+    return names.groupBy("path", "file_name").agg(F.count(F.lit(1)).alias("records")).select("file_name", "records", "path")

@@ -1,38 +1,32 @@
 """Statement tables derived from the TPC-H-style test tables (see FIXTURES.md, group B).
 
 Grain: one row per supplier (``ticker = s_name``) and calendar quarter of ``l_shipdate``
-(``report_date`` = last day of the quarter). Money is summed exactly (as scaled integers, equal to
-the fixture's DECIMAL sums) and turned into DOUBLE only at the end, so results are
-exact and engine independent.
-
-Plan shape:
-
-1. one pruned scan of ``lineitem`` (8 columns); money becomes exact integers;
-2. if ``supplier`` has a proven size bound (footer row count x row width under the
-   session's broadcast threshold) it is broadcast, each line is keyed by its
-   ticker on the map side and one aggregation by ``(ticker, report_date)``
-   follows: a single exchange, after map-side partial aggregation;
-3. otherwise the lines are first aggregated by ``(supplier key, quarter)`` (the
-   partial aggregate shrinks a hot supplier to one row per quarter and task
-   before any shuffle), the much smaller result is joined to ``supplier`` with a
-   sort-merge join, and a small aggregation by ``(ticker, report_date)`` keeps
-   the fixture's ``GROUP BY ticker`` exact even if two keys shared a name.
-
-``income``, ``balance`` and ``cash_flow`` are filters of that one aggregate.
-Catalyst prunes each consumer branch to its own columns, so two branches do not
-share an exchange; consumers of several statements ask for ``shared=True`` and
-read one checkpointed aggregate instead (see :class:`StatementTables`).
+(``report_date`` = last day of the quarter). Money is summed as DECIMAL, as the fixture defines it, and turned
+into DOUBLE only at the end, so results are exact and engine independent.
+
+Every statement has a plan of its own:
+
+1. a scan of ``lineitem`` with the statement's columns only and its filters (line status, supplier key and, for
+   look-backs, a bound on the ship date) pushed down;
+2. an aggregation by ``(supplier key, quarter)``, combined before the shuffle, so a hot supplier is one row per
+   quarter and task;
+3. a join of that much smaller table with ``supplier`` (the strategy is Spark's choice) and a small aggregation by
+   ``(ticker, report_date)``, which keeps the fixture's ``GROUP BY ticker`` exact even if two keys share a name.
+
+Sums that a consumer does not read are pruned by Catalyst. A consumer that reads one statement twice asks
+for ``shared=True`` and reads a staged parquet copy (see :class:`StatementTables`).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.dates import quarter_end
-from quarterdeck.plans.storage import checkpointed
+from quarterdeck.plans.storage import remove_on_exit, staging_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -55,160 +49,64 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _scaled(col: str, precision: int, scale: int = 2) -> str:
-    """SQL for ``CAST(col AS DECIMAL(p, s))`` as an exact BIGINT count of ``10**-s`` units.
-
-    Fast path: when ``col * 10**s`` is within 1e-6 of an integer the value already
-    has at most ``s`` decimals and that integer is the cast's result. Otherwise
-    the DECIMAL cast decides the rounding (half up on the shortest decimal form
-    of the double). Sums of these BIGINTs run in the code-generated hash
-    aggregate with 8-byte buffers, where DECIMAL(22,2) sums fall back to a
-    sort-based aggregate.
-    """
-    f = float(10**scale)
-    x = f"({col} * {f})"
-    slow = f"rint(CAST(CAST({col} AS DECIMAL({precision},{scale})) AS DOUBLE) * {f})"
-    return f"CAST(CASE WHEN abs({x} - rint({x})) < 1e-6 THEN rint({x}) ELSE {slow} END AS BIGINT)"
-
-
-def _money(total: str, scale: int) -> str:
-    """SQL turning an exact fixed-point sum back into a correctly rounded DOUBLE.
-
-    Below 2**53 both operands of the division are exact doubles and IEEE division
-    rounds correctly; beyond that the value goes through DECIMAL.
-    """
-    f = 10**scale
-    return (
-        f"CASE WHEN abs({total}) < {2**53} THEN CAST({total} AS DOUBLE) / {float(f)} "
-        f"ELSE CAST(CAST({total} AS DECIMAL(38,0)) / {f} AS DOUBLE) END"
-    )
-
-
-# Row-level contributions, in exact units (cents; 1/10,000 for price x rate).
-_ROW = {
-    # income statement
-    "i_rev": "px",
-    "i_cor": "CASE WHEN rf = 'N' THEN px END",
-    "i_opex": "CASE WHEN rf = 'A' THEN px END",
-    "i_rd": "px * disc",
-    "i_int": "CASE WHEN rf = 'R' AND tax >= 7 THEN px * tax END",
-    "i_tax": "px * tax",
-    "i_qty": "qty",
-    # balance sheet: only finished lines count
-    "b_n": "CASE WHEN fin THEN 1 ELSE 0 END",
-    "b_ta": "CASE WHEN fin THEN px END",
-    "b_ca": "CASE WHEN fin AND rf <> 'N' THEN px END",
-    "b_inv": "CASE WHEN fin AND rf = 'A' AND disc >= 5 THEN px END",
-    "b_cash": "CASE WHEN fin AND rf = 'R' THEN px END",
-    "b_cl": "CASE WHEN fin AND rf = 'R' AND tax <= 4 THEN px END",
-    "b_debt": "CASE WHEN fin AND rf = 'N' AND tax <= 3 THEN px END",
-    "b_ppe": "CASE WHEN fin AND rf = 'N' AND disc <= 5 THEN px END",
-    "b_gw": "CASE WHEN fin AND rf = 'N' AND disc > 5 THEN px END",
-    # cash-flow statement
-    "c_ocf": "CASE WHEN rf <> 'A' THEN px END",
-    "c_capex": "CASE WHEN rf = 'A' AND disc < 3 THEN -px END",
-    "c_div": "CASE WHEN rf = 'N' THEN -px * tax END",
+_PX = "CAST(l_extendedprice AS DECIMAL(12,2))"
+_DISC = "CAST(l_discount AS DECIMAL(4,2))"
+_TAX = "CAST(l_tax AS DECIMAL(4,2))"
+_RF = "l_returnflag"
+
+#: Of each statement: which lines count, and what is summed per supplier and quarter.
+STATEMENTS = {
+    "income": (
+        "l_suppkey % 10 <> 1",
+        {
+            "Total_Revenue": _PX,
+            "Cost_Of_Revenue": f"CASE WHEN {_RF} = 'N' THEN {_PX} END",
+            "Operating_Expense": f"CASE WHEN {_RF} = 'A' THEN {_PX} END",
+            "Research_And_Development": f"{_PX} * {_DISC}",
+            "Interest_Expense": f"CASE WHEN {_RF} = 'R' AND {_TAX} >= 0.07 THEN {_PX} * {_TAX} END",
+            "Tax_Provision": f"{_PX} * {_TAX}",
+            "Diluted_Average_Shares": "CAST(rint(l_quantity) AS BIGINT)",
+        },
+    ),
+    "balance": (
+        "l_linestatus = 'F' AND l_suppkey % 10 <> 0",
+        {
+            "Total_Assets": _PX,
+            "Current_Assets": f"CASE WHEN {_RF} <> 'N' THEN {_PX} END",
+            "Inventory": f"CASE WHEN {_RF} = 'A' AND {_DISC} >= 0.05 THEN {_PX} END",
+            "Cash_And_Cash_Equivalents": f"CASE WHEN {_RF} = 'R' THEN {_PX} END",
+            "Current_Liabilities": f"CASE WHEN {_RF} = 'R' AND {_TAX} <= 0.04 THEN {_PX} END",
+            "Total_Debt": f"CASE WHEN {_RF} = 'N' AND {_TAX} <= 0.03 THEN {_PX} END",
+            "Net_PPE": f"CASE WHEN {_RF} = 'N' AND {_DISC} <= 0.05 THEN {_PX} END",
+            "Goodwill_And_Other_Intangible_Assets": f"CASE WHEN {_RF} = 'N' AND {_DISC} > 0.05 THEN {_PX} END",
+        },
+    ),
+    "cash_flow": (
+        "l_suppkey % 10 <> 3",
+        {
+            "Operating_Cash_Flow": f"CASE WHEN {_RF} <> 'A' THEN {_PX} END",
+            "Capital_Expenditure": f"CASE WHEN {_RF} = 'A' AND {_DISC} < 0.03 THEN -{_PX} END",
+            "Cash_Dividends_Paid": f"CASE WHEN {_RF} = 'N' THEN -{_PX} * {_TAX} END",
+        },
+    ),
 }
 
-_INC, _BAL, _CFL = "k % 10 <> 1", "k % 10 <> 0", "k % 10 <> 3"
-
-
-def _per_ticker(v: dict[str, str], n_inc: str, n_cfl: str) -> dict[str, str]:
-    """Statement columns per (ticker, quarter). ``v[name]`` is the value to sum for a
-    contribution; ``n_inc``/``n_cfl`` count members of the keyed statements."""
-
-    def s(cond: str, name: str) -> str:
-        return f"sum(CASE WHEN {cond} THEN {v[name]} END)"
-
-    def money(cond: str, name: str, scale: int = 2) -> str:
-        return _money(s(cond, name), scale)
-
-    return {
-        "_inc_n": n_inc,
-        "Total_Revenue": money(_INC, "i_rev"),
-        "Cost_Of_Revenue": money(_INC, "i_cor"),
-        "Operating_Expense": money(_INC, "i_opex"),
-        "Research_And_Development": money(_INC, "i_rd", 4),
-        "Interest_Expense": money(_INC, "i_int", 4),
-        "Tax_Provision": money(_INC, "i_tax", 4),
-        "Diluted_Average_Shares": s(_INC, "i_qty"),
-        "_bal_n": s(_BAL, "b_n"),
-        "Total_Assets": money(_BAL, "b_ta"),
-        "Current_Assets": money(_BAL, "b_ca"),
-        "Inventory": money(_BAL, "b_inv"),
-        "Cash_And_Cash_Equivalents": money(_BAL, "b_cash"),
-        "Current_Liabilities": money(_BAL, "b_cl"),
-        "Total_Debt": _money(f"coalesce({s(_BAL, 'b_debt')}, CAST(0 AS BIGINT))", 2),
-        "Net_PPE": money(_BAL, "b_ppe"),
-        "Goodwill_And_Other_Intangible_Assets": money(_BAL, "b_gw"),
-        "_cf_n": n_cfl,
-        "Operating_Cash_Flow": money(_CFL, "c_ocf"),
-        "Capital_Expenditure": money(_CFL, "c_capex"),
-        "Cash_Dividends_Paid": money(_CFL, "c_div", 4),
-    }
-
-
-_SUPPLIER_ROW_BYTES = 64  # key + name, generous
-_SMALL_SUPPLIER: dict[tuple[str, int], bool] = {}
-
-
-def _broadcast_limit(spark: SparkSession) -> int:
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    num = raw.rstrip("bkmg")
-    unit = raw[len(num):] or "b"
-    try:
-        return int(float(num) * units.get(unit, 1))
-    except ValueError:
-        return -1
-
-
-def supplier_is_small(spark: SparkSession, sf_dir: str) -> bool:
-    """Proven size bound for broadcasting ``supplier``: a footer-only row count times a
-    row-width bound against the session's broadcast threshold (cached per path)."""
-    limit = _broadcast_limit(spark)
-    key = (f"{sf_dir.rstrip('/')}/supplier.parquet", limit)
-    if key not in _SMALL_SUPPLIER:
-        rows = read_table(spark, sf_dir, "supplier").count() if limit > 0 else None
-        _SMALL_SUPPLIER[key] = rows is not None and rows * _SUPPLIER_ROW_BYTES <= limit
-    return _SMALL_SUPPLIER[key]
-
-
-def statement_aggregate(spark: SparkSession, sf_dir: str, broadcast_supplier: bool | None = None) -> DataFrame:
-    """All statement sums per ``(ticker, report_date)`` from a single pass over ``lineitem``.
-
-    Two exact plans, chosen by a checked size bound on ``supplier``:
-
-    * small supplier: broadcast it, join every line to its ticker on the map side and
-      aggregate once by ``(ticker, report_date)`` (one exchange);
-    * otherwise: aggregate by ``(supplier key, quarter)`` first (map-side partial
-      aggregation shrinks ``lineitem`` before any shuffle), join the much smaller
-      result to ``supplier``, and finish with a small aggregation by ticker.
-
-    ``broadcast_supplier`` forces a plan; ``None`` decides by the size check.
-    Expressions are SQL text: the same Catalyst expressions, built with one call each.
-    """
-    li = read_table(spark, sf_dir, "lineitem")
-    base = li.select(
-        F.col("l_suppkey").alias("k"),
-        quarter_end("l_shipdate").alias("report_date"),
-        F.expr(_scaled("l_extendedprice", 12)).alias("px"),
-        F.expr(_scaled("l_discount", 4)).alias("disc"),
-        F.expr(_scaled("l_tax", 4)).alias("tax"),
-        F.col("l_quantity").cast("bigint").alias("qty"),
-        F.col("l_returnflag").alias("rf"),
-        (F.col("l_linestatus") == "F").alias("fin"),
+
+def statement_sums(spark: SparkSession, sf_dir: str, kind: str, since: _dt.date | None = None) -> DataFrame:
+    """The sums of one statement per ``(ticker, report_date)``; ``since`` leaves out quarters that end before it."""
+    lines, sums = STATEMENTS[kind]
+    li = read_table(spark, sf_dir, "lineitem").where(lines)
+    if since is not None:  # a quarter that ends on or after the bound has no line before its own first day
+        first = _dt.date(since.year, 3 * ((since.month - 1) // 3) + 1, 1)
+        li = li.where(F.col("l_shipdate") >= F.lit(first)).where(quarter_end("l_shipdate") >= F.lit(since))
+    per_key = li.groupBy(F.col("l_suppkey").alias("k"), quarter_end("l_shipdate").alias("report_date")).agg(
+        *[F.expr(f"sum({e})").alias(n) for n, e in sums.items()]
     )
-    sup = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("ticker"))
-    small = supplier_is_small(spark, sf_dir) if broadcast_supplier is None else broadcast_supplier
-    if small:
-        keyed = base.join(F.broadcast(sup), "k")
-        exprs = _per_ticker(_ROW, f"count_if({_INC})", f"count_if({_CFL})")
-        return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in exprs.items()])
-    per_key = base.groupBy("k", "report_date").agg(*[F.expr(f"sum({e})").alias(n) for n, e in _ROW.items()])
-    keyed = per_key.join(sup, "k")
-    exprs = _per_ticker({n: n for n in _ROW}, f"count_if({_INC})", f"count_if({_CFL})")
-    return keyed.groupBy("ticker", "report_date").agg(*[F.expr(e).alias(n) for n, e in exprs.items()])
+    names = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("ticker"))
+    whole = per_key.join(names, "k").groupBy("ticker", "report_date").agg(*[F.sum(n).alias(n) for n in sums])
+    kinds = {n: "bigint" if n == "Diluted_Average_Shares" else "double" for n in sums}
+    values = {n: F.coalesce(F.col(n), F.lit(0)) if n == "Total_Debt" else F.col(n) for n in sums}
+    return whole.select("ticker", "report_date", *[values[n].cast(kinds[n]).alias(n) for n in sums])
 
 
 def income_from(agg: DataFrame) -> DataFrame:
@@ -216,8 +114,7 @@ def income_from(agg: DataFrame) -> DataFrame:
     opi = c("Total_Revenue") - c("Cost_Of_Revenue") - c("Operating_Expense")
     net = opi - F.coalesce(c("Interest_Expense"), F.lit(0.0)) - c("Tax_Provision")
     return (
-        agg.filter(c("_inc_n") > 0)
-        .select(
+        agg.select(
             "ticker",
             "report_date",
             "Total_Revenue",
@@ -245,8 +142,7 @@ def balance_from(agg: DataFrame) -> DataFrame:
     c = F.col
     cl0 = F.coalesce(c("Current_Liabilities"), F.lit(0.0))
     return (
-        agg.filter(c("_bal_n") > 0)
-        .select(
+        agg.select(
             "ticker",
             "report_date",
             "Total_Assets",
@@ -268,8 +164,7 @@ def balance_from(agg: DataFrame) -> DataFrame:
 def cash_flow_from(agg: DataFrame) -> DataFrame:
     c = F.col
     return (
-        agg.filter(c("_cf_n") > 0)
-        .select(
+        agg.select(
             "ticker",
             "report_date",
             "Operating_Cash_Flow",
@@ -305,39 +200,41 @@ def company_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 class StatementTables(dict):
     """``income``, ``balance``, ``cash_flow`` and ``company_info``, built on first access.
 
-    A table is only planned when a consumer asks for it, and nothing runs until
-    that consumer acts. The three statements are views of one aggregate plan.
-
-    ``shared=True`` is for consumers that read two or more statements: Catalyst
-    prunes each branch to its own columns, so the branches would not share an
-    exchange and ``lineitem`` would be scanned once per branch. With
-    ``shared=True`` the aggregate is computed once and kept as a reliable
-    checkpoint in the shared checkpoint directory (lineage cut, safe against
-    executor loss); every branch then reads that small result. The checkpoint keeps
-    the aggregate's hash partitioning on ``(ticker, report_date)``, so joins between
-    statements on those keys need no further exchange.
+    A table is only planned when a consumer asks for it, and nothing runs until that consumer acts. ``since`` (a date)
+    bounds the statements' report dates at the scan, for reports that look back.
+
+    ``shared=True`` is for consumers that read one statement more than once, whose branches Catalyst would plan
+    apart: each statement asked for is then computed when it is asked for and staged as parquet, bucketed by its keys, in the shared
+    folder, so that joins on the keys need no exchange. The files go when the application ends.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = False):
-        super().__init__()
-        self._spark, self._dir, self._shared, self._agg = spark, sf_dir, shared, None
+    VIEWS = {"income": income_from, "balance": balance_from, "cash_flow": cash_flow_from}
 
-    def _aggregate(self) -> DataFrame:
-        if self._agg is None:
-            agg = statement_aggregate(self._spark, self._dir)
-            self._agg = checkpointed(agg, keep_partitioning=True) if self._shared else agg
-        return self._agg
+    def __init__(self, spark: SparkSession, sf_dir: str, shared: bool = False, since: _dt.date | None = None):
+        super().__init__()
+        self._spark, self._dir, self._shared, self._since = spark, sf_dir, shared, since
+
+    def _statement(self, kind: str) -> DataFrame:
+        df = self.VIEWS[kind](statement_sums(self._spark, self._dir, kind, self._since))
+        if not self._shared:
+            return df
+        name = f"quarterdeck_{kind}_{uuid.uuid4().hex}"
+        buckets = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        path = staging_path(self._spark, name)
+        writer = df.write.format("parquet").option("path", path)
+        writer.bucketBy(buckets, "ticker", "report_date").sortBy("ticker", "report_date").saveAsTable(name)
+        remove_on_exit(self._spark, path)
+        stored = self._spark.table(name)
+        self._spark.sql(f"DROP TABLE {name}")  # the catalog entry only: the files are external to it
+        return stored
 
     def __missing__(self, key: str) -> DataFrame:
-        builders = {
-            "income": lambda: income_from(self._aggregate()),
-            "balance": lambda: balance_from(self._aggregate()),
-            "cash_flow": lambda: cash_flow_from(self._aggregate()),
-            "company_info": lambda: company_info(self._spark, self._dir),
-        }
-        if key not in builders:
+        if key == "company_info":
+            self[key] = company_info(self._spark, self._dir)
+        elif key in self.VIEWS:
+            self[key] = self._statement(key)
+        else:
             raise KeyError(key)
-        self[key] = builders[key]()
         return self[key]
 
     def items(self):  # all four, in a fixed order
@@ -350,6 +247,6 @@ class StatementTables(dict):
         return iter(self.keys())
 
 
-def statement_tables(spark: SparkSession, sf_dir: str, shared: bool = False) -> StatementTables:
+def statement_tables(spark: SparkSession, sf_dir: str, shared: bool = False, since: _dt.date | None = None) -> StatementTables:
     """Statement tables of one scale directory (see :class:`StatementTables`)."""
-    return StatementTables(spark, sf_dir, shared)
+    return StatementTables(spark, sf_dir, shared, since)
