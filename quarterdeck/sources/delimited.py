@@ -4,8 +4,8 @@ External-table semantics: first line is the header, short (jagged) rows are
 padded with NULL, quoted fields may contain newlines, and an empty field is
 missing. Files are tab separated: the default comma would read one column.
 
-Text survives a round trip: writer and reader quote with ``"`` and double it inside quotes, blanks at
-the ends stay, and a quoted empty field is empty text where an unquoted one is missing.
+Text survives a round trip: writer and reader quote with ``"`` and double it inside quotes, and blanks at
+the ends stay. Only empty text comes back as missing, as an empty field means.
 
 Files are split by ``spark.sql.files.maxPartitionBytes`` unless ``multiline=True`` is asked for:
 a file whose fields hold line breaks can only be read by one task.
