@@ -1,13 +1,15 @@
 """Toxic passages as maximum-scoring segments, calibrated by extreme-value statistics.
 
 1. Tokens are words and their leading pieces of 4, 5 and 6 characters (invented or inflected words share a stem).
-   Each gets its log-odds between toxic and other labelled documents with an informative Dirichlet prior (the token's share of all
-   text), lessened by ``SURE`` standard deviations, so that chance words get nothing.
-2. A word scores its surest token's log-odds; a word without one, ``-GAP``. One linear scan finds every
+   Each gets its log-odds between the toxic and the other labelled texts that have it, with a Dirichlet prior of ``PRIOR`` texts
+   divided like the classes, lessened by ``SURE`` standard deviations, so that chance words get nothing. Texts
+   count once, copies of a text not at all.
+2. A word scores its surest token's log-odds if that is positive, and ``-GAP`` otherwise. One linear scan finds every
    maximal segment of positive sum (Ruzzo and Tompa): the passages.
 3. The best of many segments follows an extreme-value law in the text's length n: ``evidence = lambda * S - ln(1 + K n)``
    with lambda from the scores of the other class, where a random word gains nothing (sum of p * exp(lambda * s) is 1).
-   Evidence, the passages' number and the length go through a logistic regression: the score.
+   Evidence, the passages' number and the length go through a logistic regression: the score. Tokens are learned from
+   ``SHARE`` of the labelled documents and the regression from the others, which the tokens have not seen.
 
 Bounds (parameters): learned from at most ``FIT_ROWS`` labelled documents in order of a hash of the id; the lexicon
 holds at most ``LEXICON`` tokens, surest first. Scoring is one pass over all whole texts without a shuffle.
@@ -31,9 +33,11 @@ from pyspark.sql.types import ArrayType, StructType
 from quarterdeck.llm.common import batch_of, fit_logistic, free_prefix, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
 
 FIT_ROWS = 40_000
-LEXICON = 200_000
+LEXICON = 50_000
+#: Of five labelled documents, so many teach tokens.
+SHARE = 3
 PIECES = (4, 5, 6)
-PRIOR, SURE, GAP, MOST = 500.0, 2.5, 0.5, 8.0
+PRIOR, SURE, GAP, MOST = 2.0, 3.0, 0.5, 8.0
 K = 0.1
 MEMO_WORDS = 500_000
 THRESHOLD = 0.5
@@ -46,44 +50,48 @@ def tokens_of(word: str) -> list[str]:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """token, label, count over labelled texts; counted in each task before the shuffle."""
+    """token, label, n: in how many texts of a class a token is; counted in each task before the shuffle."""
     schema = pa.schema([("token", pa.string()), ("label", pa.int32()), ("n", pa.int64())])
 
-    def flush(words: dict):
-        for label, counts in words.items():
-            out = Counter()
-            for raw, n in counts.items():
-                for word in WORD.findall(raw.lower()):
-                    for token in tokens_of(word):
-                        out[token] += n
-            yield batch_of(schema, (list(out), [label] * len(out), list(out.values())))
+    class Tokens(dict):
+        def __missing__(self, raw: str) -> frozenset:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[raw] = out = frozenset(t for word in WORD.findall(raw.lower()) for t in tokens_of(word))
+            return out
+
+    def flush(counts: dict):
+        for label, own in counts.items():
+            yield batch_of(schema, (list(own), [label] * len(own), list(own.values())))
 
     def run(batches):
-        words = {0: Counter(), 1: Counter()}
+        counts, tokens = {0: Counter(), 1: Counter()}, Tokens()
         for batch in text_slices(batches, 0):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words[label].update(text.split())
-            if sum(map(len, words.values())) > MEMO_WORDS:
-                yield from flush(words)
-                words = {0: Counter(), 1: Counter()}
-        yield from flush(words)
+                counts[label].update(set().union(*map(tokens.__getitem__, set(text.split()))))
+            if sum(map(len, counts.values())) > MEMO_WORDS:
+                yield from flush(counts)
+                counts = {0: Counter(), 1: Counter()}
+        yield from flush(counts)
 
     return docs.select("text", "label").mapInArrow(run, "token string, label int, n long")
 
 
-def log_odds(counts: DataFrame) -> DataFrame:
-    """token, score, other: shrunk log-odds with a Dirichlet prior of ``PRIOR`` words, and the other class's count."""
+def log_odds(counts: DataFrame, texts: dict[int, int]) -> DataFrame:
+    """token, score, n0 of every token whose shrunk log-odds are not zero; ``texts``: how many texts a class has."""
     of = lambda k: F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}")
     per = counts.groupBy("token").agg(of(1), of(0))
-    whole = counts.where(~F.col("token").endswith("*")).agg(of(1).alias("all1"), of(0).alias("all0"))  # one row
-    per = per.crossJoin(F.broadcast(whole))
-    share = PRIOR * (F.col("n1") + F.col("n0")) / (F.col("all1") + F.col("all0"))
-    odds = lambda k: F.log((F.col(f"n{k}") + share) / F.greatest(F.col(f"all{k}") + PRIOR - F.col(f"n{k}") - share, F.lit(1.0)))
-    wide = F.sqrt(1 / (F.col("n1") + share) + 1 / (F.col("n0") + share))
-    sigma = F.least(wide, F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5)))
+    every = texts[0] + texts[1]
+    share = {k: PRIOR * texts[k] / every for k in (0, 1)}
+
+    def odds(k: int) -> Column:
+        has = F.col(f"n{k}") + share[k]
+        return F.log(has / F.greatest(texts[k] + PRIOR - has, F.lit(0.5)))
+
+    sigma = F.sqrt(1 / (F.col("n1") + share[1]) + 1 / (F.col("n0") + share[0]))
     delta = odds(1) - odds(0)
     score = F.signum(delta) * F.greatest(F.abs(delta) - SURE * sigma, F.lit(0.0))
-    return per.select("token", F.least(score, F.lit(MOST)).alias("score"), "n0", "all0").where(F.abs("score") > 0.01)
+    return per.select("token", F.least(score, F.lit(MOST)).alias("score"), "n0").where(F.abs("score") > 0.01)
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -127,7 +135,7 @@ def passages(docs: DataFrame, lexicon: dict[str, float], spans: bool = False) ->
                         best = s
             if len(self) >= MEMO_WORDS:
                 self.clear()
-            self[raw] = out = -GAP if best is None else best - GAP
+            self[raw] = out = best if best is not None and best > 0 else -GAP
             return out
 
     def run(batches):
@@ -196,16 +204,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     ids = staged(labelled_ids(labels, "toxic", FIT_ROWS), "toxicity-ids")
     known = docs.join(F.broadcast(ids), "doc_id")  # two numbers for each of at most FIT_ROWS documents
-    odds = log_odds(token_counts(known)).orderBy(F.desc(F.abs("score")), "token").limit(LEXICON)
-    rows = odds.collect()
-    lexicon = {r["token"]: r["score"] for r in rows}
-    plain = [r for r in rows if not r["token"].endswith("*")]
-    rate = extreme_value_rate(
-        np.array([r["score"] - GAP for r in plain]), np.array([float(r["n0"]) for r in plain]), float(rows[0]["all0"]) if rows else 0.0
-    )
-    model = Model(lexicon, rate, None, 0.0)
+    teaches = F.pmod(F.xxhash64("doc_id", F.lit("teach")), F.lit(5)) < SHARE
+    lessons = staged(known.where(teaches).select("text", "label").dropDuplicates(), "toxicity-lessons")
+    sizes = lessons.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.split("text", r"\s+"))).alias("words"))
+    sizes = {r["label"]: r for r in sizes.collect()}
+    model = Model({}, 0.1, None, 0.0)
+    if set(sizes) == {0, 1}:
+        texts = {k: r["n"] for k, r in sizes.items()}
+        rows = log_odds(token_counts(lessons), texts).orderBy(F.desc(F.abs("score")), "token").limit(LEXICON).collect()
+        model.lexicon = {r["token"]: r["score"] for r in rows}
+        plain = [r for r in rows if not r["token"].endswith("*") and r["score"] > 0]
+        scores, counts = np.array([r["score"] for r in plain]), np.array([float(r["n0"]) for r in plain])
+        model.rate = extreme_value_rate(scores, counts, float(sizes[0]["words"]))
     terms = [t.alias(f"t{i}") for i, t in enumerate(model.terms())]
-    seen = passages(known, lexicon).select("label", *terms)
+    seen = passages(known.where(~teaches), model.lexicon).select("label", *terms)
     seen = np.array(seen.orderBy(*seen.columns).limit(2 * FIT_ROWS).collect(), np.float64).reshape(-1, len(terms) + 1)
     if len(np.unique(seen[:, 0])) == 2:
         model.weights = fit_logistic(seen[:, 1:], seen[:, 0])
