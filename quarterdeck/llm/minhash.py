@@ -8,11 +8,12 @@
 3. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples per text; two texts agree in a
    sample with the probability of their weighted Jaccard likeness. ``ROWS`` samples make a band's key; a byte
    of every sample makes the signature.
-4. Texts that share a key and agree in ``AGREE`` samples or more are candidates. In every bucket the smallest text is a pivot: the others
-   are compared with it, exactly (weighted Jaccard >= 0.8 is a link). Those that are not linked to it get a
-   pivot of their own, ``PIVOTS`` times. What is left in a bucket are candidates from different components; each pair is
-   compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot differ by
-   over 0.2 are not linked. A bucket of over ``LARGE`` texts is divided by the texts' keys in the other bands first.
+4. Texts that share a key and agree in ``AGREE`` samples or more are candidates. In every bucket the text that shares most keys
+   with others is a pivot (what copies are made from, if it is there): the others are compared with it, exactly (weighted
+   Jaccard >= 0.8 is a link). Those that are not linked to it get a pivot of their own, ``PIVOTS`` times. What is
+   left in a bucket are candidates from different components; each pair that agrees in ``FINE_AGREE`` of ``FINE``
+   more samples is compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot
+   differ by over 0.2 are not linked. A bucket of over ``LARGE`` texts is divided by the texts' keys in the other bands first.
 5. A class is a connected component of links and copies; its id is its smallest doc_id.
 
 Scale: two passes over the texts without a shuffle (counts; samples); keys are 8 bytes per band. Only texts in buckets
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarterdeck.llm.bits import bitmap, with_bits
 from quarterdeck.llm.common import batch_of, free_prefix, staged, text_or_empty, text_slices
 from quarterdeck.llm.components import components
 from quarterdeck.llm.counters import CELLS, added, cells, sliced
@@ -39,15 +41,17 @@ from quarterdeck.llm.shingles import MIX, Shingler, scramble
 SHINGLE, SIMILAR = 5, 0.8
 #: P(no shared band at likeness 0.8) = (1 - 0.8 ** ROWS) ** BANDS < 0.0003; P(fewer than AGREE of 64 samples agree) < 0.0001.
 BANDS, ROWS, AGREE, PIVOTS, LARGE = 16, 4, 38, 2, 2000
+#: P(fewer than FINE_AGREE of FINE samples agree at likeness 0.8) < 0.0005.
+FINE, FINE_AGREE = 256, 182
 TEXT_BYTES = 250_000
 
 
 class WeightedSampler:
     """Consistent weighted samples; a shingle's random variables come from three parts of its hash by table."""
 
-    def __init__(self, samples: int, seed: int = 23):
+    def __init__(self, samples: int, seed: int = 23, bits: int = 16):
         rng = np.random.default_rng(seed)
-        shape = (samples, 1 << 16)
+        shape, self.bits = (samples, 1 << bits), bits
         self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
         self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
         self.beta = rng.random(shape, np.float32)
@@ -56,7 +60,8 @@ class WeightedSampler:
 
     def sample(self, bounds: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """A 64-bit value per sample and text; ``bounds`` are the texts' places among the shingles, none empty."""
-        at = [((shingle >> np.uint64(s)) & np.uint64(0xFFFF)).astype(np.int64) for s in (0, 16, 32)]
+        last = np.uint64((1 << self.bits) - 1)
+        at = [((shingle >> np.uint64(s)) & last).astype(np.int64) for s in (0, 16, 32)]
         log_w = np.log(weight).astype(np.float32)
         out = np.empty((len(self.r), len(bounds) - 1), np.uint64)
         starts = bounds[:-1]
@@ -118,9 +123,26 @@ def band_keys(docs: DataFrame, idf) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, bands array<long>, signature array<long>")
 
 
-def agreeing(one: str, two: str) -> Column:
+def fine_signatures(texts: DataFrame, idf) -> DataFrame:
+    """doc_id and a signature of ``FINE`` further samples."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fine", pa.list_(pa.int64()))])
+
+    def run(batches):
+        shingler, sampler = Shingler(SHINGLE), WeightedSampler(FINE, seed=29, bits=14)
+        for batch in text_slices(batches, 1, TEXT_BYTES):
+            place, shingle, n, _ = shingler.counted(batch.column(1).to_pylist())
+            if len(place):
+                found, starts = np.unique(place, return_index=True)
+                drawn = sampler.sample(np.append(starts, len(place)), shingle, n * idf.value[cells(shingle)])
+                signature = np.ascontiguousarray(drawn.astype(np.uint8).T).view("<i8")
+                yield batch_of(schema, (batch.column(0).take(pa.array(found)), signature.tolist()))
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, fine array<long>")
+
+
+def agreeing(one: str, two: str, samples: int = BANDS * ROWS) -> Column:
     """In how many samples two signatures agree: bytes that are zero in the difference, counted eight at a time."""
-    each = BANDS * ROWS // 8
+    each = samples // 8
     total = F.lit(8 * each)
     for i in range(each):
         v = F.col(one)[i].bitwiseXOR(F.col(two)[i])
@@ -164,14 +186,19 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
     """a, b of linked documents that share a bucket; ``buckets`` has band, key, doc_id. Enough links for all components."""
     by = ["band", "key"]
     here = buckets.select("doc_id").distinct()
-    texts = staged(docs.join(here, "doc_id", "left_semi"), "near-texts")
+    # A bitmap instead of a join: the texts stay where they are read, and a few more than needed do no harm.
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(here.select(F.xxhash64("doc_id").alias("mark")), "mark"))
+    texts = staged(with_bits(docs.withColumn("mark", F.xxhash64("doc_id")), held, True).drop("mark"), "near-texts")
     bands = staged(bands.join(here, "doc_id", "left_semi"), "near-signatures")
     signature = bands.select("doc_id", "signature")
     one = signature.select(F.col("doc_id").alias("a"), F.col("signature").alias("one"))
     two = signature.select(F.col("doc_id").alias("b"), F.col("signature").alias("two"))
-    opened, links, tested = buckets, None, None
+    degree = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    opened, links, tested = staged(buckets.drop("n").join(degree, "doc_id"), "near-degrees"), None, None
     for turn in range(PIVOTS):
-        pivot = opened.groupBy(by).agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("last > pivot").drop("last")
+        best = F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("best")
+        pivot = opened.groupBy(by).agg(best, F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("most > least")
+        pivot = pivot.select(*by, (-F.col("best.minus")).alias("pivot"))
         member = staged(opened.join(pivot, by), f"near-members-{turn}")
         pairs = member.where(F.col("doc_id") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
         pairs = pairs.join(two, "b").join(one, "a").where(agreeing("one", "two") >= AGREE).select("a", "b").distinct()
@@ -181,33 +208,36 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
         near = done.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), (1 - F.col("likeness")).alias("far"))
         member = member.join(near, ["pivot", "doc_id"], "left")
         member = member.withColumn("far", F.when(F.col("doc_id") == F.col("pivot"), 0.0).otherwise(F.col("far")))
-        member = staged(member.select(*by, "doc_id", "far"), f"near-far-{turn}")
+        member = staged(member.select(*by, "doc_id", "degree", "far"), f"near-far-{turn}")
         tested = member if tested is None else tested
-        opened = member.where(F.coalesce(F.col("far") > 1 - SIMILAR, F.lit(True))).select(*by, "doc_id")
+        opened = member.where(F.coalesce(F.col("far") > 1 - SIMILAR, F.lit(True))).select(*by, "doc_id", "degree")
     if opened.isEmpty():
         return links
     own = components(links).withColumnRenamed("node", "doc_id")
-    placed = tested.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    placed = tested.drop("degree").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = staged(_divided(placed, bands), "near-placed")
     # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
     by = [*by, "part", "part_key"]
     sizes = placed.groupBy(*by, "component").count()
     main = sizes.groupBy(by).agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
     main = main.where("parts > 1").select(*by, F.col("m.component").alias("main"))
-    placed = placed.join(main, by).join(signature, "doc_id")
+    placed = staged(placed.join(main, by), "near-left")
+    fine = staged(fine_signatures(texts.join(placed.select("doc_id").distinct(), "doc_id", "left_semi"), idf), "near-fine")
+    placed = placed.join(signature, "doc_id").join(fine, "doc_id")
     some = placed.where(F.col("component") != F.col("main")).select(
-        *by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"), F.col("signature").alias("one")
+        *by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"), F.col("signature").alias("one"), F.col("fine").alias("fine_one")
     )
     every = placed.select(
-        *by, F.col("doc_id").alias("y"), F.col("far").alias("far_y"), F.col("component").alias("cy"), F.col("signature").alias("two"), "main"
+        *by, F.col("doc_id").alias("y"), F.col("far").alias("far_y"), F.col("component").alias("cy"), F.col("signature").alias("two"), F.col("fine").alias("fine_two"), "main"
     )
     some, every = staged(some, "near-some"), staged(every, "near-every")
     can = F.coalesce(F.abs(F.col("far_x") - F.col("far_y")) <= 1 - SIMILAR + 1e-9, F.lit(True))
     once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
+    alike = (agreeing("one", "two") >= AGREE) & (agreeing("fine_one", "fine_two", FINE) >= FINE_AGREE)
     same = F.lit(True)
     for c in by:
         same = same & some[c].eqNullSafe(every[c])
-    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & can & once & (agreeing("one", "two") >= AGREE))
+    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & can & once & alike)
     rest = staged(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-rest")
     late = compared(rest, texts, idf).where(F.col("likeness") >= SIMILAR).select("a", "b")
     return links.unionByName(staged(late, "near-late"))
@@ -239,7 +269,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stand = copies.select(F.col("first").alias("doc_id")).distinct()
     bands = staged(bands.join(stand, "doc_id", "left_semi"), "near-bands")
     rows = bands.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    full = rows.groupBy("band", "key").count().where("count > 1").drop("count")
+    full = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = staged(rows.join(full, ["band", "key"]), "near-buckets")
     links = copy_links if buckets.isEmpty() else near_links(known, buckets, bands, idf).unionByName(copy_links)
     own = components(links)

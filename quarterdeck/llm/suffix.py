@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.anchors import GRAM, Hasher, anchors
-from quarterdeck.llm.bits import bitmap, passes
+from quarterdeck.llm.bits import bitmap, passes, with_bits
 from quarterdeck.llm.common import batch_of, free_prefix, scratch_folder, shuffle_partitions, staged, text_or_empty, text_slices
 from quarterdeck.llm.induction import Shard
 from quarterdeck.llm.shingles import MIX, scramble
@@ -110,17 +110,6 @@ def occurrences(texts: DataFrame, length: int, bits, hot: frozenset | None = Non
     return texts.select("doc", "mark", "text").mapInArrow(run, kinds)
 
 
-def with_bits(texts: DataFrame, bits, among: bool, column: str = "mark") -> DataFrame:
-    """The documents that pass (or that do not) by their mark; no shuffle."""
-
-    def run(batches):
-        for batch in batches:
-            hit = passes(bits.value, batch.column(column).to_numpy())
-            yield batch.filter(pa.array(hit if among else ~hit))
-
-    return texts.mapInArrow(run, texts.schema)
-
-
 def cut_pieces(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
     """key, piece, anchor and bytes of the chosen occurrences."""
     spark = texts.sparkSession
