@@ -39,8 +39,18 @@ from quarterdeck.llm.shingles import MIX, scramble
 
 LENGTH = 200
 #: Pieces of one group beyond which it is split, pieces sorted at a time in memory, starts in a slice.
-HOT, IN_MEMORY, SLICE = 50_000, 1 << 15, 16
+HOT, IN_MEMORY, SLICE = 50_000, 1 << 14, 16
 NO_ID = -(1 << 63)
+#: Bytes of text that a task looks at together (a longer text by itself).
+TEXT_BYTES = 200_000
+#: A piece's place in one number: first start, number of starts and the anchor's distance from the first (both below 2**12).
+
+
+def _place(first: np.ndarray, n: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    return (first << 24) | (n << 12) | anchor
+
+
+FIRST, STARTS, ANCHOR = "shiftright(place, 24)", "(shiftright(place, 12) & 4095)", "(place & 4095)"
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -60,7 +70,7 @@ def anchor_counts(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         hasher = Hasher()
-        for batch in text_slices(batches, 0, 500_000):
+        for batch in text_slices(batches, 0, TEXT_BYTES):
             found = anchors(batch.column(0).to_pylist(), length, hasher)[1]
             if len(found):
                 keys, n = np.unique(found, return_counts=True)
@@ -70,17 +80,17 @@ def anchor_counts(texts: DataFrame, length: int) -> DataFrame:
 
 
 def occurrences(texts: DataFrame, length: int, bits, hot: frozenset | None = None) -> DataFrame:
-    """key, piece (hashes), doc, mark, first, n, anchor of every piece whose anchor passes ``bits``.
+    """key, piece (hashes), doc, mark, place of every piece whose anchor passes ``bits``.
 
     With ``hot``, only those anchors' pieces, in slices of ``SLICE`` starts at fixed distances from the anchor, under
     a key of the bytes that a slice's strings share.
     """
-    names = ("key", "piece", "doc", "mark")
-    schema = pa.schema([*[(c, pa.int64()) for c in names], *[(c, pa.int32()) for c in ("first", "n", "anchor")]])
+    names = ("key", "piece", "doc", "mark", "place")
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
     def run(batches):
         hasher = Hasher()
-        for batch in text_slices(batches, 2, 500_000):
+        for batch in text_slices(batches, 2, TEXT_BYTES):
             raw = batch.column(2).to_pylist()
             of, key, spot, first, n = anchors(raw, length, hasher)
             kept = passes(bits.value, key)
@@ -104,22 +114,22 @@ def occurrences(texts: DataFrame, length: int, bits, hot: frozenset | None = Non
                 key = scramble(key ^ (block.astype(np.uint64) * MIX) ^ scramble(shared))
             piece = hasher.of(sums, begins + first, begins + first + n + length - 1) ^ scramble(n.astype(np.uint64) + (first - spot).astype(np.uint64) * MIX)
             where = pa.array(of)
-            yield batch_of(schema, (key.view(np.int64), piece.view(np.int64), batch.column(0).take(where), batch.column(1).take(where), first, n, spot - first))
+            yield batch_of(schema, (key.view(np.int64), piece.view(np.int64), batch.column(0).take(where), batch.column(1).take(where), _place(first, n, spot - first)))
 
-    kinds = ", ".join(f"{c} long" for c in names) + ", first int, n int, anchor int"
-    return texts.select("doc", "mark", "text").mapInArrow(run, kinds)
+    return texts.select("doc", "mark", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def cut_pieces(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
     """key, piece, anchor and bytes of the chosen occurrences."""
     spark = texts.sparkSession
     held = spark.sparkContext.broadcast(bitmap(chosen, "mark"))
-    wanted = chosen.groupBy("doc", "mark").agg(F.collect_list(F.struct("key", "piece", "first", "n", "anchor")).alias("cuts"))
+    wanted = chosen.groupBy("doc", "mark").agg(F.collect_list(F.struct("key", "piece", "place")).alias("cuts"))
     rows = with_bits(texts.select("doc", "mark", "text"), held, True).dropDuplicates(["doc", "mark"]).join(wanted, ["doc", "mark"])
-    one = F.col("cut")
-    return rows.select("text", F.explode("cuts").alias("cut")).select(
-        *(one[c].alias(c) for c in ("key", "piece", "anchor")),
-        F.expr(f"substring(text, cut.first + 1, cut.n + {length - 1})").alias("bytes"),
+    return rows.select("text", F.explode("cuts").alias("cut")).select("text", "cut.*").select(
+        "key",
+        "piece",
+        F.expr(f"cast({ANCHOR} as int)").alias("anchor"),
+        F.expr(f"substring(text, cast({FIRST} as int) + 1, cast({STARTS} as int) + {length - 1})").alias("bytes"),
     )
 
 
@@ -170,7 +180,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, in_me
     bits = sc.broadcast(bitmap(counts.where("n > 1"), "key"))
     found = staged(occurrences(texts, length, bits), "suffix-occurrences")
     distinct = lambda rows: rows.groupBy("key", "piece").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "first", "n", "anchor")).alias("one")
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "place")).alias("one")
     )
     kinds = staged(distinct(found), "suffix-pieces")
     groups = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("pieces"))
@@ -184,10 +194,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, in_me
         groups = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("pieces"))
     several = kinds.join(groups.where("pieces > 1").select("key"), "key").select("key", "piece", "one.*")
     runs = induced_runs(cut_pieces(texts, staged(several, "suffix-several"), length), length, in_memory)
-    whole = kinds.where("copies > 1").select("key", "piece", F.array(F.struct(F.lit(0).alias("begin"), F.col("one.n").alias("end"))).alias("runs"))
+    starts = F.expr(STARTS.replace("place", "one.place")).cast("int")
+    whole = kinds.where("copies > 1").select("key", "piece", F.array(F.struct(F.lit(0).alias("begin"), starts.alias("end"))).alias("runs"))
     part = runs.join(kinds.where("copies > 1").select("key", "piece"), ["key", "piece"], "left_anti")
     marked = staged(whole.unionByName(part), "suffix-runs")
-    starts = found.join(marked, ["key", "piece"]).select("doc", "mark", "first", F.explode("runs").alias("run"))
+    starts = found.join(marked, ["key", "piece"]).select("doc", "mark", F.expr(f"cast({FIRST} as int)").alias("first"), F.explode("runs").alias("run"))
     starts = starts.select("doc", "mark", F.struct((F.col("first") + F.col("run.begin")).alias("begin"), (F.col("first") + F.col("run.end") + length - 1).alias("end")).alias("span"))
     each = starts.groupBy("doc", "mark").agg(F.collect_set("span").alias("spans"))  # as many as a text has anchors
     return each.mapInArrow(_joined, "doc long, mark long, spans array<struct<begin: int, end: int>>")
