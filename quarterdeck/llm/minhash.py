@@ -13,7 +13,8 @@
    Jaccard >= 0.8 is a link). Those that are not linked to it get a pivot of their own, ``PIVOTS`` times. What is
    left in a bucket are candidates from different components; each pair that agrees in ``FINE_AGREE`` of ``FINE``
    more samples is compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot
-   differ by over 0.2 are not linked. A bucket of over ``LARGE`` texts is divided by the texts' keys in the other bands first.
+   differ by over 0.2 are not linked. The texts of buckets of over ``LARGE`` meet by keys of ``PART_ROWS`` of the ``FINE`` samples
+   instead, which are drawn anew: no second band is asked for.
 5. A class is a connected component of links and copies; its id is its smallest doc_id.
 
 Scale: two passes over the texts without a shuffle (counts; samples); keys are 8 bytes per band. Only texts in buckets
@@ -41,8 +42,8 @@ from quarterdeck.llm.shingles import MIX, Shingler, scramble
 SHINGLE, SIMILAR = 5, 0.8
 #: P(no shared band at likeness 0.8) = (1 - 0.8 ** ROWS) ** BANDS < 0.0003; P(fewer than AGREE of 64 samples agree) < 0.0001.
 BANDS, ROWS, AGREE, PIVOTS, LARGE = 16, 4, 38, 2, 2000
-#: P(fewer than FINE_AGREE of FINE samples agree at likeness 0.8) < 0.0005.
-FINE, FINE_AGREE = 256, 182
+#: P(fewer than FINE_AGREE of FINE samples agree at likeness 0.8) < 0.0003; P(no shared key of PART_ROWS of them) < 0.000003.
+FINE, FINE_AGREE, PART_ROWS = 256, 182, 6
 TEXT_BYTES = 250_000
 
 
@@ -101,6 +102,16 @@ def idf_table(counts: DataFrame, documents: int) -> np.ndarray:
     return np.log1p(n / (np.minimum(added(counts), n) + n)).astype(np.float32)
 
 
+def keys_of(drawn: np.ndarray, rows: int) -> list[list[int]]:
+    """Per text, a key of every ``rows`` samples (of the last, if fewer are left, none)."""
+    bands = len(drawn) // rows
+    keys = drawn[: bands * rows].reshape(bands, rows, -1)
+    band = scramble(keys[:, 0] + np.arange(bands, dtype=np.uint64)[:, None] * MIX)
+    for r in range(1, rows):
+        band = scramble(band * MIX + keys[:, r])
+    return band.T.astype(np.int64).tolist()
+
+
 def band_keys(docs: DataFrame, idf) -> DataFrame:
     """doc_id, band keys and signature (a byte per sample, eight to a number) of every text with words."""
     schema = pa.schema([("doc_id", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64()))])
@@ -113,19 +124,15 @@ def band_keys(docs: DataFrame, idf) -> DataFrame:
                 continue
             texts, starts = np.unique(place, return_index=True)
             drawn = sampler.sample(np.append(starts, len(place)), shingle, n * idf.value[cells(shingle)])
-            keys = drawn.reshape(BANDS, ROWS, -1)
-            band = scramble(keys[:, 0] + np.arange(BANDS, dtype=np.uint64)[:, None] * MIX)
-            for r in range(1, ROWS):
-                band = scramble(band * MIX + keys[:, r])
             signature = np.ascontiguousarray(drawn.astype(np.uint8).T).view("<i8")
-            yield batch_of(schema, (batch.column(0).take(pa.array(texts)), band.T.astype(np.int64).tolist(), signature.tolist()))
+            yield batch_of(schema, (batch.column(0).take(pa.array(texts)), keys_of(drawn, ROWS), signature.tolist()))
 
     return docs.mapInArrow(run, "doc_id long, bands array<long>, signature array<long>")
 
 
 def fine_signatures(texts: DataFrame, idf) -> DataFrame:
-    """doc_id and a signature of ``FINE`` further samples."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fine", pa.list_(pa.int64()))])
+    """doc_id, a signature of ``FINE`` further samples, and the keys of every ``PART_ROWS`` of them."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fine", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64()))])
 
     def run(batches):
         shingler, sampler = Shingler(SHINGLE), WeightedSampler(FINE, seed=29, bits=14)
@@ -135,9 +142,9 @@ def fine_signatures(texts: DataFrame, idf) -> DataFrame:
                 found, starts = np.unique(place, return_index=True)
                 drawn = sampler.sample(np.append(starts, len(place)), shingle, n * idf.value[cells(shingle)])
                 signature = np.ascontiguousarray(drawn.astype(np.uint8).T).view("<i8")
-                yield batch_of(schema, (batch.column(0).take(pa.array(found)), signature.tolist()))
+                yield batch_of(schema, (batch.column(0).take(pa.array(found)), signature.tolist(), keys_of(drawn, PART_ROWS)))
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, fine array<long>")
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, fine array<long>, parts array<long>")
 
 
 def agreeing(one: str, two: str, samples: int = BANDS * ROWS) -> Column:
@@ -189,8 +196,7 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
     # A bitmap instead of a join: the texts stay where they are read, and a few more than needed do no harm.
     held = docs.sparkSession.sparkContext.broadcast(bitmap(here.select(F.xxhash64("doc_id").alias("mark")), "mark"))
     texts = staged(with_bits(docs.withColumn("mark", F.xxhash64("doc_id")), held, True).drop("mark"), "near-texts")
-    bands = staged(bands.join(here, "doc_id", "left_semi"), "near-signatures")
-    signature = bands.select("doc_id", "signature")
+    signature = staged(bands.select("doc_id", "signature").join(here, "doc_id", "left_semi"), "near-signatures")
     one = signature.select(F.col("doc_id").alias("a"), F.col("signature").alias("one"))
     two = signature.select(F.col("doc_id").alias("b"), F.col("signature").alias("two"))
     degree = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
@@ -215,15 +221,12 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
         return links
     own = components(links).withColumnRenamed("node", "doc_id")
     placed = tested.drop("degree").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = staged(_divided(placed, bands), "near-placed")
-    # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
-    by = [*by, "part", "part_key"]
-    sizes = placed.groupBy(*by, "component").count()
-    main = sizes.groupBy(by).agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
-    main = main.where("parts > 1").select(*by, F.col("m.component").alias("main"))
-    placed = staged(placed.join(main, by), "near-left")
+    placed = staged(_mixed(placed, by), "near-left")
     fine = staged(fine_signatures(texts.join(placed.select("doc_id").distinct(), "doc_id", "left_semi"), idf), "near-fine")
-    placed = placed.join(signature, "doc_id").join(fine, "doc_id")
+    by = [*by, "part", "part_key"]
+    # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
+    placed = _mixed(staged(_divided(placed, fine), "near-placed"), by)
+    placed = placed.join(signature, "doc_id").join(fine.drop("parts"), "doc_id")
     some = placed.where(F.col("component") != F.col("main")).select(
         *by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"), F.col("signature").alias("one"), F.col("fine").alias("fine_one")
     )
@@ -243,14 +246,21 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
     return links.unionByName(staged(late, "near-late"))
 
 
-def _divided(placed: DataFrame, bands: DataFrame) -> DataFrame:
-    """Adds part and part_key: a bucket of over ``LARGE`` texts becomes buckets of texts that share a second band too."""
-    sizes = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
-    sized = placed.join(sizes, ["band", "key"])
-    small = sized.where(F.col("n") <= LARGE).withColumns({"part": F.lit(-1), "part_key": F.lit(0).cast("long")})
-    large = sized.where(F.col("n") > LARGE).join(bands.select("doc_id", "bands"), "doc_id")
-    large = large.select(*sized.columns, F.posexplode("bands").alias("part", "part_key")).where(F.col("part") != F.col("band"))
-    return small.unionByName(large).drop("n")
+def _mixed(placed: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of buckets with several components; adds the largest of them and the number of rows."""
+    sizes = placed.groupBy(*by, "component").count()
+    main = sizes.groupBy(by).agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("rows"))
+    return placed.join(main.where("parts > 1").select(*by, F.col("m.component").alias("main"), "rows"), by)
+
+
+def _divided(placed: DataFrame, fine: DataFrame) -> DataFrame:
+    """Adds part and part_key: the texts of all buckets of over ``LARGE`` go to buckets of their own, by the keys of their fine samples."""
+    kept = ["band", "key", "doc_id", "far", "component"]
+    small = placed.where(F.col("rows") <= LARGE).select(*kept, F.lit(-1).alias("part"), F.lit(0).cast("long").alias("part_key"))
+    large = placed.where(F.col("rows") > LARGE).select("doc_id", "component").distinct().join(fine, "doc_id")
+    large = large.select("doc_id", "component", F.posexplode("parts").alias("part", "part_key")).distinct()
+    apart = {"band": F.lit(-1), "key": F.lit(0).cast("long"), "far": F.lit(None).cast("double")}
+    return small.unionByName(large.withColumns(apart))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

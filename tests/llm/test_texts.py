@@ -144,6 +144,39 @@ def test_large_group_of_near_copies_with_a_chain(spark):
     assert got == brute_classes(rows)
 
 
+def edited(seed: int, *changes: int) -> list[tuple]:
+    """Documents 1, 2, ...: copies of 150 words, so many of them changed; 0.8 or more are alike only as the seed was chosen."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i, k in enumerate(changes):
+        text = list(base)
+        for p in rng.sample(range(150), k) if k else ():
+            text[p] = f"n{rng.randrange(10**6)}"
+        rows.append((i + 1, " ".join(text), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [8397, 9267])
+def test_a_large_bucket_asks_for_no_second_band(spark, monkeypatch, seed):
+    """2 and 3 are linked and share one band only, with 1, the pivot, which is linked to neither."""
+    monkeypatch.setattr(minhash, "LARGE", 2)
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    rows = edited(seed, 4, 0, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows) == {1: 1, 2: 2, 3: 2}
+
+
+def test_divided_buckets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", 3)
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    rows = [(100 * g + d, *rest) for g in range(6) for d, *rest in edited(g, *range(1, 16), *range(1, 16))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_weighted_samples_agree_by_likeness():
     rng = np.random.default_rng(4)
     shingle = np.sort(rng.integers(0, 2**63, 400, dtype=np.uint64))
