@@ -217,11 +217,11 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
         member = staged(member.select(*by, "doc_id", "degree", "far"), f"near-far-{turn}")
         tested = member if tested is None else tested
         opened = member.where(F.coalesce(F.col("far") > 1 - SIMILAR, F.lit(True))).select(*by, "doc_id", "degree")
-    if opened.isEmpty():
-        return links
     own = components(links).withColumnRenamed("node", "doc_id")
     placed = tested.drop("degree").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = staged(_mixed(placed, by), "near-left")
+    if placed.isEmpty():  # what is no longer open may still be of another component than the rest of its bucket
+        return links
     fine = staged(fine_signatures(texts.join(placed.select("doc_id").distinct(), "doc_id", "left_semi"), idf), "near-fine")
     by = [*by, "part", "part_key"]
     # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.

@@ -157,6 +157,14 @@ def edited(seed: int, *changes: int) -> list[tuple]:
     return rows
 
 
+def test_a_chain_is_linked_when_its_pivots_leave_nothing_open(spark):
+    """1-2 and 2-3 are linked, 1-3 is not; in every bucket of 2 and 3 the pivot is 1, and 3 is then open alone."""
+    rows = edited(4883, 3, 0, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows) == {1: 1, 2: 1, 3: 1}
+
+
 @pytest.mark.parametrize("seed", [8397, 9267])
 def test_a_large_bucket_asks_for_no_second_band(spark, monkeypatch, seed):
     """2 and 3 are linked and share one band only, with 1, the pivot, which is linked to neither."""
