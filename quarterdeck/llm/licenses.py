@@ -5,6 +5,8 @@
    vector is compared with every template's; the best cosine of ``COSINE`` or more is the text's own licence (ties: the earlier
    candidate, then the earlier template). Candidates without a telling word are skipped: words are left out of the
    telling ones, heaviest last, while their weights alone cannot reach ``COSINE`` in any template, so nothing is lost.
+   A template only counts if the candidate has the marks of its licence (name, version, NC, SA, ND: ``MARKS``) and none that
+   contradicts it; a candidate that agrees with two licences within ``TIED`` states neither.
 3. A directory's licence is that of its licence file (of several, the first by path). A file without a licence of its own
    takes that of its nearest ancestor directory with one: directories are joined with those above them by path.
 
@@ -50,8 +52,77 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", "Licensed under the MIT License."),
+    ("Apache-2.0", "Released under the Apache License 2.0."),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    ("EUPL-1.2", "Licensed under the European Union Public Licence, version 1.2."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("Unlicense", "Released under the Unlicense."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 )
 
+_GNU, _CC = r"general public licen[cs]e|\bgpl", r"\bcc by\b|creative commons attribution"
+_NC, _SA, _ND = r"\bnc\b|non ?commercial", r"\bsa\b|share ?alike", r"\bnd\b|no ?deriv"
+_BSD = r"redistributions in binary form"
+
+
+def _version(number: str) -> str:
+    """A version number that is named as one (version 2, v2, v. 2, GPL-2, License 2.0, 2.0)."""
+    major, _, minor = number.partition(".")
+    return rf"\b(version|v|[al]?gpl|mpl|epl|eupl|licen[cs]e|apache) ?v?{major}{f' {minor}' if minor not in ('', '0') else r'(?! [1-9]\b)'}\b"
+
+
+#: What a text must say to state a licence, and what it must not; over its words in lower case, one space apart.
+MARKS = {
+    "MIT": ((r"\bmit\b|hereby granted free of charge to any person",), ()),
+    "Apache-2.0": ((r"\bapache\b", _version("2.0")), (r"\bversion 1\b",)),
+    "GPL-2.0": ((_GNU, _version("2")), (r"\b(lesser|library general|affero)\b", _version("3"))),
+    "GPL-3.0": ((_GNU, _version("3")), (r"\b(lesser|library general|affero)\b", _version("2"))),
+    "LGPL-2.1": ((r"\blesser general public|\blgpl", _version("2.1")), (r"\baffero\b", _version("3"))),
+    "LGPL-3.0": ((r"\blesser general public|\blgpl", _version("3")), (r"\baffero\b", _version("2.1"))),
+    "AGPL-3.0": ((r"\baffero general public|\bagpl", _version("3")), (r"\blesser\b",)),
+    "MPL-2.0": ((r"\bmozilla public|\bmpl\b", _version("2.0")), ()),
+    "EPL-2.0": ((r"\beclipse public|\bepl\b", _version("2.0")), ()),
+    "EUPL-1.2": ((r"\beuropean union public|\beupl\b", _version("1.2")), ()),
+    "BSD-2-Clause": ((rf"\bbsd 2 clause|\b(simplified|freebsd) bsd|{_BSD}",), (r"\b[034] clause", r"neither the name|names? of .* endorse", r"all advertising")),
+    "BSD-3-Clause": ((rf"\bbsd 3 clause|\b(new|revised|modified) bsd|{_BSD}.*(neither the name|names? of .* endorse)",), (r"\b[024] clause", r"all advertising")),
+    "ISC": ((r"\bisc licen|with or without fee is hereby granted",), ()),
+    "Unlicense": ((r"\bunlicense\b|free and unencumbered software",), ()),
+    "CC0-1.0": ((r"\bcc0\b|waived all copyright",), ()),
+    "CC-BY-4.0": ((_CC, r"\b4 0\b"), (_NC, _SA, _ND)),
+    "CC-BY-SA-4.0": ((_CC, _SA, r"\b4 0\b"), (_NC, _ND)),
+    "CC-BY-NC-4.0": ((_CC, _NC, r"\b4 0\b"), (_SA, _ND)),
+    "CC-BY-NC-SA-4.0": ((_CC, _NC, _SA, r"\b4 0\b"), (_ND,)),
+    "CC-BY-ND-4.0": ((_CC, _ND, r"\b4 0\b"), (_NC, _SA)),
+    "CC-BY-NC-ND-4.0": ((_CC, _NC, _ND, r"\b4 0\b"), (_SA,)),
+}
+TIED = 0.05
+
+
+def says(text: str, licence: str) -> bool:
+    """Whether a text has all marks of a licence and none that contradicts it."""
+    plain = " ".join(re.findall(r"[a-z0-9]+", text.lower()))
+    need, refused = MARKS[licence]
+    return all(re.search(m, plain) for m in need) and not any(re.search(m, plain) for m in refused)
+
 
 def word_frequencies(texts: DataFrame) -> np.ndarray:
     """How many texts have a word of each cell, and at the end how many texts there are."""
@@ -110,7 +181,20 @@ class Matcher:
             at += block.count("\n") + 2
         return [*out, (0, text)] if len(lines) > 1 else out
 
-    def best(self, text: str) -> tuple[str, float, int] | None:
+    def _stated(self, near: np.ndarray, candidate: str, text: str) -> int | None:
+        """The best template that the candidate agrees with; none if one of another licence is ``TIED`` with it."""
+        agreeing: list[int] = []
+        for k in np.argsort(-np.round(near, 12), kind="stable"):
+            if near[k] < self.cosine or (agreeing and near[k] < near[agreeing[0]] - TIED):
+                break
+            licence = self.templates[k][0]
+            # The opening of a BSD notice does not tell its clauses: they are looked for in the whole text.
+            if says(text if self.templates[k][1].startswith("Redistribution") else candidate, licence):
+                agreeing.append(int(k))
+        return agreeing[0] if len({self.templates[k][0] for k in agreeing}) == 1 else None
+
+    def best(self, text: str, stated: bool = False) -> tuple[str, float, int] | None:
+        """Licence, cosine and line; with ``stated`` only candidates that have the marks of the licence count."""
         found: dict[str, tuple[float, int]] = {}
         top: tuple[float, int, int] | None = None
         for line, candidate in self.candidates(text):
@@ -122,16 +206,16 @@ class Matcher:
                 continue
             inside = self._known(words, self.vocabulary)
             near = self.matrix[:, np.searchsorted(self.vocabulary, words[inside])] @ v[inside] / np.sqrt((v * v).sum())
-            k = int(np.argmax(np.round(near, 12)))
-            if near[k] >= self.cosine and (top is None or near[k] > top[0] + 1e-12):
+            k = self._stated(near, candidate, text) if stated else int(np.argmax(np.round(near, 12)))
+            if k is not None and near[k] >= self.cosine and (top is None or near[k] > top[0] + 1e-12):
                 top = (float(near[k]), line, k)
         return None if top is None else (self.templates[top[2]][0], min(top[0], 1.0), top[1])
 
-    def matches(self, texts: list[str]) -> list[tuple[str, float, int] | None]:
+    def matches(self, texts: list[str], stated: bool = False) -> list[tuple[str, float, int] | None]:
         place, words = self.shingler.words(texts)
         hit = np.zeros(len(texts), bool)
         hit[place[self._known(words, self.telling)]] = True
-        return [self.best(t) if h else None for t, h in zip(texts, hit, strict=True)]
+        return [self.best(t, stated) if h else None for t, h in zip(texts, hit, strict=True)]
 
 
 def own_licences(files: DataFrame, frequencies: np.ndarray, cosine: float = COSINE) -> DataFrame:
@@ -144,7 +228,7 @@ def own_licences(files: DataFrame, frequencies: np.ndarray, cosine: float = COSI
         matcher = Matcher(held.value, cosine=cosine)
         for batch in text_slices(batches, 2):
             texts = batch.column(2).to_pylist()
-            found = [m or (None, None, None) for m in matcher.matches(texts)]
+            found = [m or (None, None, None) for m in matcher.matches(texts, stated=True)]
             yield batch_of(schema, (*batch.columns[:2], *zip(*found, strict=True), [t.rstrip("\n").count("\n") + 1 for t in texts]))
 
     return files.mapInArrow(run, "file_id long, path string, own string, cosine double, line long, lines long")

@@ -336,3 +336,48 @@ def test_telling_words_lose_no_candidate():
         got = matcher.matches([line])[0]
         assert (got is not None) == (best >= licenses.COSINE) or abs(best - licenses.COSINE) < 1e-6
         assert got is None or abs(got[1] - best) < 1e-9
+
+
+@pytest.mark.parametrize(
+    ("line", "licence"),
+    [
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("Available under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+        ("Licensed under CC BY-NC 3.0.", None),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+        ("Released under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        ("This work is licensed under the GNU General Public License.", None),
+        ("Released under the BSD License.", None),
+        ("Released under the BSD 2-Clause License.", "BSD-2-Clause"),
+        ("Released under the BSD 3-Clause License.", "BSD-3-Clause"),
+        ("Released under the Apache License.", None),
+        ("Released under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Licensed under the Eclipse Public License, Version 2.0.", "EPL-2.0"),
+        ("Licensed under the Eclipse Public License, Version 1.0.", None),
+        ("Licensed under the EUPL, the European Union Public Licence, version 1.2.", "EUPL-1.2"),
+        ("Licensed under the MIT License.", "MIT"),
+        ("Licensed under the Mozilla Public License, version 1.1.", None),
+    ],
+)
+@pytest.mark.parametrize("common", [0, 900])
+def test_a_line_states_its_own_licence(line, licence, common):
+    """With flat weights, and with stop words light."""
+    frequencies = np.append(np.zeros(licenses.CELLS, np.int64), 1000)
+    words_, _ = licenses.Matcher(frequencies).vector("under the a of and is to this by or in for with that")
+    frequencies[licenses.cells(words_)] = common
+    got = licenses.Matcher(frequencies).matches([line], stated=True)[0]
+    assert (got and got[0]) == licence
+
+
+def test_every_template_states_its_licence():
+    matcher = licenses.Matcher(np.append(np.zeros(licenses.CELLS, np.int64), 1000))
+    clauses = "\n2. Redistributions in binary form must reproduce the above copyright notice."
+    name = "\n3. Neither the name of the copyright holder nor the names of its contributors may be used."
+    for licence, text in licenses.TEMPLATES:
+        if text.startswith("Redistribution"):
+            assert matcher.matches([text], stated=True) == [None]
+            text += clauses + (name if licence == "BSD-3-Clause" else "")
+        assert matcher.matches([text], stated=True)[0][0] == licence
