@@ -1,7 +1,8 @@
 """Licence scans: TF-IDF cosine of headers and licence files to templates, inherited from the nearest directory.
 
 1. Document frequencies of words are counted over all texts, in ``CELLS`` hashed counters.
-2. Every line of a text, every block of lines between empty lines, and the whole text is a header candidate. Its sparse TF-IDF
+2. Every line of a text, every block of lines between empty lines, the whole text, and around every line with a telling word the
+   runs of lines of each template's number of words are header candidates. A candidate's sparse TF-IDF
    vector is compared with every template's; the best cosine of ``COSINE`` or more is the text's own licence (ties: the earlier
    candidate, then the earlier template). Candidates without a telling word are skipped: words are left out of the
    telling ones, heaviest last, while their weights alone cannot reach ``COSINE`` in any template, so nothing is lost.
@@ -159,6 +160,7 @@ class Matcher:
         # Lightest words first: without the others no candidate reaches the cosine.
         light = np.argsort(self.matrix.max(axis=0), kind="stable")
         reach = np.sqrt(np.cumsum(self.matrix[:, light] ** 2, axis=1)).max(axis=0)
+        self.lengths = sorted({len(self.shingler.words([t])[1]) for _, t in templates})
         self.telling = np.sort(self.vocabulary[light[int(np.searchsorted(reach, cosine - 1e-9)) :]])
 
     def _known(self, words: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -179,7 +181,39 @@ class Matcher:
             if "\n" in block.strip("\n"):
                 out.append((at, block))
             at += block.count("\n") + 2
-        return [*out, (0, text)] if len(lines) > 1 else out
+        return [*out, *self.windows(lines), (0, text)] if len(lines) > 1 else out
+
+    def windows(self, lines: list[str]) -> list[tuple[int, str]]:
+        """Runs of two or more lines that hold a template's number of words, with or without the line that exceeds it.
+
+        They start at lines from which such a run reaches a line with a telling word, and are listed once each.
+        """
+        place, words = self.shingler.words(lines)
+        ends = np.cumsum(np.bincount(place, minlength=len(lines)))
+        before = np.concatenate([[0], ends[:-1]])
+        telling = np.unique(place[self._known(words, self.telling)])
+        runs: set[tuple[int, int]] = set()
+        for length in self.lengths:
+            last = np.searchsorted(ends, before + length)  # the line with the run's last word
+            first = np.searchsorted(telling, np.arange(len(lines)))
+            reach = np.append(telling, len(lines))[first]
+            for i in np.flatnonzero((reach <= last) & (ends > before)):
+                stop = min(int(last[i]), len(lines) - 1)
+                runs.update((int(i), k) for k in (stop - 1, stop) if k > i)
+        if not runs:
+            return []
+        # A repeated word adds more to the norm than its places' squares do, so a run below the cosine by this bound is below it.
+        weight, inside = self.idf[cells(words)], self._known(words, self.vocabulary)
+        at, line, own = np.searchsorted(self.vocabulary, words[inside]), place[inside], weight[inside]
+        i, k = np.array(sorted(runs)).T
+        total = lambda of, w: np.concatenate([[0], np.cumsum(np.bincount(of, w, len(lines)))])
+        norms = total(place, weight * weight)
+        most = np.zeros(len(i))
+        for row in self.matrix:
+            dots = total(line, row[at] * own)
+            most = np.maximum(most, dots[k + 1] - dots[i])
+        kept = most >= (self.cosine - 1e-6) * np.sqrt(norms[k + 1] - norms[i])
+        return [(a, "\n".join(lines[a : b + 1])) for a, b in zip(i[kept].tolist(), k[kept].tolist(), strict=True)]
 
     def _stated(self, near: np.ndarray, candidate: str, text: str) -> int | None:
         """The best template that the candidate agrees with; none if one of another licence is ``TIED`` with it."""

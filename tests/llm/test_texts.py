@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -381,3 +382,21 @@ def test_every_template_states_its_licence():
             assert matcher.matches([text], stated=True) == [None]
             text += clauses + (name if licence == "BSD-3-Clause" else "")
         assert matcher.matches([text], stated=True)[0][0] == licence
+
+
+@pytest.mark.parametrize("width", [40, 50, 60, 72])
+@pytest.mark.parametrize("common", [0, 900])
+@pytest.mark.parametrize("prefix", ["", "# "])
+def test_a_wrapped_header_before_code(width, common, prefix):
+    """A notice over several lines, with code right after it, or between lines of code."""
+    frequencies = np.append(np.zeros(licenses.CELLS, np.int64), 1000)
+    words_, _ = licenses.Matcher(frequencies).vector("under the a of and is to this by or in for with that")
+    frequencies[licenses.cells(words_)] = common
+    matcher = licenses.Matcher(frequencies)
+    code = [f"x{i} = call{i}(y{i})" for i in range(40)]
+    for licence, text in licenses.TEMPLATES:
+        if len(text) > 150 and not text.startswith("Redistribution"):
+            header = [prefix + line for line in textwrap.wrap(text, width)]
+            for lines, at in ((header + code, 0), (code + header + code, len(code))):
+                got = matcher.matches(["\n".join(lines)], stated=True)[0]
+                assert got is not None and got[0] == licence and got[1] > 0.9 and got[2] == at
