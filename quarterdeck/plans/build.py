@@ -1,15 +1,16 @@
 """The staged build: statement files -> managed tables -> analytics tables.
 
 Stages run in order and stop at the first failure (an exception names the stage).
-Every table is written under a staging name and renamed only when complete,
-so a failed or retried build never leaves a half-written table behind.
+``build_release`` publishes all nine tables in one step (:mod:`quarterdeck.plans.releases`): a reader, or a build that dies,
+sees all old or all new tables. ``build_all`` writes catalog tables: all are written under staging names first and renamed only when the last one
+is complete, so a failed build leaves every old table; readers should not run during the renames.
 Each table is a DataFrame function; the only driver/executor boundary is the
 table write. Catalog helpers list tables and describe them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from quarterdeck.operators import metrics as M
 from quarterdeck.operators.quality import duplicate_keys
 from quarterdeck.plans import managed as MG
-from quarterdeck.plans.tables import load_replace
+from quarterdeck.plans.releases import TableStore
+from quarterdeck.plans.tables import store_incoming, swap_incoming
 from quarterdeck.sources.delimited import read_delimited_text, read_statement
 
 STATEMENT_FILES = {
@@ -28,6 +30,9 @@ STATEMENT_FILES = {
 }
 
 
+ANALYTICS = ("financial_ratios", "balance_sheet_trends", "income_statement_trends", "company_snapshot_latest", "yoy_comparison")
+
+
 class StageError(RuntimeError):
     pass
 
@@ -80,13 +85,14 @@ def managed_tables(ext: Mapping[str, DataFrame], stamp: bool = True) -> dict[str
 
 def analytics_tables(t: Mapping[str, DataFrame], stamp: bool = True) -> dict[str, DataFrame]:
     inc, bal, prof = t["income_statement"], t["balance_sheet"], t["company_info"]
-    return {
-        "financial_ratios": M.financial_ratios(inc, bal, stamp),
-        "balance_sheet_trends": M.balance_sheet_trends(bal, stamp),
-        "income_statement_trends": M.income_statement_trends(inc, stamp),
-        "company_snapshot_latest": M.company_snapshot_latest(inc, bal, prof, stamp),
-        "yoy_comparison": M.yoy_comparison(inc, stamp),
-    }
+    made = (
+        M.financial_ratios(inc, bal, stamp),
+        M.balance_sheet_trends(bal, stamp),
+        M.income_statement_trends(inc, stamp),
+        M.company_snapshot_latest(inc, bal, prof, stamp),
+        M.yoy_comparison(inc, stamp),
+    )
+    return dict(zip(ANALYTICS, made, strict=True))
 
 
 def check_grain(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
@@ -118,25 +124,55 @@ def build_all(
     the analytics stage.
     """
     ensure_database(spark, db)
-    written = []
+    layout = {"bucket_by": (bucket_count, "ticker"), "sort_by": ("report_date",)} if bucket_count else {}
+    incoming: dict[str, str] = {}
+
+    def write(stage: str, name: str, df: DataFrame) -> None:
+        store_incoming(spark, df, f"{db}.{name}", **(layout if name in STATEMENT_FILES and name != "company_info" else {}))
+        incoming[name] = stage
+
     try:
-        ext = external_tables(spark, src)
-        layout = {"bucket_by": (bucket_count, "ticker"), "sort_by": ("report_date",)} if bucket_count else {}
-        for name, df in managed_tables(ext).items():
-            full = f"{db}.{name}"
-            load_replace(spark, df, full, keep_backup=False, **(layout if name != "company_info" else {}))
-            written.append(("managed", full))
-        stored = {n: spark.table(f"{db}.{n}") for n in STATEMENT_FILES}
-        if verify_grain:
-            check_grain(spark, {n: stored[n] for n in ("balance_sheet", "income_statement", "cash_flow_statement")})
-        for name, df in analytics_tables(stored).items():
-            full = f"{db}.{name}"
-            load_replace(spark, df, full, keep_backup=False)
-            written.append(("analytics", full))
+        _stages(external_tables(spark, src), write, lambda name: spark.table(f"{db}.{name}_incoming"), verify_grain)
+        swap_incoming(spark, [f"{db}.{name}" for name in incoming])
     except Exception as exc:
-        done = ", ".join(n for _, n in written) or "nothing"
-        raise StageError(f"build stopped after writing {done}: {exc}") from exc
-    summary = [(stage, name, spark.table(name).count()) for stage, name in written]
-    return spark.createDataFrame(summary, "stage string, table_name string, rows bigint").withColumn(
-        "built_at", F.current_timestamp()
-    )
+        for name in (*STATEMENT_FILES, *ANALYTICS):
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{name}_incoming")
+        raise StageError(f"build stopped after staging {', '.join(incoming) or 'nothing'}: {exc}") from exc
+    summary = [(stage, f"{db}.{name}", spark.table(f"{db}.{name}").count()) for name, stage in incoming.items()]
+    return _summary(spark, summary)
+
+
+def build_release(spark: SparkSession, src: str, root: str, buckets: int = 32, verify_grain: bool = True) -> DataFrame:
+    """Every stage into one new release of the store at ``root``; return ``(stage, table_name, rows, built_at)``.
+
+    The statements are dealt to ``buckets`` by ticker. The release is published when all tables are written and checked.
+    """
+    done: dict[str, str] = {}
+    try:
+        with TableStore(spark, root).draft() as draft:
+
+            def write(stage: str, name: str, df: DataFrame) -> None:
+                keyed = name in STATEMENT_FILES and name != "company_info"
+                draft.put(name, df, *((("ticker",), buckets, ("ticker", "report_date")) if keyed else ()))
+                done[name] = stage
+
+            _stages(external_tables(spark, src), write, draft.read, verify_grain)
+            release = draft.commit(f"build from {src}")
+    except Exception as exc:
+        raise StageError(f"build stopped after {', '.join(done) or 'nothing'}; nothing was published: {exc}") from exc
+    return _summary(spark, [(stage, name, release.tables[name].rows) for name, stage in done.items()])
+
+
+def _stages(ext: Mapping[str, DataFrame], write: Callable[[str, str, DataFrame], object], stored: Callable[[str], DataFrame], verify_grain: bool) -> None:
+    """Managed tables, the grain check, analytics tables from what was stored."""
+    for name, df in managed_tables(ext).items():
+        write("managed", name, df)
+    managed = {n: stored(n) for n in STATEMENT_FILES}
+    if verify_grain:
+        check_grain(managed["balance_sheet"].sparkSession, {n: managed[n] for n in managed if n != "company_info"})
+    for name, df in analytics_tables(managed).items():
+        write("analytics", name, df)
+
+
+def _summary(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
+    return spark.createDataFrame(rows, "stage string, table_name string, rows bigint").withColumn("built_at", F.current_timestamp())
