@@ -11,10 +11,12 @@
    Evidence, the passages' number and the length go through a logistic regression: the score. Tokens are learned from
    ``SHARE`` of the labelled documents and the regression from the others, which the tokens have not seen.
 
-Bounds (parameters): learned from at most ``FIT_ROWS`` labelled documents in order of a hash of the id; the lexicon
-holds at most ``LEXICON`` tokens, surest first. Scoring is one pass over all whole texts without a shuffle.
+Bounds (parameters): learned from at most ``FIT_ROWS`` labelled documents in order of a hash of the id. The lexicon holds every token
+that can change a word's score: all with a positive score, and of the others those that begin like one of them
+(a word whose tokens are all negative scores ``-GAP`` with or without them). It is bounded by the lessons alone. Scoring is one pass over
+all whole texts without a shuffle; a task remembers the scores of ``MEMO_WORDS`` words.
 
-Defined cases: a null text is empty and has no passage; an empty text scores by that; repeated rows are scored each;
+Defined cases: of a word's tokens with scores equally far from 0 the first one counts (the word before its pieces, short pieces before long ones); a null text is empty and has no passage; an empty text scores by that; repeated rows are scored each;
 if a class has no labels to learn from, every score is the mean label (0 without any); an empty table gives no rows.
 """
 
@@ -33,13 +35,12 @@ from pyspark.sql.types import ArrayType, StructType
 from quarterdeck.llm.common import batch_of, fit_logistic, free_prefix, held_out, labelled_ids, logistic, staged, text_or_empty, text_slices
 
 FIT_ROWS = 40_000
-LEXICON = 50_000
 #: Of five labelled documents, so many teach tokens.
 SHARE = 3
 PIECES = (4, 5, 6)
 PRIOR, SURE, GAP, MOST = 2.0, 3.0, 0.5, 8.0
 K = 0.1
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
 THRESHOLD = 0.5
 WORD = re.compile(r"[^\W_]+")
 
@@ -94,6 +95,17 @@ def log_odds(counts: DataFrame, texts: dict[int, int]) -> DataFrame:
     return per.select("token", F.least(score, F.lit(MOST)).alias("score"), "n0").where(F.abs("score") > 0.01)
 
 
+def lexicon_of(odds: DataFrame) -> DataFrame:
+    """The rows of :func:`log_odds` that can matter: positive tokens, and negative ones with the first letters of a positive one.
+
+    A word's tokens are itself and its leading pieces, so all that have as many letters share the first ``PIECES[0]`` of them.
+    """
+    letters = F.substring(F.regexp_replace("token", r"\*$", ""), 1, PIECES[0])
+    odds = odds.withColumn("letters", letters)
+    sure = odds.where(F.col("score") > 0).select("letters").distinct()
+    return odds.join(sure, "letters", "left_semi").drop("letters")
+
+
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, sum), in linear time."""
     found: list[tuple] = []  # begin, end, sum left of begin, sum up to end, nearest earlier one with a smaller left sum
@@ -211,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model = Model({}, 0.1, None, 0.0)
     if set(sizes) == {0, 1}:
         texts = {k: r["n"] for k, r in sizes.items()}
-        rows = log_odds(token_counts(lessons), texts).orderBy(F.desc(F.abs("score")), "token").limit(LEXICON).collect()
+        rows = lexicon_of(staged(log_odds(token_counts(lessons), texts), "toxicity-odds")).orderBy("token").collect()
         model.lexicon = {r["token"]: r["score"] for r in rows}
         plain = [r for r in rows if not r["token"].endswith("*") and r["score"] > 0]
         scores, counts = np.array([r["score"] for r in plain]), np.array([float(r["n0"]) for r in plain])
