@@ -8,18 +8,18 @@
 3. Improved consistent weighted sampling (Ioffe) draws ``BANDS * ROWS`` samples per text; two texts agree in a
    sample with the probability of their weighted Jaccard likeness. ``ROWS`` samples make a band's key; a byte
    of every sample makes the signature.
-4. Texts that share a key and agree in ``AGREE`` samples or more are candidates. In every bucket the text that shares most keys
-   with others is a pivot (what copies are made from, if it is there): the others are compared with it, exactly (weighted
-   Jaccard >= 0.8 is a link). Those that are not linked to it get a pivot of their own, ``PIVOTS`` times. What is
-   left in a bucket are candidates from different components; each pair that agrees in ``FINE_AGREE`` of ``FINE``
-   more samples is compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to a pivot
-   differ by over 0.2 are not linked. The texts of buckets of over ``LARGE`` meet by keys of ``PART_ROWS`` of the ``FINE`` samples
-   instead, which are drawn anew: no second band is asked for.
+4. Texts that share a key and agree in ``AGREE`` samples or more are candidates. They are joined in turns: in every bucket with several
+   components the largest has a pivot (at first the text that shares most keys with others: what copies are made from, if it is there; later any of its
+   texts), and every text of another component is compared, exactly, with one pivot: the one that it shares most buckets with (weighted Jaccard
+   >= 0.8 is a link). So a turn compares each text once at most, whatever its group's size. Turns go on while ``WORTH`` of the comparisons are links.
+   What then is still in buckets of several components meets by keys of ``PART_ROWS`` of ``FINE`` samples drawn anew; each pair of different components
+   that agrees in ``FINE_AGREE`` of them is compared, but for those that a pivot rules out: 1 - likeness is a metric, so texts whose distances to
+   a pivot differ by over 0.2 are not linked.
 5. A class is a connected component of links and copies; its id is its smallest doc_id.
 
 Scale: two passes over the texts without a shuffle (counts; samples); keys are 8 bytes per band. Only texts in buckets
 are fetched for comparison. Buckets are never gathered in a task: pivots are map-side combined minima, comparisons a join.
-No bucket is capped.
+No bucket is capped, and all buckets are treated alike.
 
 Defined cases: a null text is empty; texts without words are classed by equality of the text; rows with equal doc_ids are one document
 (its texts' links are joint); rows with a null doc_id have a null class; an empty table gives no rows.
@@ -41,7 +41,7 @@ from quarterdeck.llm.shingles import MIX, Shingler, scramble
 
 SHINGLE, SIMILAR = 5, 0.8
 #: P(no shared band at likeness 0.8) = (1 - 0.8 ** ROWS) ** BANDS < 0.0003; P(fewer than AGREE of 64 samples agree) < 0.0001.
-BANDS, ROWS, AGREE, PIVOTS, LARGE = 16, 4, 38, 2, 2000
+BANDS, ROWS, AGREE, WORTH = 16, 4, 38, 0.1
 #: P(fewer than FINE_AGREE of FINE samples agree at likeness 0.8) < 0.0003; P(no shared key of PART_ROWS of them) < 0.000003.
 FINE, FINE_AGREE, PART_ROWS = 256, 182, 6
 TEXT_BYTES = 250_000
@@ -148,15 +148,16 @@ def fine_signatures(texts: DataFrame, idf) -> DataFrame:
 
 
 def agreeing(one: str, two: str, samples: int = BANDS * ROWS) -> Column:
-    """In how many samples two signatures agree: bytes that are zero in the difference, counted eight at a time."""
-    each = samples // 8
-    total = F.lit(8 * each)
-    for i in range(each):
-        v = F.col(one)[i].bitwiseXOR(F.col(two)[i])
-        for shift in (4, 2, 1):  # the last bit of every byte becomes whether any of its bits is set
-            v = v.bitwiseOR(F.shiftrightunsigned(v, shift))
-        total = total - F.bit_count(v.bitwiseAND(F.lit(0x0101010101010101)))
-    return total
+    """In how many samples two signatures agree: bytes that are zero in the difference, eight at a time."""
+
+    def spread(by: int):  # in the end the last bit of every byte is whether any of its bits was set
+        return lambda v: v.bitwiseOR(F.shiftrightunsigned(v, by))
+
+    differs = F.zip_with(one, two, lambda a, b: a.bitwiseXOR(b))
+    for by in (4, 2, 1):
+        differs = F.transform(differs, spread(by))
+    bits = F.aggregate(differs, F.lit(0), lambda n, v: n + F.bit_count(v.bitwiseAND(F.lit(0x0101010101010101))))
+    return F.lit(samples) - bits
 
 
 def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
@@ -191,7 +192,6 @@ def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
 
 def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> DataFrame:
     """a, b of linked documents that share a bucket; ``buckets`` has band, key, doc_id. Enough links for all components."""
-    by = ["band", "key"]
     here = buckets.select("doc_id").distinct()
     # A bitmap instead of a join: the texts stay where they are read, and a few more than needed do no harm.
     held = docs.sparkSession.sparkContext.broadcast(bitmap(here.select(F.xxhash64("doc_id").alias("mark")), "mark"))
@@ -200,67 +200,70 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
     one = signature.select(F.col("doc_id").alias("a"), F.col("signature").alias("one"))
     two = signature.select(F.col("doc_id").alias("b"), F.col("signature").alias("two"))
     degree = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    opened, links, tested = staged(buckets.drop("n").join(degree, "doc_id"), "near-degrees"), None, None
-    for turn in range(PIVOTS):
-        best = F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("best")
-        pivot = opened.groupBy(by).agg(best, F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("most > least")
-        pivot = pivot.select(*by, (-F.col("best.minus")).alias("pivot"))
-        member = staged(opened.join(pivot, by), f"near-members-{turn}")
-        pairs = member.where(F.col("doc_id") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-        pairs = pairs.join(two, "b").join(one, "a").where(agreeing("one", "two") >= AGREE).select("a", "b").distinct()
+    placed = staged(buckets.drop("n").join(degree, "doc_id").withColumn("component", F.col("doc_id")), "near-degrees")
+    placed, links, tested, turn = _mixed(placed, ["band", "key"]), None, None, 0
+    while True:
+        placed = staged(placed, f"near-placed-{turn}")
+        pairs = _one_pivot_each(placed, turn).join(two, "b").join(one, "a").where(agreeing("one", "two") >= AGREE).select("a", "b")
         done = staged(compared(pairs, texts, idf), f"near-compared-{turn}")
         found = done.where(F.col("likeness") >= SIMILAR).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        near = done.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), (1 - F.col("likeness")).alias("far"))
-        member = member.join(near, ["pivot", "doc_id"], "left")
-        member = member.withColumn("far", F.when(F.col("doc_id") == F.col("pivot"), 0.0).otherwise(F.col("far")))
-        member = staged(member.select(*by, "doc_id", "degree", "far"), f"near-far-{turn}")
-        tested = member if tested is None else tested
-        opened = member.where(F.coalesce(F.col("far") > 1 - SIMILAR, F.lit(True))).select(*by, "doc_id", "degree")
-    own = components(links).withColumnRenamed("node", "doc_id")
-    placed = tested.drop("degree").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = staged(_mixed(placed, by), "near-left")
-    if placed.isEmpty():  # what is no longer open may still be of another component than the rest of its bucket
+        tested = tested or done
+        tally = done.agg(F.count(F.lit(1)), F.count_if(F.col("likeness") >= SIMILAR)).first()
+        if tally[1]:
+            own = components(links).withColumnRenamed("node", "doc_id")
+            placed = placed.select("band", "key", "doc_id", "degree").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+            placed = _mixed(placed, ["band", "key"])
+        if tally[1] <= WORTH * tally[0]:
+            break
+        turn += 1
+    left = staged(placed.select("doc_id", "component").distinct(), "near-left")
+    if left.isEmpty():
         return links
-    fine = staged(fine_signatures(texts.join(placed.select("doc_id").distinct(), "doc_id", "left_semi"), idf), "near-fine")
-    by = [*by, "part", "part_key"]
+    # Distance to the first turn's pivot; a pivot's own is 0.
+    far = tested.select(F.col("b").alias("doc_id"), F.col("a").alias("pivot"), (1 - F.col("likeness")).alias("far"))
+    far = far.unionByName(tested.select(F.col("a").alias("doc_id"), F.col("a").alias("pivot"), F.lit(0.0).alias("far")).distinct())
+    far = far.groupBy("doc_id").agg(F.min(F.struct("far", "pivot")).alias("known"))
+    fine = staged(fine_signatures(texts.join(left.select("doc_id"), "doc_id", "left_semi"), idf), "near-fine")
+    parts = left.join(fine.select("doc_id", F.posexplode("parts").alias("part", "part_key")), "doc_id")
+    parts = _mixed(staged(parts, "near-parts"), ["part", "part_key"]).join(far, "doc_id", "left")
+    parts = staged(parts.join(fine.drop("parts"), "doc_id"), "near-some")
     # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
-    placed = _mixed(staged(_divided(placed, fine), "near-placed"), by)
-    placed = placed.join(signature, "doc_id").join(fine.drop("parts"), "doc_id")
-    some = placed.where(F.col("component") != F.col("main")).select(
-        *by, F.col("doc_id").alias("x"), F.col("far").alias("far_x"), F.col("component").alias("cx"), F.col("signature").alias("one"), F.col("fine").alias("fine_one")
-    )
-    every = placed.select(
-        *by, F.col("doc_id").alias("y"), F.col("far").alias("far_y"), F.col("component").alias("cy"), F.col("signature").alias("two"), F.col("fine").alias("fine_two"), "main"
+    some = parts.where(F.col("component") != F.col("main")).select(
+        "part", "part_key", F.col("doc_id").alias("x"), F.col("known").alias("known_x"), F.col("component").alias("cx"), F.col("fine").alias("fine_one")
     )
-    some, every = staged(some, "near-some"), staged(every, "near-every")
-    can = F.coalesce(F.abs(F.col("far_x") - F.col("far_y")) <= 1 - SIMILAR + 1e-9, F.lit(True))
-    once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
-    alike = (agreeing("one", "two") >= AGREE) & (agreeing("fine_one", "fine_two", FINE) >= FINE_AGREE)
-    same = F.lit(True)
-    for c in by:
-        same = same & some[c].eqNullSafe(every[c])
-    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & can & once & alike)
+    every = parts.select(
+        F.col("part").alias("part_y"), F.col("part_key").alias("key_y"), F.col("doc_id").alias("y"), F.col("known").alias("known_y"),
+        F.col("component").alias("cy"), F.col("fine").alias("fine_two"), F.col("main").alias("main_y"),
+    )
+    apart = (F.col("known_x.pivot") == F.col("known_y.pivot")) & (F.abs(F.col("known_x.far") - F.col("known_y.far")) > 1 - SIMILAR + 1e-9)
+    once = (F.col("cy") == F.col("main_y")) | (F.col("x") < F.col("y"))
+    alike = agreeing("fine_one", "fine_two", FINE) >= FINE_AGREE
+    same = (F.col("part") == F.col("part_y")) & (F.col("part_key") == F.col("key_y"))
+    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & once & ~F.coalesce(apart, F.lit(False)) & alike)
     rest = staged(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-rest")
     late = compared(rest, texts, idf).where(F.col("likeness") >= SIMILAR).select("a", "b")
     return links.unionByName(staged(late, "near-late"))
 
 
 def _mixed(placed: DataFrame, by: list[str]) -> DataFrame:
-    """The rows of buckets with several components; adds the largest of them and the number of rows."""
-    sizes = placed.groupBy(*by, "component").count()
-    main = sizes.groupBy(by).agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("rows"))
-    return placed.join(main.where("parts > 1").select(*by, F.col("m.component").alias("main"), "rows"), by)
-
-
-def _divided(placed: DataFrame, fine: DataFrame) -> DataFrame:
-    """Adds part and part_key: the texts of all buckets of over ``LARGE`` go to buckets of their own, by the keys of their fine samples."""
-    kept = ["band", "key", "doc_id", "far", "component"]
-    small = placed.where(F.col("rows") <= LARGE).select(*kept, F.lit(-1).alias("part"), F.lit(0).cast("long").alias("part_key"))
-    large = placed.where(F.col("rows") > LARGE).select("doc_id", "component").distinct().join(fine, "doc_id")
-    large = large.select("doc_id", "component", F.posexplode("parts").alias("part", "part_key")).distinct()
-    apart = {"band": F.lit(-1), "key": F.lit(0).cast("long"), "far": F.lit(None).cast("double")}
-    return small.unionByName(large.withColumns(apart))
+    """The rows of buckets with several components; adds the largest of them (of equals the one with the highest degree)."""
+    most = F.max("degree") if "degree" in placed.columns else F.lit(0)
+    sizes = placed.groupBy(*by, "component").agg(F.count(F.lit(1)).alias("size"), most.alias("most"))
+    largest = F.max(F.struct("size", "most", (-F.col("component")).alias("minus"))).alias("largest")
+    main = sizes.groupBy(by).agg(largest, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return placed.join(main.select(*by, (-F.col("largest.minus")).alias("main")), by)
+
+
+def _one_pivot_each(placed: DataFrame, turn: int) -> DataFrame:
+    """a, b: a pivot for every text that is not of its bucket's largest component, of its buckets' pivots the one it meets most often."""
+    by = ["band", "key"]
+    order = F.col("degree") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+    best = F.max(F.struct(order.alias("order"), (-F.col("doc_id")).alias("minus"))).alias("best")
+    pivot = placed.where(F.col("component") == F.col("main")).groupBy(by).agg(best).select(*by, (-F.col("best.minus")).alias("a"))
+    met = placed.where(F.col("component") != F.col("main")).join(pivot, by).groupBy(F.col("doc_id").alias("b"), "a").agg(F.count(F.lit(1)).alias("times"))
+    most = met.groupBy("b").agg(F.max(F.struct("times", (-F.col("a")).alias("minus"))).alias("most"))
+    return most.select((-F.col("most.minus")).alias("a"), "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

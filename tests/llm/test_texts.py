@@ -169,8 +169,7 @@ def test_a_chain_is_linked_when_its_pivots_leave_nothing_open(spark):
 @pytest.mark.parametrize("seed", [8397, 9267])
 def test_a_large_bucket_asks_for_no_second_band(spark, monkeypatch, seed):
     """2 and 3 are linked and share one band only, with 1, the pivot, which is linked to neither."""
-    monkeypatch.setattr(minhash, "LARGE", 2)
-    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "WORTH", 2.0)  # one turn only: the rest meets by fine keys
     rows = edited(seed, 4, 0, 3)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
@@ -178,14 +177,40 @@ def test_a_large_bucket_asks_for_no_second_band(spark, monkeypatch, seed):
 
 
 def test_divided_buckets_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "LARGE", 3)
-    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "WORTH", 2.0)
     rows = [(100 * g + d, *rest) for g in range(6) for d, *rest in edited(g, *range(1, 16), *range(1, 16))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
     assert got == brute_classes(rows)
 
 
+def counted_comparisons(spark, monkeypatch, n: int, unrelated: int) -> tuple[int, dict, list]:
+    """Exact comparisons, classes and rows for n near copies of a text that is not there, and unrelated texts beside them."""
+    rows = [(d, *rest) for d, *rest in edited(7, *[4] * n)]
+    rng = random.Random(8)
+    rows += [(10_000 + i, words(rng, 100), "en", "s") for i in range(unrelated)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    real, seen = minhash.compared, []
+
+    def counting(pairs, texts, idf):
+        pairs = minhash.staged(pairs, "counted")
+        seen.append(pairs.count())
+        return real(pairs, texts, idf)
+
+    monkeypatch.setattr(minhash, "compared", counting)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    monkeypatch.setattr(minhash, "compared", real)
+    return sum(seen), got, rows
+
+
+@pytest.mark.parametrize("unrelated", [10, 400])
+def test_comparisons_grow_with_the_group_not_with_its_square(spark, monkeypatch, unrelated):
+    few, classes, rows = counted_comparisons(spark, monkeypatch, 200, unrelated)
+    assert classes == brute_classes(rows)
+    many, _, _ = counted_comparisons(spark, monkeypatch, 400, unrelated)
+    assert few < 200 * 8 and many < 2.6 * few, (few, many)
+
+
 def test_weighted_samples_agree_by_likeness():
     rng = np.random.default_rng(4)
     shingle = np.sort(rng.integers(0, 2**63, 400, dtype=np.uint64))
