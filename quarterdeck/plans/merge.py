@@ -45,6 +45,8 @@ class Merged:
     duplicates: int = 0
     rewritten: tuple[int, ...] = ()
     extended: tuple[int, ...] = ()
+    #: Keys of inserted and updated rows, where there are any.
+    changed: DataFrame | None = None
 
 
 def _hash(keys: Sequence[str]) -> Column:
@@ -69,13 +71,13 @@ def words_for(rows: int) -> int:
     return 1 << max(4, (2 * rows // KEYS_PER_WORD).bit_length())
 
 
-def write_keys(draft: Draft, name: str, pieces: Sequence[Piece], key: tuple[str, ...], buckets: int, words: int) -> tuple[Piece, ...]:
+def write_keys(draft: Draft, pieces: Sequence[Piece], key: tuple[str, ...], deal: tuple[str, ...], buckets: int, words: int) -> tuple[Piece, ...]:
     """Give new pieces (one written folder) their key bits."""
     if not pieces:
         return ()
     folder = pieces[0].path.rsplit("/", 1)[0]
     rows = rows_of(draft.spark, draft.store.root, Table({k: pieces[0].columns[k] for k in key}), [replace(p, columns={k: p.columns[k] for k in key}) for p in pieces])
-    bits = rows.groupBy(bucket_of(key, buckets).alias(BUCKET), key_word(key, words).alias("word")).agg(F.bit_or(key_mask(key)).alias("bits"))
+    bits = rows.groupBy(bucket_of(deal, buckets).alias(BUCKET), key_word(key, words).alias("word")).agg(F.bit_or(key_mask(key)).alias("bits"))
     bits.repartition(BUCKET).sortWithinPartitions(BUCKET, "word").write.partitionBy(BUCKET).parquet(f"{draft.store.root}/{folder}-keys")
     draft.written.append(f"{folder}-keys")
     return tuple(replace(p, keys=f"{folder}-keys/{BUCKET}={p.bucket}") for p in pieces)
@@ -89,12 +91,12 @@ def stored_words(draft: Draft, pieces: Sequence[Piece]) -> DataFrame:
     return words.select(bucket.alias(BUCKET), "word", "bits")
 
 
-def create(draft: Draft, name: str, df: DataFrame, key: Sequence[str], buckets: int) -> Table:
-    """A keyed table of rows whose keys are unique."""
-    key = tuple(key)
-    pieces = draft.write_pieces(name, df, key, buckets)
+def create(draft: Draft, name: str, df: DataFrame, key: Sequence[str], buckets: int, deal_by: Sequence[str] = ()) -> Table:
+    """A keyed table of rows whose keys are unique, dealt to buckets by the key or by some columns of it."""
+    key, deal = tuple(key), tuple(deal_by or key)
+    pieces = draft.write_pieces(name, df, deal, buckets, key)
     words = words_for(max((p.rows for p in pieces), default=0))
-    table = Table(types_of(df), write_keys(draft, name, pieces, key, buckets, words), key, buckets, words)
+    table = Table(types_of(df), write_keys(draft, pieces, key, deal, buckets, words), key, buckets, words, deal)
     return draft.set(name, table)
 
 
@@ -117,25 +119,29 @@ def _widened(draft: Draft, name: str, table: Table, target: Mapping[str, str]) -
     """The stored table under new columns; dealt anew only if a key column changes in a way that changes its text."""
     if any(table.columns[k] != target[k] and target[k] != "string" and not {table.columns[k], target[k]} <= set(WHOLE) for k in table.key):
         rows = draft.read(name)
-        return create(draft, name, rows.select(*as_types(rows, target)), table.key, table.buckets)
+        return create(draft, name, rows.select(*as_types(rows, target)), table.key, table.buckets, table.deal)
     return replace(table, columns=dict(target))
 
 
-def merge_rows(draft: Draft, name: str, df: DataFrame, key: Sequence[str] = ("ticker", "report_date"), buckets: int = 32) -> Merged:
-    """Insert or update ``df``'s rows by key; a missing table is created with ``buckets`` buckets. See the module."""
+def merge_rows(draft: Draft, name: str, df: DataFrame, key: Sequence[str] = ("ticker", "report_date"), buckets: int = 32, deal_by: Sequence[str] = ()) -> Merged:
+    """Insert or update ``df``'s rows by key; a missing table is created with ``buckets`` buckets. See the module.
+
+    ``deal_by`` names the key columns whose hash gives the bucket (all by default). Dealing by ticker alone keeps a ticker's reports together; a
+    ticker then fills at most one row per report date of one bucket.
+    """
     spark, root = draft.spark, draft.store.root
     table = draft.tables.get(name)
     key = table.key if table else tuple(key)
     lacking = [k for k in key if k not in df.columns]
-    if lacking or (table and not table.buckets):
+    if lacking or (table and not table.words):
         raise ValueError(f"{name}: " + (f"key columns missing: {lacking}" if lacking else "the table has no key"))
     batch = _staged(one_per_key(df, key), f"{name}-batch")
     total = batch.agg(F.sum("__rows"), F.count(F.lit(1))).first()
     duplicates = (total[0] or 0) - total[1]
     batch = batch.drop("__rows")
     if table is None:
-        created = create(draft, name, batch, key, buckets)
-        return Merged(inserted=created.rows, duplicates=duplicates, extended=tuple(p.bucket for p in created.pieces))
+        created = create(draft, name, batch, key, buckets, deal_by)
+        return Merged(inserted=created.rows, duplicates=duplicates, extended=tuple(p.bucket for p in created.pieces), changed=batch.select(*key) if created.rows else None)
     target = merged_types(table.columns, types_of(batch))
     if target != table.columns:
         stored = rows_of(spark, root, table)
@@ -143,7 +149,7 @@ def merge_rows(draft: Draft, name: str, df: DataFrame, key: Sequence[str] = ("ti
     before = table
     table = _widened(draft, name, table, target)
     own = batch.columns
-    batch = batch.select(*as_types(batch, target)).withColumn(BUCKET, bucket_of(key, table.buckets))
+    batch = batch.select(*as_types(batch, target)).withColumn(BUCKET, bucket_of(table.deal, table.buckets))
     touched = {r[0] for r in batch.select(BUCKET).distinct().collect()}
 
     # Keys whose bits are not all set are new.
@@ -178,7 +184,8 @@ def merge_rows(draft: Draft, name: str, df: DataFrame, key: Sequence[str] = ("ti
     full = {p.bucket for p in near if sum(q.rows for q in table.pieces if q.bucket == p.bucket) > 2 * table.words * KEYS_PER_WORD}
     rewritten = sorted({b for b, k in counts if k == "changed"})
     extended = sorted({b for b, k in counts if k == "new"} - set(rewritten))
-    result = Merged(of("new"), of("changed"), of("same"), duplicates, tuple(rewritten), tuple(extended))
+    news = sorted_out.where(F.col("__kind") != "same").select(*[F.col(f"`{k}`") for k in key]) if rewritten or extended else None
+    result = Merged(of("new"), of("changed"), of("same"), duplicates, tuple(rewritten), tuple(extended), news)
     if not rewritten and not extended:
         if table != before:
             draft.set(name, table)
@@ -188,9 +195,9 @@ def merge_rows(draft: Draft, name: str, df: DataFrame, key: Sequence[str] = ("ti
         kept = rows_of(spark, root, table, [p for p in table.pieces if p.bucket in rewritten])
         gone = sorted_out.where(F.col("__kind") == "changed").select(*[F.col(f"`{k}`").alias(f"__key{i}") for i, k in enumerate(key)])
         fresh = fresh.unionByName(kept.join(gone, same_key, "left_anti"))
-    pieces = write_keys(draft, name, draft.write_pieces(name, fresh, key, table.buckets), key, table.buckets, table.words)
+    pieces = write_keys(draft, draft.write_pieces(name, fresh, table.deal, table.buckets, key), key, table.deal, table.buckets, table.words)
     left = tuple(p for p in table.pieces if p.bucket not in rewritten)
     table = draft.set(name, replace(table, pieces=left + pieces))
     if full:  # the words are crowded: deal the whole table anew with more of them
-        create(draft, name, draft.read(name), key, table.buckets)
+        create(draft, name, draft.read(name), key, table.buckets, table.deal)
     return result

@@ -55,6 +55,7 @@ class Table:
     key: tuple[str, ...] = ()
     buckets: int | None = None
     words: int | None = None  # of the key bits, a bucket
+    deal: tuple[str, ...] = ()  # columns whose hash gives a row's bucket
 
     @property
     def rows(self) -> int:
@@ -69,13 +70,13 @@ class Release:
     published_at: float = 0.0
 
     def to_json(self) -> str:
-        tables = {n: {"columns": t.columns, "key": t.key, "buckets": t.buckets, "words": t.words, "pieces": [vars(p) for p in t.pieces]} for n, t in self.tables.items()}
+        tables = {n: {"columns": t.columns, "key": t.key, "buckets": t.buckets, "words": t.words, "deal": t.deal, "pieces": [vars(p) for p in t.pieces]} for n, t in self.tables.items()}
         return json.dumps({"number": self.number, "note": self.note, "published_at": self.published_at, "tables": tables})
 
     @staticmethod
     def from_json(text: str) -> Release:
         raw = json.loads(text)
-        tables = {n: Table(t["columns"], tuple(Piece(**p) for p in t["pieces"]), tuple(t["key"]), t["buckets"], t["words"]) for n, t in raw["tables"].items()}
+        tables = {n: Table(t["columns"], tuple(Piece(**p) for p in t["pieces"]), tuple(t["key"]), t["buckets"], t["words"], tuple(t["deal"])) for n, t in raw["tables"].items()}
         return Release(raw["number"], tables, raw["note"], raw["published_at"])
 
 
@@ -254,25 +255,31 @@ class Draft:
     def put(self, name: str, df: DataFrame, key: Sequence[str] = (), buckets: int | None = None, sort_by: Sequence[str] = ()) -> Table:
         """Replace a table by ``df``. With ``buckets`` rows are divided by a hash of ``key``."""
         pieces = self.write_pieces(name, df, tuple(key), buckets, sort_by)
-        return self.set(name, Table(types_of(df), pieces, tuple(key), buckets))
+        return self.set(name, Table(types_of(df), pieces, tuple(key), buckets, deal=tuple(key)))
 
     def set(self, name: str, table: Table) -> Table:
         self.tables[name] = table
         self.touched.add(name)
         return table
 
-    def write_pieces(self, name: str, df: DataFrame, key: tuple[str, ...] = (), buckets: int | None = None, sort_by: Sequence[str] = ()) -> tuple[Piece, ...]:
-        """Write rows to a folder of this draft's own and return it as pieces, one for each bucket that has rows."""
+    def write_pieces(
+        self, name: str, df: DataFrame, key: tuple[str, ...] = (), buckets: int | None = None, sort_by: Sequence[str] = (), place: Column | None = None
+    ) -> tuple[Piece, ...]:
+        """Write rows to a folder of this draft's own and return it as pieces, one for each bucket that has rows.
+
+        Rows are dealt by a hash of ``key``, or to the numbers that ``place`` gives.
+        """
         if BUCKET in df.columns:
             raise ValueError(f"no column may be called {BUCKET}")
         columns, folder = types_of(df), f"data/{name}/{uuid.uuid4().hex}"
         self.written.append(folder)
-        if not buckets:
+        if not buckets and place is None:
             seen = Observation()
             out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
             (out.sortWithinPartitions(*sort_by) if sort_by else out).write.parquet(f"{self.store.root}/{folder}")
             return (Piece(folder, seen.get["rows"], columns),)
-        placed = df.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET).sortWithinPartitions(BUCKET, *(sort_by or key))
+        number = bucket_of(key, buckets) if place is None else place
+        placed = df.withColumn(BUCKET, number).repartition(BUCKET).sortWithinPartitions(BUCKET, *(sort_by or key))
         placed.write.partitionBy(BUCKET).parquet(f"{self.store.root}/{folder}")
         schema = ", ".join([*(f"`{c}` {t}" for c, t in columns.items()), f"`{BUCKET}` int"])
         found = self.spark.read.schema(schema).parquet(f"{self.store.root}/{folder}").groupBy(BUCKET).count().collect()  # a row per bucket, from the footers

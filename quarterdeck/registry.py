@@ -25,6 +25,7 @@ from quarterdeck.operators.ranking import latest_per_key
 from quarterdeck.plans.export import export_documents
 from quarterdeck.plans.storage import remove_on_exit, staging_path
 from quarterdeck.plans.tables import load_directory, write_partitioned
+from quarterdeck.registry_stored import STORED_QUERIES
 from quarterdeck.schemas import FULL_PROFILE_ATTRIBUTES
 from quarterdeck.sources import delimited as DL
 from quarterdeck.sources import documents as DOC
@@ -504,3 +505,4 @@ QUERIES.update(
         "latest_with_duplicates": q_latest_with_duplicates,
     }
 )
+QUERIES.update(STORED_QUERIES)
