@@ -262,6 +262,17 @@ def q_quarterly_long(spark, sf_dir):
     return long.withColumn("value", try_double("value"))
 
 
+def q_profile_records(spark, sf_dir):
+    """Profile records of the second provider: numbers with 17 digits, ratios and text under their own types."""
+    info = _st(spark, sf_dir)["company_info"]
+    n = F.col("fullTimeEmployees").cast("bigint")
+    profile = info.select(
+        "ticker", "report_date", n.alias("Full Time Employees"), (n + F.lit(2**53 + 1)).alias("Overall Risk"), (n * 1.5).alias("Market Cap"), F.col("sector").alias("Sector")
+    )
+    items = ["Full_Time_Employees", "Overall_Risk", "Market_Cap", "Sector"]
+    return RS.statement_wide(RS.records_long(_record_docs(spark, {"profile": profile}), "profile"), items, "profile")
+
+
 def q_section_errors(spark, sf_dir):
     """Balance sheets of every second company could not be fetched; their sections hold an error object."""
     bal = DOC.record_documents({"balance_sheet": _st(spark, sf_dir)["balance"]})
@@ -495,6 +506,7 @@ QUERIES.update(
         "profile_full": q_profile_full,
         "documents_without_ticker": q_documents_without_ticker,
         "quarterly_long": q_quarterly_long,
+        "profile_records": q_profile_records,
         "section_errors": q_section_errors,
         "json_counts": q_json_counts,
         "export_statements": q_export_statements,

@@ -127,80 +127,221 @@ RECORD_DOCUMENT_SCHEMA = T.StructType(
 )
 
 
+# Types in the second provider's profile records; its other attributes are text.
+PROFILE_RECORD_TYPES = {
+    "Full_Time_Employees": "bigint",
+    "Full_time_Employees": "bigint",
+    "Market_Cap": "double",
+    "Market_Capitalization": "double",
+    "Revenue_Per_Share": "double",
+    "Profit_Margin": "double",
+    "Payout_Ratio": "double",
+    "Return_On_Equity": "double",
+    "Return_On_Assets": "double",
+    "Debt_To_Equity": "double",
+    "Current_Ratio": "double",
+    "Quick_Ratio": "double",
+    "Book_Value": "double",
+    "Audit_Risk": "bigint",
+    "Board_Risk": "bigint",
+    "Compensation_Risk": "bigint",
+    "Shareholder_Rights_Risk": "bigint",
+    "Overall_Risk": "bigint",
+}
+
+
 def item_type(section: str, item: str) -> str:
+    if section == "profile":
+        return PROFILE_RECORD_TYPES.get(item, "string")
     base = QUARTERLY_STATEMENTS.get(section, section)
     return "bigint" if item in LONG_ITEMS.get(base, ()) else "double"
 
 
-# All attributes of a company profile, in the provider's order.
-FULL_PROFILE_NAMES = """
-address1 city state zip country phone website industry industryKey industryDisp sector sectorKey sectorDisp
-longBusinessSummary fullTimeEmployees auditRisk boardRisk compensationRisk shareHolderRightsRisk overallRisk
-governanceEpochDate compensationAsOfEpochDate irWebsite executiveTeam maxAge priceHint previousClose open dayLow
-dayHigh regularMarketPreviousClose regularMarketOpen regularMarketDayLow regularMarketDayHigh dividendRate
-dividendYield exDividendDate payoutRatio fiveYearAvgDividendYield beta trailingPE forwardPE volume regularMarketVolume
-averageVolume averageVolume10days averageDailyVolume10Day bid ask bidSize askSize marketCap nonDilutedMarketCap
-fiftyTwoWeekLow fiftyTwoWeekHigh allTimeHigh allTimeLow priceToSalesTrailing12Months fiftyDayAverage
-twoHundredDayAverage trailingAnnualDividendRate trailingAnnualDividendYield currency tradeable enterpriseValue
-profitMargins floatShares sharesOutstanding sharesShort sharesShortPriorMonth sharesShortPreviousMonthDate
-dateShortInterest sharesPercentSharesOut heldPercentInsiders heldPercentInstitutions shortRatio shortPercentOfFloat
-impliedSharesOutstanding bookValue priceToBook lastFiscalYearEnd nextFiscalYearEnd mostRecentQuarter
-earningsQuarterlyGrowth netIncomeToCommon trailingEps forwardEps lastSplitFactor lastSplitDate enterpriseToRevenue
-enterpriseToEbitda 52WeekChange SandP52WeekChange lastDividendValue lastDividendDate quoteType currentPrice
-targetHighPrice targetLowPrice targetMeanPrice targetMedianPrice recommendationMean recommendationKey
-numberOfAnalystOpinions totalCash totalCashPerShare ebitda totalDebt quickRatio currentRatio totalRevenue debtToEquity
-revenuePerShare returnOnAssets returnOnEquity grossProfits freeCashflow operatingCashflow earningsGrowth revenueGrowth
-grossMargins ebitdaMargins operatingMargins financialCurrency symbol language region typeDisp quoteSourceName
-triggerable customPriceAlertConfidence postMarketTime regularMarketTime exchange messageBoardId exchangeTimezoneName
-exchangeTimezoneShortName gmtOffSetMilliseconds market esgPopulated regularMarketChangePercent regularMarketPrice
-cryptoTradeable earningsTimestamp earningsTimestampStart earningsTimestampEnd earningsCallTimestampStart
-earningsCallTimestampEnd isEarningsDateEstimate epsTrailingTwelveMonths epsForward epsCurrentYear priceEpsCurrentYear
-fiftyDayAverageChange fiftyDayAverageChangePercent twoHundredDayAverageChange twoHundredDayAverageChangePercent
-sourceInterval exchangeDataDelayedBy averageAnalystRating hasPrePostMarketData firstTradeDateMilliseconds
-postMarketChangePercent postMarketPrice postMarketChange regularMarketChange regularMarketDayRange fullExchangeName
-averageDailyVolume3Month fiftyTwoWeekLowChange fiftyTwoWeekLowChangePercent fiftyTwoWeekRange fiftyTwoWeekHighChange
-fiftyTwoWeekHighChangePercent fiftyTwoWeekChangePercent dividendDate shortName longName corporateActions marketState
-displayName trailingPegRatio
-""".split()
-
-# Which of them are whole numbers, which are numbers and which are flags; the rest is text.
-_PROFILE_BIGINT = """
-fullTimeEmployees auditRisk boardRisk compensationRisk shareHolderRightsRisk overallRisk governanceEpochDate
-compensationAsOfEpochDate maxAge priceHint exDividendDate volume regularMarketVolume averageVolume averageVolume10days
-averageDailyVolume10Day bidSize askSize marketCap nonDilutedMarketCap enterpriseValue floatShares sharesOutstanding
-sharesShort sharesShortPriorMonth sharesShortPreviousMonthDate dateShortInterest impliedSharesOutstanding
-lastFiscalYearEnd nextFiscalYearEnd mostRecentQuarter netIncomeToCommon lastSplitDate lastDividendDate
-numberOfAnalystOpinions totalCash ebitda totalDebt totalRevenue grossProfits freeCashflow operatingCashflow
-postMarketTime regularMarketTime gmtOffSetMilliseconds earningsTimestamp earningsTimestampStart earningsTimestampEnd
-earningsCallTimestampStart earningsCallTimestampEnd sourceInterval exchangeDataDelayedBy firstTradeDateMilliseconds
-averageDailyVolume3Month dividendDate
-""".split()
-_PROFILE_DOUBLE = """
-previousClose open dayLow dayHigh regularMarketPreviousClose regularMarketOpen regularMarketDayLow
-regularMarketDayHigh dividendRate dividendYield payoutRatio fiveYearAvgDividendYield beta trailingPE forwardPE bid ask
-fiftyTwoWeekLow fiftyTwoWeekHigh allTimeHigh allTimeLow priceToSalesTrailing12Months fiftyDayAverage
-twoHundredDayAverage trailingAnnualDividendRate trailingAnnualDividendYield profitMargins sharesPercentSharesOut
-heldPercentInsiders heldPercentInstitutions shortRatio shortPercentOfFloat bookValue priceToBook
-earningsQuarterlyGrowth trailingEps forwardEps enterpriseToRevenue enterpriseToEbitda 52WeekChange SandP52WeekChange
-lastDividendValue currentPrice targetHighPrice targetLowPrice targetMeanPrice targetMedianPrice recommendationMean
-totalCashPerShare quickRatio currentRatio debtToEquity revenuePerShare returnOnAssets returnOnEquity earningsGrowth
-revenueGrowth grossMargins ebitdaMargins operatingMargins regularMarketChangePercent regularMarketPrice
-epsTrailingTwelveMonths epsForward epsCurrentYear priceEpsCurrentYear fiftyDayAverageChange
-fiftyDayAverageChangePercent twoHundredDayAverageChange twoHundredDayAverageChangePercent postMarketChangePercent
-postMarketPrice postMarketChange regularMarketChange fiftyTwoWeekLowChange fiftyTwoWeekLowChangePercent
-fiftyTwoWeekHighChange fiftyTwoWeekHighChangePercent fiftyTwoWeekChangePercent trailingPegRatio
-""".split()
-_PROFILE_BOOLEAN = """
-tradeable triggerable esgPopulated cryptoTradeable isEarningsDateEstimate hasPrePostMarketData
-""".split()
-
-
-def profile_type(name: str) -> str:
-    for kind, names in (("bigint", _PROFILE_BIGINT), ("double", _PROFILE_DOUBLE), ("boolean", _PROFILE_BOOLEAN)):
-        if name in names:
-            return kind
-    return "string"
-
+# All attributes of a company profile with their types, in the provider's order.
+FULL_PROFILE = """
+address1 string
+city string
+state string
+zip string
+country string
+phone string
+website string
+industry string
+industryKey string
+industryDisp string
+sector string
+sectorKey string
+sectorDisp string
+longBusinessSummary string
+fullTimeEmployees bigint
+auditRisk bigint
+boardRisk bigint
+compensationRisk bigint
+shareHolderRightsRisk bigint
+overallRisk bigint
+governanceEpochDate bigint
+compensationAsOfEpochDate bigint
+irWebsite string
+executiveTeam string
+maxAge bigint
+priceHint bigint
+previousClose double
+open double
+dayLow double
+dayHigh double
+regularMarketPreviousClose double
+regularMarketOpen double
+regularMarketDayLow double
+regularMarketDayHigh double
+dividendRate double
+dividendYield double
+exDividendDate bigint
+payoutRatio double
+fiveYearAvgDividendYield double
+beta double
+trailingPE double
+forwardPE double
+volume bigint
+regularMarketVolume bigint
+averageVolume bigint
+averageVolume10days bigint
+averageDailyVolume10Day bigint
+bid double
+ask double
+bidSize bigint
+askSize bigint
+marketCap bigint
+nonDilutedMarketCap bigint
+fiftyTwoWeekLow double
+fiftyTwoWeekHigh double
+allTimeHigh double
+allTimeLow double
+priceToSalesTrailing12Months double
+fiftyDayAverage double
+twoHundredDayAverage double
+trailingAnnualDividendRate double
+trailingAnnualDividendYield double
+currency string
+tradeable boolean
+enterpriseValue bigint
+profitMargins double
+floatShares bigint
+sharesOutstanding bigint
+sharesShort bigint
+sharesShortPriorMonth bigint
+sharesShortPreviousMonthDate bigint
+dateShortInterest bigint
+sharesPercentSharesOut double
+heldPercentInsiders double
+heldPercentInstitutions double
+shortRatio double
+shortPercentOfFloat double
+impliedSharesOutstanding bigint
+bookValue double
+priceToBook double
+lastFiscalYearEnd bigint
+nextFiscalYearEnd bigint
+mostRecentQuarter bigint
+earningsQuarterlyGrowth double
+netIncomeToCommon bigint
+trailingEps double
+forwardEps double
+lastSplitFactor string
+lastSplitDate bigint
+enterpriseToRevenue double
+enterpriseToEbitda double
+52WeekChange double
+SandP52WeekChange double
+lastDividendValue double
+lastDividendDate bigint
+quoteType string
+currentPrice double
+targetHighPrice double
+targetLowPrice double
+targetMeanPrice double
+targetMedianPrice double
+recommendationMean double
+recommendationKey string
+numberOfAnalystOpinions bigint
+totalCash bigint
+totalCashPerShare double
+ebitda bigint
+totalDebt bigint
+quickRatio double
+currentRatio double
+totalRevenue bigint
+debtToEquity double
+revenuePerShare double
+returnOnAssets double
+returnOnEquity double
+grossProfits bigint
+freeCashflow bigint
+operatingCashflow bigint
+earningsGrowth double
+revenueGrowth double
+grossMargins double
+ebitdaMargins double
+operatingMargins double
+financialCurrency string
+symbol string
+language string
+region string
+typeDisp string
+quoteSourceName string
+triggerable boolean
+customPriceAlertConfidence string
+postMarketTime bigint
+regularMarketTime bigint
+exchange string
+messageBoardId string
+exchangeTimezoneName string
+exchangeTimezoneShortName string
+gmtOffSetMilliseconds bigint
+market string
+esgPopulated boolean
+regularMarketChangePercent double
+regularMarketPrice double
+cryptoTradeable boolean
+earningsTimestamp bigint
+earningsTimestampStart bigint
+earningsTimestampEnd bigint
+earningsCallTimestampStart bigint
+earningsCallTimestampEnd bigint
+isEarningsDateEstimate boolean
+epsTrailingTwelveMonths double
+epsForward double
+epsCurrentYear double
+priceEpsCurrentYear double
+fiftyDayAverageChange double
+fiftyDayAverageChangePercent double
+twoHundredDayAverageChange double
+twoHundredDayAverageChangePercent double
+sourceInterval bigint
+exchangeDataDelayedBy bigint
+averageAnalystRating string
+hasPrePostMarketData boolean
+firstTradeDateMilliseconds bigint
+postMarketChangePercent double
+postMarketPrice double
+postMarketChange double
+regularMarketChange double
+regularMarketDayRange string
+fullExchangeName string
+averageDailyVolume3Month bigint
+fiftyTwoWeekLowChange double
+fiftyTwoWeekLowChangePercent double
+fiftyTwoWeekRange string
+fiftyTwoWeekHighChange double
+fiftyTwoWeekHighChangePercent double
+fiftyTwoWeekChangePercent double
+dividendDate bigint
+shortName string
+longName string
+corporateActions string
+marketState string
+displayName string
+trailingPegRatio double
+"""
 
 #: (attribute, type, column name) of the full profile.
-FULL_PROFILE_ATTRIBUTES = [(n, profile_type(n), clean_name(n)) for n in FULL_PROFILE_NAMES]
+FULL_PROFILE_ATTRIBUTES = [(n, t, clean_name(n)) for n, t in (line.split() for line in FULL_PROFILE.strip().splitlines())]

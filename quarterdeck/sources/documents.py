@@ -87,6 +87,12 @@ def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def _value(df: DataFrame, name: str) -> Column:
+    """A cell as text: whole numbers and text as they are (a double would lose digits above 2^53), other numbers as doubles."""
+    kind, c = dict(df.dtypes)[name], F.col(f"`{name}`")
+    return c.cast("string") if kind in ("tinyint", "smallint", "int", "bigint", "string") else c.cast("double").cast("string")
+
+
 def _date() -> Column:
     return _text(F.date_format("report_date", "yyyy-MM-dd"))
 
@@ -118,7 +124,7 @@ def map_documents(
     for section, df in statements.items():
         items = [c for c in df.columns if c not in ("ticker", "report_date")]
         # A report is one row in the shuffle: its date and its cells.
-        row = F.struct(_date().alias("date"), F.array(*[_text(F.col(c).cast("double")) for c in items]).alias("cells"))
+        row = F.struct(_date().alias("date"), F.array(*[_text(_value(df, c)) for c in items]).alias("cells"))
         per = df.select(*_by(split_years), row.alias("row")).groupBy(*keys).agg(F.array_sort(F.collect_list("row")).alias("rows"))
         rows = F.col("rows")
         once = F.filter(rows, lambda r, i: F.coalesce(F.get(rows, i + 1)["date"] != r["date"], F.lit(True)))
@@ -149,7 +155,7 @@ def record_documents(statements: Mapping[str, DataFrame], source: str = "provide
         kv: list[Column] = [F.lit("date"), _date(), F.lit("calendarYear"), F.year("report_date").cast("string")]
         for c in df.columns:
             if c not in ("ticker", "report_date"):
-                kv += [F.lit(c), F.col(c).cast("double").cast("string")]
+                kv += [F.lit(c), _value(df, c)]
         part = df.select(*_by(split_years), F.lit(section).alias("section"), F.create_map(*kv).alias("rec"))
         parts = part if parts is None else parts.unionByName(part)
     docs = parts.groupBy("ticker", *(["_year"] if split_years else [])).agg(
