@@ -172,48 +172,54 @@ class Matcher:
         words, n = np.unique(self.shingler.words([text])[1], return_counts=True)
         return words, n * self.idf[cells(words)]
 
-    def candidates(self, text: str) -> list[tuple[int, str]]:
-        """(number of the first line, text) of lines, of blocks between empty lines, and of the whole text."""
-        lines = text.split("\n")
-        out = [(i, line) for i, line in enumerate(lines) if line.strip()]
-        at = 0
-        for block in re.split(r"\n[^\S\n]*\n", text):
-            if "\n" in block.strip("\n"):
-                out.append((at, block))
-            at += block.count("\n") + 2
-        return [*out, *self.windows(lines), (0, text)] if len(lines) > 1 else out
-
-    def windows(self, lines: list[str]) -> list[tuple[int, str]]:
-        """Runs of two or more lines that hold a template's number of words, with or without the line that exceeds it.
+    def candidates(self, text: str, lines: list[str], words: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """(line it is reported at, first line, last line) of lines, of blocks between empty lines, of runs of lines and of the whole text.
 
-        They start at lines from which such a run reaches a line with a telling word, and are listed once each.
+        Only those with a telling word: the others reach no template's cosine. ``starts`` has the place of each line's first word.
         """
-        place, words = self.shingler.words(lines)
-        ends = np.cumsum(np.bincount(place, minlength=len(lines)))
-        before = np.concatenate([[0], ends[:-1]])
+        n = len(lines)
+        each = np.arange(n)
+        out = [np.column_stack([each, each, each])]
         telling = np.unique(place[self._known(words, self.telling)])
-        runs: set[tuple[int, int]] = set()
+        if n > 1:
+            blocks, at = [], 0
+            for block in re.split(r"\n[^\S\n]*\n", text):
+                if "\n" in block.strip("\n"):
+                    blocks.append((at, at, at + block.count("\n")))
+                at += block.count("\n") + 2
+            out += [np.array(blocks, np.int64).reshape(-1, 3), self.windows(n, words, place, starts, telling), np.array([[0, 0, n - 1]])]
+        spans = np.concatenate(out)
+        told = np.concatenate([[0], np.cumsum(np.bincount(telling, minlength=n))])
+        return spans[told[spans[:, 2] + 1] > told[spans[:, 1]]]
+
+    def windows(self, n: int, words: np.ndarray, place: np.ndarray, starts: np.ndarray, telling: np.ndarray) -> np.ndarray:
+        """Runs of two or more lines that hold a template's number of words, with or without the line that exceeds it.
+
+        They start at lines from which such a run reaches a line with a telling word, and are listed once each, in order.
+        """
+        ends, before, each = starts[1:], starts[:-1], np.arange(n)
+        reach = np.append(telling, n)[np.searchsorted(telling, each)]
+        runs = []
         for length in self.lengths:
             last = np.searchsorted(ends, before + length)  # the line with the run's last word
-            first = np.searchsorted(telling, np.arange(len(lines)))
-            reach = np.append(telling, len(lines))[first]
-            for i in np.flatnonzero((reach <= last) & (ends > before)):
-                stop = min(int(last[i]), len(lines) - 1)
-                runs.update((int(i), k) for k in (stop - 1, stop) if k > i)
-        if not runs:
-            return []
+            i = np.flatnonzero((reach <= last) & (ends > before))
+            stop = np.minimum(last[i], n - 1)
+            runs += [(i * n + k)[k > i] for k in (stop - 1, stop)]
+        i, k = np.divmod(np.unique(np.concatenate(runs)), n)
+        if not len(i):
+            return np.zeros((0, 3), np.int64)
         # A repeated word adds more to the norm than its places' squares do, so a run below the cosine by this bound is below it.
-        weight, inside = self.idf[cells(words)], self._known(words, self.vocabulary)
-        at, line, own = np.searchsorted(self.vocabulary, words[inside]), place[inside], weight[inside]
-        i, k = np.array(sorted(runs)).T
-        total = lambda of, w: np.concatenate([[0], np.cumsum(np.bincount(of, w, len(lines)))])
-        norms = total(place, weight * weight)
-        most = np.zeros(len(i))
+        weight, inside = self.idf[cells(words)], np.flatnonzero(self._known(words, self.vocabulary))
+        at, own = np.searchsorted(self.vocabulary, words[inside]), weight[inside]
+        bounds = np.searchsorted(inside, starts)
+        norms = np.concatenate([[0.0], np.cumsum(weight * weight)])[starts]
+        most, sums = np.zeros(len(i)), np.zeros(len(inside) + 1)
+        first, stop = bounds[i], bounds[k + 1]
         for row in self.matrix:
-            dots = total(line, row[at] * own)
-            most = np.maximum(most, dots[k + 1] - dots[i])
+            np.cumsum(row[at] * own, out=sums[1:])
+            np.maximum(most, sums[stop] - sums[first], out=most)
         kept = most >= (self.cosine - 1e-6) * np.sqrt(norms[k + 1] - norms[i])
-        return [(a, "\n".join(lines[a : b + 1])) for a, b in zip(i[kept].tolist(), k[kept].tolist(), strict=True)]
+        return np.column_stack([i, i, k])[kept]
 
     def _stated(self, near: np.ndarray, candidate: str, text: str) -> int | None:
         """The best template that the candidate agrees with; none if one of another licence is ``TIED`` with it."""
@@ -229,18 +235,21 @@ class Matcher:
 
     def best(self, text: str, stated: bool = False) -> tuple[str, float, int] | None:
         """Licence, cosine and line; with ``stated`` only candidates that have the marks of the licence count."""
-        found: dict[str, tuple[float, int]] = {}
         top: tuple[float, int, int] | None = None
-        for line, candidate in self.candidates(text):
-            if candidate in found:
+        lines, seen = text.split("\n"), set()
+        place, words = self.shingler.words(lines)
+        starts = np.searchsorted(place, np.arange(len(lines) + 1))
+        for line, first, last in self.candidates(text, lines, words, place, starts).tolist():
+            own = words[starts[first] : starts[last + 1]]
+            if own.tobytes() in seen:  # a repeated line
                 continue
-            found[candidate] = (0.0, 0)
-            words, v = self.vector(candidate)
-            if not self._known(words, self.telling).any():
+            seen.add(own.tobytes())
+            own, n = np.unique(own, return_counts=True)
+            v, inside = n * self.idf[cells(own)], self._known(own, self.vocabulary)
+            near = self.matrix[:, np.searchsorted(self.vocabulary, own[inside])] @ v[inside] / np.sqrt((v * v).sum())
+            if near.max() < self.cosine:
                 continue
-            inside = self._known(words, self.vocabulary)
-            near = self.matrix[:, np.searchsorted(self.vocabulary, words[inside])] @ v[inside] / np.sqrt((v * v).sum())
-            k = self._stated(near, candidate, text) if stated else int(np.argmax(np.round(near, 12)))
+            k = self._stated(near, "\n".join(lines[first : last + 1]), text) if stated else int(np.argmax(np.round(near, 12)))
             if k is not None and near[k] >= self.cosine and (top is None or near[k] > top[0] + 1e-12):
                 top = (float(near[k]), line, k)
         return None if top is None else (self.templates[top[2]][0], min(top[0], 1.0), top[1])
