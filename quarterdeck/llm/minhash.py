@@ -227,20 +227,22 @@ def near_links(docs: DataFrame, buckets: DataFrame, bands: DataFrame, idf) -> Da
     fine = staged(fine_signatures(texts.join(left.select("doc_id"), "doc_id", "left_semi"), idf), "near-fine")
     parts = left.join(fine.select("doc_id", F.posexplode("parts").alias("part", "part_key")), "doc_id")
     parts = _mixed(staged(parts, "near-parts"), ["part", "part_key"]).join(far, "doc_id", "left")
-    parts = staged(parts.join(fine.drop("parts"), "doc_id"), "near-some")
+    parts = staged(parts.join(fine, "doc_id"), "near-some")
     # Pairs of different components: all but a bucket's largest component meet everything else in the bucket.
     some = parts.where(F.col("component") != F.col("main")).select(
-        "part", "part_key", F.col("doc_id").alias("x"), F.col("known").alias("known_x"), F.col("component").alias("cx"), F.col("fine").alias("fine_one")
-    )
+        "part", "part_key", F.col("doc_id").alias("x"), F.col("known").alias("known_x"), F.col("component").alias("cx"), F.col("fine").alias("fine_one"), F.col("parts").alias("parts_x"),
+    )
     every = parts.select(
         F.col("part").alias("part_y"), F.col("part_key").alias("key_y"), F.col("doc_id").alias("y"), F.col("known").alias("known_y"),
-        F.col("component").alias("cy"), F.col("fine").alias("fine_two"), F.col("main").alias("main_y"),
+        F.col("component").alias("cy"), F.col("fine").alias("fine_two"), F.col("main").alias("main_y"), F.col("parts").alias("parts_y"),
     )
     apart = (F.col("known_x.pivot") == F.col("known_y.pivot")) & (F.abs(F.col("known_x.far") - F.col("known_y.far")) > 1 - SIMILAR + 1e-9)
     once = (F.col("cy") == F.col("main_y")) | (F.col("x") < F.col("y"))
+    # A pair is looked at in the first part that it shares, and only there.
+    first = F.array_position(F.zip_with("parts_x", "parts_y", lambda a, b: a == b), F.lit(True)) == F.col("part") + 1
     alike = agreeing("fine_one", "fine_two", FINE) >= FINE_AGREE
     same = (F.col("part") == F.col("part_y")) & (F.col("part_key") == F.col("key_y"))
-    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & once & ~F.coalesce(apart, F.lit(False)) & alike)
+    rest = some.join(every, same & (F.col("cx") != F.col("cy")) & once & ~F.coalesce(apart, F.lit(False)) & first & alike)
     rest = staged(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-rest")
     late = compared(rest, texts, idf).where(F.col("likeness") >= SIMILAR).select("a", "b")
     return links.unionByName(staged(late, "near-late"))
