@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from quarterdeck.operators import metrics as M
 from quarterdeck.operators import reshape as RS
+from quarterdeck.operators.history import add_period_sketches, checks_from_sketches
+from quarterdeck.plans.clustered import read_clustered, write_clustered
 from quarterdeck.plans.incremental import load_batch, rolling_window
 from quarterdeck.plans.merge import merge_rows
 from quarterdeck.plans.releases import TableStore
@@ -87,8 +90,6 @@ def q_incremental_trends(spark, sf_dir):
 
 def q_rolling_ratios(spark, sf_dir):
     """The last twelve months of ratios by month, moved on by half a year."""
-    import datetime as dt
-
     t = statement_tables(spark, sf_dir, shared=True)
     ratios = M.financial_ratios(t["income"], t["balance"], stamp=False)
     store = _store(spark, "rolling")
@@ -158,6 +159,29 @@ def q_copy_verified(spark, sf_dir):
     return verify_copies(t, copies)
 
 
+def q_quality_from_sketches(spark, sf_dir):
+    """Checks of two statements from monthly sketches that two loads stored."""
+    t = statement_tables(spark, sf_dir, shared=True)
+    store = _store(spark, "sketches")
+    for part in (~_since("1998-01-01"), _since("1998-01-01")):
+        with store.draft() as draft:
+            add_period_sketches(draft, {"income": (t["income"].where(part), "Total_Revenue"), "balance": (t["balance"].where(part), "Total_Assets")})
+            draft.commit()
+    checks = checks_from_sketches(store.read("quality_sketches"))
+    return checks.select("table_name", "row_count", "distinct_tickers", "min_date", "max_date", "measured")
+
+
+def q_clustered_lookup(spark, sf_dir):
+    """Ratios clustered by date and ticker; a date range and one company's reports, each from the files that can hold them."""
+    t = statement_tables(spark, sf_dir, shared=True)
+    ratios = M.financial_ratios(t["income"], t["balance"], stamp=False)
+    path = _folder(spark, "clustered")
+    write_clustered(ratios, path, 16)
+    range_rows = read_clustered(spark, path, ratios.schema, dt.date(1997, 1, 1), dt.date(1997, 12, 31))
+    company = read_clustered(spark, path, ratios.schema, ticker="Supplier#000000007")
+    return range_rows.withColumn("found_by", F.lit("date")).unionAll(company.withColumn("found_by", F.lit("ticker")))
+
+
 STORED_QUERIES = {
     "publish_release": q_publish_release,
     "merge_load": q_merge_load,
@@ -168,4 +192,6 @@ STORED_QUERIES = {
     "union_files": q_union_files,
     "infer_merged": q_infer_merged,
     "copy_verified": q_copy_verified,
+    "quality_from_sketches": q_quality_from_sketches,
+    "clustered_lookup": q_clustered_lookup,
 }
