@@ -7,6 +7,10 @@
     python -m quarterdeck.cli report   NAME --db NAME [--as-of YYYY-MM-DD] [--out PATH] [--show N]
     python -m quarterdeck.cli export   --docs PATH --out DIR [--shape map|records] [--multiline]
     python -m quarterdeck.cli load     --src DIR --db NAME [--mode replace|append]
+    python -m quarterdeck.cli publish  --src DIR --store DIR [--buckets N]
+    python -m quarterdeck.cli merge    --src DIR --store DIR [--buckets N]
+    python -m quarterdeck.cli releases --store DIR
+    python -m quarterdeck.cli rollback --store DIR --number N
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so ``spark-submit``
 settings (master, executors, ``spark.checkpoint.dir``) apply unchanged. Only the
@@ -28,8 +32,10 @@ if __package__ in (None, ""):  # run as a file (spark-submit quarterdeck/cli.py)
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.operators import reports as R
-from quarterdeck.plans.build import STATEMENT_FILES, build_all, list_tables, table_info
+from quarterdeck.plans.build import STATEMENT_FILES, build_all, build_release, external_tables, list_tables, managed_tables, table_info
 from quarterdeck.plans.export import export_documents
+from quarterdeck.plans.incremental import load_batch
+from quarterdeck.plans.releases import TableStore
 from quarterdeck.plans.tables import load_directory
 from quarterdeck.sources.documents import read_documents
 from quarterdeck.sources.files import file_manifest, required_inputs, required_summary
@@ -107,6 +113,18 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     d.add_argument("--src", required=True)
     d.add_argument("--db", required=True)
     d.add_argument("--mode", choices=("replace", "append"), default="replace")
+    for name, text in (
+        ("publish", "statement files -> all nine tables as one release of a store"),
+        ("merge", "statement files -> keyed load into a store, derived tables refreshed, one release"),
+    ):
+        m = sub.add_parser(name, help=text)
+        m.add_argument("--src", required=True)
+        m.add_argument("--store", required=True)
+        m.add_argument("--buckets", type=int, default=32)
+    sub.add_parser("releases", help="releases of a store and their tables").add_argument("--store", required=True)
+    back = sub.add_parser("rollback", help="publish the tables of an earlier release again")
+    back.add_argument("--store", required=True)
+    back.add_argument("--number", type=int, required=True)
     args = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("quarterdeck").getOrCreate()
@@ -133,6 +151,21 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         for row in report:
             print("\t".join(str(v) for v in row))
         return 0 if all(row["status"] == "loaded" for row in report) else 1
+    if args.cmd == "publish":
+        build_release(spark, args.src, args.store, args.buckets).show(truncate=False)
+        return 0
+    if args.cmd == "merge":
+        release, done = load_batch(TableStore(spark, args.store), managed_tables(external_tables(spark, args.src), stamp=False), args.buckets)
+        for name, m in done.items():
+            print(f"{name}\tinserted {m.inserted}\tupdated {m.updated}\tunchanged {m.unchanged}\tduplicates {m.duplicates}")
+        print(f"release {release.number}")
+        return 0
+    if args.cmd == "releases":
+        TableStore(spark, args.store).history().orderBy("number", "table_name").show(1000, truncate=False)
+        return 0
+    if args.cmd == "rollback":
+        print(f"release {TableStore(spark, args.store).rollback(args.number).number}")
+        return 0
     df = run_report(spark, args.name, args.db, args.as_of, ordered=not args.out)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)

@@ -9,7 +9,8 @@ hidden files (names starting with ``.`` or ``_``) are skipped by the source.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,3 +130,36 @@ def json_record_counts(spark: SparkSession, path: str, multiline: bool = False)
     df = spark.read.schema("ticker string").option("multiLine", multiline).json(path)
     names = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"))
     return names.groupBy("path", "file_name").agg(F.count(F.lit(1)).alias("records")).select("file_name", "records", "path")
+
+
+def copy_files(spark: SparkSession, files: Mapping[str, str]) -> DataFrame:
+    """Copy raw files, ``{source: target}``, between any stores Spark reads; ``(name, status, size_bytes, error)`` for each.
+
+    A file is copied beside its target and compared by length and, where both stores keep one of the same kind, by checksum; only then
+    does it take the target's place. A copy that fails leaves the old target and does not stop the others.
+    """
+    rows = [(target.rsplit("/", 1)[-1], *copy_file(spark, source, target)) for source, target in files.items()]
+    return spark.createDataFrame(rows, "name string, status string, size_bytes bigint, error string")
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> tuple[str, int | None, str | None]:
+    """One file of :func:`copy_files`: ``(status, size_bytes, error)``."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    origin, place, fresh = (hadoop.Path(p) for p in (source, target, f"{target}.{uuid.uuid4().hex}.part"))
+    there = place.getFileSystem(conf)
+    try:
+        here = origin.getFileSystem(conf)
+        size = here.getFileStatus(origin).getLen()
+        hadoop.FileUtil.copy(here, origin, there, fresh, False, conf)
+        if there.getFileStatus(fresh).getLen() != size:
+            raise OSError("the copy has another length")
+        one, two = here.getFileChecksum(origin), there.getFileChecksum(fresh)
+        if one is not None and two is not None and one.getAlgorithmName() == two.getAlgorithmName() and not one.equals(two):
+            raise OSError("the copy has another checksum")
+        there.delete(place, False)
+        if not there.rename(fresh, place):
+            raise OSError(f"cannot put the copy in the place of {target}")
+        return "success", size, None
+    except Exception as exc:  # noqa: BLE001 - reported per file
+        there.delete(fresh, False)
+        return "failed", None, str(exc).split("\n")[0]

@@ -275,3 +275,32 @@ def test_a_catalog_build_that_fails_keeps_all_old_tables(spark, sf_small, tmp_pa
     for t, c in (("income_statement", "loaded_at"), ("financial_ratios", "calculated_at")):
         assert spark.table(f"t_kept.{t}").agg(F.max(F.col(c))).first()[0] == stamps[t]
     assert not [t.name for t in spark.catalog.listTables("t_kept") if t.name.endswith("_incoming")]
+
+
+def test_command_line(spark, sf_small, tmp_path, capsys):
+    from quarterdeck.cli import main
+
+    statement_files(spark, sf_small, str(tmp_path / "src"))
+    for name, root in (("publish", "p"), ("merge", "m")):
+        assert main([name, "--src", str(tmp_path / "src"), "--store", str(tmp_path / root), "--buckets", "4"], spark=spark) == 0
+    one, two = (TableStore(spark, str(tmp_path / root)) for root in "pm")
+    assert {n: t.rows for n, t in one.release().tables.items()} == {n: t.rows for n, t in two.release().tables.items()}
+    assert main(["merge", "--src", str(tmp_path / "src"), "--store", str(tmp_path / "m")], spark=spark) == 0
+    assert two.numbers() == [1] and "updated 0" in capsys.readouterr().out
+    assert main(["rollback", "--store", str(tmp_path / "p"), "--number", "1"], spark=spark) == 0 and one.numbers() == [1, 2]
+    assert main(["releases", "--store", str(tmp_path / "p")], spark=spark) == 0
+
+
+def test_raw_files_are_copied_with_a_status(spark, tmp_path):
+    from quarterdeck.sources.files import copy_files
+
+    (tmp_path / "a b.csv").write_text("x" * 100_000)
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "keep.csv").write_text("old")
+    files = {str(tmp_path / "a b.csv"): str(tmp_path / "out" / "a b.csv"), str(tmp_path / "gone.csv"): str(tmp_path / "out" / "keep.csv")}
+    got = {r.name: (r.status, r.size_bytes) for r in copy_files(spark, files).collect()}
+    assert got == {"a b.csv": ("success", 100_000), "keep.csv": ("failed", None)}
+    assert (tmp_path / "out" / "a b.csv").read_text() == "x" * 100_000 and (tmp_path / "out" / "keep.csv").read_text() == "old"
+    assert copy_files(spark, {str(tmp_path / "a b.csv"): str(tmp_path / "out" / "keep.csv")}).first().status == "success"
+    assert (tmp_path / "out" / "keep.csv").read_text() == "x" * 100_000
+    assert not [p.name for p in (tmp_path / "out").iterdir() if p.name.endswith(".part")]
