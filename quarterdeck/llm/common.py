@@ -80,6 +80,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = 1_0
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # a worker lives on with the next stage's tasks
 
 
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

@@ -50,13 +50,12 @@ TEXT_BYTES = 250_000
 class WeightedSampler:
     """Consistent weighted samples; a shingle's random variables come from three parts of its hash by table."""
 
-    def __init__(self, samples: int, seed: int = 23, bits: int = 16):
+    def __init__(self, samples: int, seed: int = 23, bits: int = 14):
         rng = np.random.default_rng(seed)
         shape, self.bits = (samples, 1 << bits), bits
-        self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
+        self.r = rng.standard_gamma(2.0, shape, np.float32)
+        self.log_c = np.log(rng.standard_gamma(2.0, shape, np.float32))
         self.beta = rng.random(shape, np.float32)
-        self.inverse = 1 / self.r
         self.salt = scramble(np.arange(1, samples + 1, dtype=np.uint64) * MIX)
 
     def sample(self, bounds: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -69,7 +68,7 @@ class WeightedSampler:
         of = np.repeat(np.arange(len(starts)), np.diff(bounds))
         for k in range(len(self.r)):
             r, beta = self.r[k][at[0]], self.beta[k][at[2]]
-            t = np.floor(log_w * self.inverse[k][at[0]] + beta)
+            t = np.floor(log_w / r + beta)
             value = self.log_c[k][at[1]] - r * (t - beta + 1)
             least = np.minimum.reduceat(value, starts)
             hit = np.flatnonzero(value == least[of])
@@ -84,7 +83,7 @@ def keyed_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         shingler, counts = Shingler(SHINGLE), np.zeros(CELLS, np.int64)
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, TEXT_BYTES):
             place, shingle, _, keys = shingler.counted(batch.column(1).to_pylist())
             counts += np.bincount(cells(shingle), minlength=CELLS)
             nothing = [None] * len(keys)
@@ -135,7 +134,7 @@ def fine_signatures(texts: DataFrame, idf) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("fine", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64()))])
 
     def run(batches):
-        shingler, sampler = Shingler(SHINGLE), WeightedSampler(FINE, seed=29, bits=14)
+        shingler, sampler = Shingler(SHINGLE), WeightedSampler(FINE, seed=29)
         for batch in text_slices(batches, 1, TEXT_BYTES):
             place, shingle, n, _ = shingler.counted(batch.column(1).to_pylist())
             if len(place):
