@@ -53,11 +53,17 @@ def save_table(
     w.saveAsTable(name)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and where their number is to be found once they have been written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def store_incoming(spark: SparkSession, df: DataFrame, name: str, **layout) -> int:
     """Write ``df`` as ``<name>_incoming`` and return how many rows were written."""
     spark.sql(f"DROP TABLE IF EXISTS {name}_incoming")
-    seen = Observation()
-    save_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{name}_incoming", **layout)
+    rows, seen = counted(df)
+    save_table(rows, f"{name}_incoming", **layout)
     return seen.get["rows"]
 
 
@@ -136,31 +142,27 @@ def load_append(spark: SparkSession, df: DataFrame, name: str, widen: bool = Fal
     ``widen=False`` refuses columns that the table lacks and types that it cannot hold. ``widen=True`` adds the columns (earlier rows
     have NULL there) and, if a type has to widen, rewrites the table with its layout; the name keeps its old rows until that is complete.
     """
-    seen = Observation()
-    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if not table_exists(spark, name):
-        save_table(df, name)
+        rows, seen = counted(df)
+        save_table(rows, name)
         return seen.get["rows"]
     target = spark.table(name)
     stored, have = types_of(target), types_of(df)
     if widen:
-        wanted = exactly_wider([(target, stored), (df.select("*"), have)], merged_types(stored, have))
+        wanted = exactly_wider([(target, stored), (df, have)], merged_types(stored, have))
         if any(wanted[c] != t for c, t in stored.items()):
-            counted = Observation()
-            added = df.select(*as_types(df, wanted)).observe(counted, F.count(F.lit(1)).alias("rows"))
+            added, seen = counted(df.select(*as_types(df, wanted)))
             whole = target.select(*as_types(target, wanted)).unionAll(added)
             load_replace(spark, whole, name, keep_backup=False, **layout_of(spark, name))
-            return counted.get["rows"]
+            return seen.get["rows"]
         new = [c for c in wanted if c not in stored]
         if new:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {wanted[c]}' for c in new)})")
             target = spark.table(name)
             stored = types_of(target)
-    counted = Observation()
-    aligned = align_to(df, target.columns, stored).observe(counted, F.count(F.lit(1)).alias("rows"))
-    layout = layout_of(spark, name)
-    save_table(aligned, name, mode="append", **layout)
-    return counted.get["rows"]
+    rows, seen = counted(align_to(df, target.columns, stored))
+    save_table(rows, name, mode="append", **layout_of(spark, name))
+    return seen.get["rows"]
 
 
 def write_partitioned(df: DataFrame, path: str, year_col: str = "report_date", mode: str = "overwrite") -> None:
