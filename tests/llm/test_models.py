@@ -169,6 +169,22 @@ def test_logistic_fit_is_calibrated():
     assert np.abs(w - [0.7, -4, 0.3]).max() < 0.6
 
 
+def test_logistic_fit_settles_on_nearly_parted_classes():
+    """Many terms made of few, and classes that a line parts but for two rows: weights stay bounded and the slope is flat."""
+    rng = np.random.default_rng(1)
+    a = np.concatenate([rng.normal(-0.2, 0.15, 900), rng.normal(0.25, 0.1, 5000)])
+    b = np.concatenate([rng.normal(0.3, 0.1, 900), rng.normal(0.5, 0.02, 5000)])
+    y = np.concatenate([np.zeros(900), np.ones(5000)])
+    y[[3, 2000]] = 1 - y[[3, 2000]]
+    x = np.column_stack([a, b, a * a, b * b, a * b, a**3, np.exp(b)])
+    w = fit_logistic(x, y)
+    p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -700, 700)))
+    z = np.column_stack([(x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9), np.ones(len(x))])
+    own = np.append(w[:-1] * (x.std(axis=0) + 1e-9), w[-1] + w[:-1] @ x.mean(axis=0))
+    assert np.abs(z.T @ (y - p) - 1e-2 * own).max() < 1e-3
+    assert ((p >= 0.3) == y).mean() > 0.99
+
+
 def brute_neighbours(vectors, queries, k):
     ids = np.array(sorted(vectors))
     data = np.array([vectors[i] for i in ids], np.float64)
