@@ -21,12 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch that crosses to a Python worker: Spark's own 10,000 rows and 64 MB stand several times over in an executor's and its workers' memory.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: glibc raises its limits by itself and then keeps what a worker has freed; fixed ones let it go, also while the worker idles.
+GIVEN_BACK = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20)}
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers find this package where it lies (a cluster may ship it with --py-files instead)."""
+    """Let Python workers find this package where it lies (a cluster may ship it with --py-files instead).
+
+    Batches for them are at most ``BATCH_BYTES`` from here on (a smaller limit of the session stays), and they give freed memory back.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    for name, value in GIVEN_BACK.items():
+        spark.sparkContext.environment.setdefault(name, value)
+    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_LIMIT))
+    if not 0 < limit <= BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
     return spark
 
 

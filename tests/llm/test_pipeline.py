@@ -110,3 +110,20 @@ def test_oracle(spark, name):
     assert columns == sorted(want.columns)
     one, two = (f[columns].sort_values(columns).reset_index(drop=True) for f in (got, want))
     assert one.equals(two.astype(one.dtypes.to_dict()))
+
+
+def test_batches_for_workers_are_small_whatever_the_texts(spark):
+    import os
+
+    import pyarrow as pa
+    from quarterdeck.llm.common import BATCH_BYTES, GIVEN_BACK
+
+    def sizes(batches):
+        limits = all(os.environ.get(k) == v for k, v in GIVEN_BACK.items())
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes], "limits": [limits]})
+
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id", "repeat('x', 3000) text")
+    got = docs.mapInArrow(sizes, "n long, bytes long, limits boolean").collect()
+    assert sum(r.n for r in got) == 6000 and all(r.limits for r in got)
+    assert max(r.bytes for r in got) < 1.1 * BATCH_BYTES
