@@ -50,6 +50,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def anchors(texts: list[bytes], width: int, hasher: Hasher) -> tuple[np.ndarray, ...]:
     """Of every anchor: its text's place, hash, place in the text, first window start that chose it, and how many did.
 
+    An anchor's hash is the smallest of many, so it is scrambled once more: all its bits are even again, as bitmaps need.
     The starts of a text's windows are divided among its anchors. Texts shorter than ``width`` have none. A text
     may be of any length: hashes' places are compared within a window only.
     """
@@ -77,4 +78,4 @@ def anchors(texts: list[bytes], width: int, hasher: Hasher) -> tuple[np.ndarray,
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (of[1:] != of[:-1])]))
     count = np.diff(np.append(new, len(start)))
     of, first, spot = of[new], start[new], place[new]
-    return of, grams[spot], spot - begins[of], first - begins[of], count
+    return of, scramble(grams[spot]), spot - begins[of], first - begins[of], count

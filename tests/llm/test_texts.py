@@ -269,6 +269,14 @@ def test_induced_sorting_marks_what_repeats(tmp_path, limit):
                 assert bool(marks[left - a + o][i]) == (count[g, a - o, p[o : o + length]] > 1)
 
 
+def test_anchor_hashes_fill_a_bitmap_evenly():
+    data = np.random.default_rng(5).integers(0, 256, 6_000_000, np.uint8).tobytes()
+    hasher = Hasher()
+    keys = np.unique(np.concatenate([anchors([data[at : at + 500_000]], 200, hasher)[1] for at in range(0, len(data), 500_000)]))
+    places = np.unique(keys >> np.uint64(64 - 26))  # as bits.bitmap has them
+    assert len(places) > 0.99 * len(keys)
+
+
 def test_anchors_divide_the_starts():
     rng = random.Random(8)
     texts = [bytes(rng.choices(b"abc ", k=rng.randint(0, 900))) for _ in range(30)] + [b"ab" * 600, b""]
