@@ -205,18 +205,22 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT, in_me
 
 
 def _joined(batches):
-    """Spans in order, those that touch joined to one."""
+    """Spans in order, those that touch joined to one; by arrays, since a batch holds hundreds of thousands."""
     for batch in batches:
-        out = []
-        for spans in batch.column(2).to_pylist():
-            done: list[dict] = []
-            for s in sorted(spans, key=lambda s: s["begin"]):
-                if done and s["begin"] <= done[-1]["end"]:
-                    done[-1]["end"] = max(done[-1]["end"], s["end"])
-                else:
-                    done.append(s)
-            out.append(done)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, batch.column(2).type)], names=batch.schema.names)
+        lists = batch.column(2)
+        flat, of = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        begin, end = (flat.field(c).to_numpy().astype(np.int64) for c in ("begin", "end"))
+        order = np.lexsort((begin, of))
+        base = of * (int(end.max(initial=0)) + 1)  # of a row; keeps the rows' spans apart and ``of`` is sorted already
+        begin, reach = base + begin[order], np.maximum.accumulate(base + end[order])
+        new = np.ones(len(order), bool)
+        new[1:] = begin[1:] > reach[:-1]
+        last = np.append(new[1:], True)[: len(new)]
+        kind = lists.type
+        spans = [pa.array(x, pa.int32()) for x in (begin[new] - base[new], reach[last] - base[last])]
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(of[new], minlength=len(lists)))])
+        done = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(spans, fields=list(kind.value_type)), type=kind)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), done], names=batch.schema.names)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_memory: int = IN_MEMORY) -> DataFrame:

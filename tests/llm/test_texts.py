@@ -3,9 +3,11 @@
 import hashlib
 import random
 import textwrap
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_samples import words
 from pyspark.sql import functions as F
@@ -322,6 +324,35 @@ def test_texts_are_cut_in_place(odd_docs, odd_rows):
     assert all(r.n_chars == len(r.text) for r in rows if r.text is not None)
 
 
+def test_spans_are_joined_in_little_memory():
+    """Joined as by going through them one by one, without a Python object for each of a batch's spans."""
+    rng = random.Random(12)
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+
+    def batch(rows, most, size):
+        spans = [[(b := rng.randrange(size), b + rng.randrange(1, 260)) for _ in range(rng.randrange(most + 1))] for _ in range(rows)]
+        column = pa.array([[{"begin": b, "end": e} for b, e in s] for s in spans], kind)
+        return spans, pa.RecordBatch.from_arrays([pa.array(range(rows), pa.int64())] * 2 + [column], names=["doc", "mark", "spans"])
+
+    for _ in range(50):
+        spans, rows = batch(rng.randrange(9), 12, 3000)
+        want = []
+        for each in spans:
+            covered = {x for b, e in each for x in range(2 * b, 2 * e + 1)}  # doubled: spans that touch share a point
+            edges = sorted(x for x in covered if x - 1 not in covered), sorted(x for x in covered if x + 1 not in covered)
+            want.append([{"begin": b // 2, "end": e // 2} for b, e in zip(*edges, strict=True)])
+        for part, expected in ((rows, want), (rows.slice(1), want[1:])):
+            (got,) = suffix._joined([part])
+            assert got.schema == rows.schema and got.column(2).to_pylist() == expected and got.column(0).equals(part.column(0))
+    _, rows = batch(400, 400, 20_000)
+    tracemalloc.start()
+    try:
+        list(suffix._joined([rows]))
+        assert tracemalloc.get_traced_memory()[1] < 15 * rows.nbytes
+    finally:
+        tracemalloc.stop()
+
+
 def test_suffix_dedup_of_nothing(no_docs):
     assert suffix.remove_repeats(no_docs).count() == 0 and suffix.cut_texts(no_docs).count() == 0
 
