@@ -26,11 +26,11 @@ in the library. A model of another kind (not BPE, no byte fallback, another norm
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,13 +40,43 @@ from quarterdeck.llm.tokens import default_path
 BLANK = "▁"  # how SentencePiece writes a space
 MEMO, MEMO_LENGTH = 250_000, 48
 NEVER = float("inf")
+
+
+def _ranges(points: Iterable[int]) -> str:
+    """Ascending code points as ranges of a pattern's class."""
+    out: list[list[int]] = []
+    for c in points:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+#: Letters of the first plane, listed: such a class is looked up in a table. Others count as marks.
+LETTERS = _ranges(c for c in range(0x10000) if chr(c).isalpha())
 #: Where texts may be cut: every piece must match one of these patterns whole. First words, numbers and marks apart, then words.
 CUTS = (
-    regex.compile(rf"{BLANK}*(?:\p{{L}}+|[^\p{{L}}{BLANK}]+)|{BLANK}+"),
-    regex.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+"),
+    re.compile(rf"{BLANK}*(?:[{LETTERS}]+|[^{LETTERS}{BLANK}]+)|{BLANK}+"),
+    re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+"),
 )
 
 
+class Memo(dict):
+    """What ``make`` gave for each key that was asked for, ``MEMO`` of them at most; then all are forgotten at once."""
+
+    def __init__(self, make: Callable, kept: Callable = lambda key: True):
+        self.make, self.kept = make, kept
+
+    def __missing__(self, key):
+        got = self.make(key)
+        if self.kept(key):
+            if len(self) >= MEMO:
+                self.clear()
+            self[key] = got
+        return got
+
+
 class PieceTable:
     """Ids of texts and texts of ids, equal to the library's ``encode`` and ``decode``."""
 
@@ -78,8 +108,8 @@ class PieceTable:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, tuple[str, int, str]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.words: dict[str, tuple[str, int, str]] = Memo(self._word, lambda part: len(part) <= MEMO_LENGTH)
+        self.pairs: dict[tuple[str, str], bool] = Memo(self._compatible)
 
     def _grow(self, piece: str) -> tuple | None:
         """The piece's own merges as (rank, last symbol, first symbol) after each; None if merging its characters gives something else."""
@@ -97,12 +127,9 @@ class PieceTable:
             self.grown[piece] = own
         return own
 
-    def _compatible(self, left: str, right: str) -> bool:
-        """Whether the joint string of two pieces encodes to these two."""
-        if len(self.pairs) >= MEMO:
-            self.pairs.clear()
-        fits = self.pairs[left, right] = self._apart(left, right)
-        return fits
+    def _compatible(self, pair: tuple[str, str]) -> bool:
+        """Whether the joint string of two pieces encodes to these two; with nothing before it, whether a piece encodes to itself."""
+        return self._apart(*pair) if pair[0] else self._grow(pair[1]) is not None
 
     def _apart(self, left: str, right: str) -> bool:
         a, b = self._grow(left), self._grow(right)
@@ -124,25 +151,11 @@ class PieceTable:
 
     def split(self, text: str) -> list[str]:
         """The pieces of a normalised text; a character without a piece stands for itself."""
-        last: list[str | None] = [None] * (len(text) + 1)
-        pairs, filled = self.pairs, 0
+        last, pairs, done = ["", *text], self.pairs, 0  # of every prefix: the character itself, unless a piece fits
         for end, piece in self.automaton.iter(text):
-            if filled < end:  # nothing fitted there: the character itself
-                for i in range(filled + 1, end + 1):
-                    last[i] = last[i] or text[i - 1]
-                filled = end
-            if last[end + 1] is None:
-                start = end + 1 - len(piece)
-                if start:
-                    fits = pairs.get((last[start], piece))
-                    if fits is None:
-                        fits = self._compatible(last[start], piece)
-                else:
-                    fits = self._grow(piece) is not None
-                if fits:
-                    last[end + 1] = piece
-        for i in range(filled + 1, len(last)):
-            last[i] = last[i] or text[i - 1]
+            end += 1
+            if end != done and pairs[last[end - len(piece)], piece]:
+                last[end], done = piece, end
         out, i = [], len(text)
         while i:
             out.append(last[i])
@@ -168,15 +181,10 @@ class PieceTable:
         """Decimal ids joined by commas, their number, and what they decode to inside a text."""
         pieces = self.split(part)
         try:  # all pieces have ids, which decode to the pieces themselves
-            got = (",".join([self.shown[p] for p in pieces]), len(pieces), "".join(pieces).replace(BLANK, " "))
+            return ",".join([self.shown[p] for p in pieces]), len(pieces), "".join(pieces).replace(BLANK, " ")
         except KeyError:
             ids = self._ids(part)
-            got = (",".join(map(str, ids)), len(ids), self._text(ids))
-        if len(part) <= MEMO_LENGTH:
-            if len(self.words) >= MEMO:
-                self.words.clear()
-            self.words[part] = got
-        return got
+            return ",".join(map(str, ids)), len(ids), self._text(ids)
 
     def _text(self, ids: Iterable[int]) -> str:
         out, run = [], bytearray()
@@ -202,11 +210,10 @@ class PieceTable:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, sha256 of the ids as decimal numbers joined by commas, sha256 of the text that they decode to."""
-        known = self.words
-        words = [known.get(part) or self._word(part) for part in self._parts(text)]
-        decoded = "".join([w[2] for w in words])[1:]  # the first word begins with the blank that encoding put there
-        ids = ",".join([w[0] for w in words])
-        return sum([w[1] for w in words]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        words = list(map(self.words.__getitem__, self._parts(text)))
+        ids, sizes, shown = zip(*words, strict=True) if words else ((), (), ())
+        decoded = "".join(shown)[1:]  # the first word begins with the blank that encoding put there
+        return sum(sizes), hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def characters(run: bytes) -> str:

@@ -82,3 +82,11 @@ def test_query_on_odd_rows(library, odd_docs, odd_rows):
 
 def test_query_on_an_empty_table(no_docs):
     assert piece_digests(no_docs, PATH).count() == 0
+
+
+def test_a_known_pair_or_first_piece_is_not_tested_again(library, monkeypatch):
+    table = PieceTable(PATH)
+    text = "several undecided words, désolé 中文 of 12 kinds"
+    ids = table.encode(text)
+    monkeypatch.setattr(table, "_grow", None)
+    assert table.encode(text) == ids == library.encode(text)
