@@ -29,6 +29,8 @@ from quarterdeck.llm.tokens import default_path, encoder
 
 LIMIT = 4096
 END_ID = 2
+#: Bytes of text encoded together (a longer text by itself): the encoder's arrays take many times as much, and a worker keeps its largest.
+TEXT_BYTES = 200_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -44,7 +46,7 @@ def _pieces(path: str, limit: int, end_id: int, keep_ids: bool):
 
     def run(batches):
         enc, part, placed = encoder(path), TaskContext.get().partitionId(), {}
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, TEXT_BYTES):
             rows, texts = [], batch.column(1).to_pylist()
             for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(texts), strict=True):
                 ids, start = np.append(ids, np.uint32(end_id)).astype("<u4"), 0

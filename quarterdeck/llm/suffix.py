@@ -247,7 +247,8 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, hot: int = HOT, in_memory:
     doc, mark, cuts_of = f"{p}doc", f"{p}mark", f"{p}spans"
     ids = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(mark, F.xxhash64(text_or_empty()))
     kept = with_bits(ids, held, False, mark).select(*docs.columns)
-    spans = spans.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("spans").alias(cuts_of))
+    # Merged, never broadcast: a shuffle parts the two passes in Python, else each task holds two workers, and those stay with the executor.
+    spans = spans.select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("spans").alias(cuts_of)).hint("merge")
     found = with_bits(ids, held, True, mark).join(spans, [doc, mark], "left")
 
     def run(batches):

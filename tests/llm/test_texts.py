@@ -324,6 +324,24 @@ def test_texts_are_cut_in_place(odd_docs, odd_rows):
     assert all(r.n_chars == len(r.text) for r in rows if r.text is not None)
 
 
+def workers_of_a_task(node, above=0):
+    """The most Python nodes that one task runs through, with a worker each."""
+    if "Adaptive" in node.nodeName():
+        return workers_of_a_task(node.executedPlan(), above)
+    above = 0 if node.nodeName().endswith("Exchange") else above + ("Arrow" in node.nodeName())
+    below = node.children()
+    inner = [node.plan()] if "QueryStage" in node.nodeName() else [below.apply(i) for i in range(below.size())]
+    return max([above, *(workers_of_a_task(n, above) for n in inner)])
+
+
+def test_cutting_holds_one_worker_a_task(odd_docs, odd_rows):
+    out = suffix.cut_texts(odd_docs)
+    planned = out._jdf.queryExecution()
+    assert workers_of_a_task(planned.executedPlan()) == 1
+    assert len(out.collect()) == len(odd_rows)  # the plan that ran: a small side is not broadcast after all
+    assert workers_of_a_task(planned.executedPlan()) == 1
+
+
 def test_spans_are_joined_in_little_memory():
     """Joined as by going through them one by one, without a Python object for each of a batch's spans."""
     rng = random.Random(12)

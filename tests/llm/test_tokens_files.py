@@ -4,6 +4,7 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from quarterdeck.llm import packing, tokenfile
 from quarterdeck.llm.tokens import default_path, encoder
@@ -48,6 +49,27 @@ def test_packing_covers_every_id_once(odd_docs, odd_rows):
         assert {(s, ids[s : s + len(p) // 4].tobytes()) for s, p in pieces} == set(pieces) or same > 1
 
 
+def test_packing_encodes_little_text_together(monkeypatch):
+    own, asked = encoder(default_path(packing.TOKENIZER)), []
+
+    class Asked:
+        def encode(self, texts):
+            asked.append(texts)
+            return own.encode(texts)
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Asked())
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: Task)
+    texts = ["word " * 10_000] * 30 + ["long " * 100_000, None, ""]  # 50 KB each, one of 500 KB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(33), pa.int64()), pa.array([t or "" for t in texts])], names=["doc_id", "text"])
+    run, _ = packing._pieces("", 4096, 2, False)
+    rows = [r for b in run([batch]) for r in b.to_pylist()]
+    assert sum(r["length"] for r in rows) == sum(len(ids_of(packing.TOKENIZER, t)) for t in texts)
+    assert all(sum(map(len, a)) <= 200_000 or len(a) == 1 for a in asked) and sum(map(len, asked)) == 33
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs).count() == 0
 
